@@ -1,6 +1,6 @@
 """All registered queries and their reference SQL."""
 
-from cabstream.plans.catalog import cleaning
+from cabstream.plans.catalog import cleaning, geospatial, kpis
 from cabstream.plans.catalog.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "cleaning"]
+__all__ = ["QUERIES", "SQL", "cleaning", "geospatial", "kpis"]
