@@ -62,7 +62,9 @@ def nearest_zone(lat: Column | str, lon: Column | str,
     """Id of the zone with the smallest squared degree distance; the first zone wins ties.
 
     One projection over literals: no join, no shuffle, valid on streams. The
-    list is bounded; larger dimensions go through ``snap_to_reference``.
+    list is bounded; larger dimensions go through ``snap_to_reference``. A
+    missing coordinate gives zone 0; the result is never null, which spares
+    the plan null checks that would repeat the whole expression.
     """
     if not 0 < len(zones) <= MAX_LITERAL_ZONES:
         raise ValueError(f"nearest_zone takes 1 to {MAX_LITERAL_ZONES} zones, got {len(zones)}")
@@ -72,10 +74,10 @@ def nearest_zone(lat: Column | str, lon: Column | str,
         dlat, dlon = lat - F.lit(zone.centroid_lat), lon - F.lit(zone.centroid_lon)
         squared.append(dlat * dlat + dlon * dlon)
     if len(squared) == 1:
-        return F.when(squared[0].isNotNull(), F.lit(zones[0].zone_id))
+        return F.when(squared[0].isNotNull(), F.lit(zones[0].zone_id)).otherwise(F.lit(0))
     ids = F.array(*[F.lit(z.zone_id) for z in zones])
     position = F.array_position(F.array(*squared), F.least(*squared))
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.get(ids, (position - 1).cast("int")))
+    return F.coalesce(F.get(ids, (position - 1).cast("int")), F.lit(0))
 
 
 def zone_attribute(zone_id: Column | str, field: str,

@@ -16,10 +16,12 @@ DEMAND_WINDOW = "30 seconds"
 
 
 def demand_events(gps: DataFrame, requests: DataFrame) -> DataFrame:
-    """Vehicles and requests as one event type; zone 0 and unknown zones are dropped.
+    """Zone-mapped vehicles and requests as one event type; requests of zone 0 are dropped.
 
     Both inputs carry the event clock ``ts``. On streams the union comes before
-    the one watermark, so a silent input cannot hold time back.
+    the one watermark, so a silent input cannot hold time back. Vehicle events
+    read from a topic pass ``clean.valid_vehicles`` first; those mapped in the
+    same plan always have a zone.
     """
     vehicles = gps.select(
         F.col("zone_id").cast("int").alias("zone_id"), "ts", F.lit(True).alias("is_gps"),
@@ -27,7 +29,7 @@ def demand_events(gps: DataFrame, requests: DataFrame) -> DataFrame:
     demand = requests.select(
         F.col("origin_zone").cast("int").alias("zone_id"), "ts", F.lit(False).alias("is_gps"),
         F.lit("").alias("taxi_id"), F.lit(False).alias("is_available"))
-    return vehicles.unionByName(demand).filter(F.col("zone_id") > 0)
+    return vehicles.unionByName(demand.filter(F.col("zone_id") > 0))
 
 
 def demand_windows(events: DataFrame, window: str = DEMAND_WINDOW,

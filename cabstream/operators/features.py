@@ -50,15 +50,23 @@ def add_row_lags(df: DataFrame, value: str = "demand_count") -> DataFrame:
     """Lags by row count per zone: 48 and 336 rows back, mean of the 336 rows before.
 
     The input holds one row per zone and slot, so a zone's window is short. The
-    current row never enters its own features; missing history is 0.
+    mean comes from a running sum and its value 336 rows earlier, which is exact
+    for counts and touches each row once; a sliding frame would add up 336 rows
+    for every row. The current row never enters its own features; missing
+    history is 0.
     """
     order = Window.partitionBy("zone_id").orderBy(SLOT)
-    past = order.rowsBetween(-SLOTS_PER_WEEK, -1)
-    return df.withColumns({
+    summed = df.withColumns({
         "demand_lag_1d": F.lag(value, SLOTS_PER_DAY).over(order),
         "demand_lag_7d": F.lag(value, SLOTS_PER_WEEK).over(order),
-        "rolling_7d_mean": F.avg(value).over(past),
-    }).fillna(0, list(LAG_COLUMNS))
+        "_before": F.coalesce(F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                              F.lit(0)),
+        "_rows": F.least(F.row_number().over(order) - 1, F.lit(SLOTS_PER_WEEK)),
+    })
+    week = F.col("_before") - F.coalesce(F.lag("_before", SLOTS_PER_WEEK).over(order), F.lit(0))
+    mean = F.when(F.col("_rows") > 0, week / F.nullif("_rows", F.lit(0)))
+    return summed.withColumn("rolling_7d_mean", mean).drop("_before", "_rows") \
+        .fillna(0, list(LAG_COLUMNS))
 
 
 def add_calendar_lags(df: DataFrame, value: str = "demand_count") -> DataFrame:

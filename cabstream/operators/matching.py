@@ -123,12 +123,14 @@ def match_trips_rounds(requests: DataFrame, vehicles: DataFrame,
     demand = requests.select(
         "window_start", F.lit(0).alias("side"), F.col("requested_at").cast("bigint").alias("since"),
         F.col("trip_id").cast("string").alias("id"), F.col("origin_zone").cast("int").alias("zone"),
+        F.coalesce(F.element_at(lookup, F.col("origin_zone").cast("int")),
+                   F.array(F.col("origin_zone").cast("int"))).alias("path"),
         F.struct(F.col("destination_zone").cast("int").alias("dest_zone"), *extra).alias("request"),
         F.lit(None).cast(vehicle_type).alias("vehicle"))
     supply = vehicles.select(
         "window_start", F.lit(1).alias("side"), F.col("last_seen").cast("bigint").alias("since"),
         F.col("taxi_id").cast("string").alias("id"), F.col("zone_id").cast("int").alias("zone"),
-        F.lit(None).cast(demand.schema["request"].dataType).alias("request"),
+        F.lit(None).cast("array<int>").alias("path"), F.lit(None).cast(demand.schema["request"].dataType).alias("request"),
         F.struct(F.col("taxi_id").cast("string").alias("taxi_id"),
                  F.col("last_seen").cast("bigint").alias("last_seen"), "lat", "lon").alias("vehicle"))
     state = demand.unionByName(supply).withColumns({
@@ -137,9 +139,8 @@ def match_trips_rounds(requests: DataFrame, vehicles: DataFrame,
     })
 
     is_request = F.col("side") == 0
-    own_path = F.coalesce(F.element_at(lookup, F.col("zone")), F.array(F.col("zone")))
     for number in range(rounds):
-        looked_at = F.when(is_request, F.get(own_path, F.lit(number))).otherwise(F.col("zone"))
+        looked_at = F.when(is_request, F.get("path", F.lit(number))).otherwise(F.col("zone"))
         # Settled rows stay apart in a group of their own home zone.
         cell = F.when(~F.col("done") & looked_at.isNotNull(), looked_at).otherwise(-1 - F.col("zone"))
         placed = state.withColumn("cell", cell).repartition("window_start", "cell")
