@@ -57,8 +57,13 @@ def eta_seconds(km: Column | str, speed_kmh: float = AVG_SPEED_KMH) -> Column:
     return F.floor(_col(km) / F.lit(float(speed_kmh)) * 3600 + 0.5).cast("int")
 
 
-def nearest_zone(lat: Column | str, lon: Column | str,
-                 zones: Sequence[Zone] = CITY_ZONES) -> Column:
+def _sql_literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
+def nearest_zone(lat: str, lon: str, zones: Sequence[Zone] = CITY_ZONES) -> Column:
     """Id of the zone with the smallest squared degree distance; the first zone wins ties.
 
     One projection over literals: no join, no shuffle, valid on streams. The
@@ -68,23 +73,21 @@ def nearest_zone(lat: Column | str, lon: Column | str,
     """
     if not 0 < len(zones) <= MAX_LITERAL_ZONES:
         raise ValueError(f"nearest_zone takes 1 to {MAX_LITERAL_ZONES} zones, got {len(zones)}")
-    lat, lon = _col(lat), _col(lon)
-    squared = []
-    for zone in zones:
-        dlat, dlon = lat - F.lit(zone.centroid_lat), lon - F.lit(zone.centroid_lon)
-        squared.append(dlat * dlat + dlon * dlon)
-    if len(squared) == 1:
-        return F.when(squared[0].isNotNull(), F.lit(zones[0].zone_id)).otherwise(F.lit(0))
-    ids = F.array(*[F.lit(z.zone_id) for z in zones])
-    position = F.array_position(F.array(*squared), F.least(*squared))
-    return F.coalesce(F.get(ids, (position - 1).cast("int")), F.lit(0))
+    squared = ", ".join(
+        f"(`{lat}` - {z.centroid_lat!r}D) * (`{lat}` - {z.centroid_lat!r}D) + "
+        f"(`{lon}` - {z.centroid_lon!r}D) * (`{lon}` - {z.centroid_lon!r}D)".replace("- -", "+ ")
+        for z in zones)
+    ids = ", ".join(str(z.zone_id) for z in zones)
+    smallest = f"least({squared})" if len(zones) > 1 else squared
+    # One parsed expression: building it column by column costs hundreds of gateway calls.
+    return F.expr(f"coalesce(get(array({ids}), cast(array_position(array({squared}), {smallest}) as int) - 1), 0)")
 
 
 def zone_attribute(zone_id: Column | str, field: str,
                    zones: Sequence[Zone] = CITY_ZONES) -> Column:
     """Look up one attribute of a zone id from the bounded zone list; unknown id gives null."""
-    pairs = [F.lit(v) for z in zones for v in (z.zone_id, getattr(z, field))]
-    return F.element_at(F.create_map(*pairs), _col(zone_id))
+    pairs = ", ".join(f"{z.zone_id}, {_sql_literal(getattr(z, field))}" for z in zones)
+    return F.element_at(F.expr(f"map({pairs})"), _col(zone_id))
 
 
 def remap_linear(value: Column | str, src_min: float, src_max: float, dst_min: float,

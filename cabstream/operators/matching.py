@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cabstream.functions import geo
 from cabstream.functions.labels import is_available, is_uuid
@@ -115,8 +114,8 @@ def match_trips_rounds(requests: DataFrame, vehicles: DataFrame,
     """
     paths = {z.zone_id: list(dict.fromkeys((z.zone_id, *z.adjacency))) for z in zones}
     rounds = max(len(p) for p in paths.values())
-    lookup = F.create_map(*[e for z, p in paths.items()
-                            for e in (F.lit(z), F.array(*[F.lit(n) for n in p]))])
+    lookup = F.expr("map(" + ", ".join(
+        f"{z}, array({', '.join(map(str, p))})" for z, p in paths.items()) + ")")
     extra = [c for c in ("rider_id", "fare", "call_type") if c in requests.columns]
     vehicle_type = "struct<taxi_id:string,last_seen:bigint,lat:double,lon:double>"
 
@@ -138,29 +137,24 @@ def match_trips_rounds(requests: DataFrame, vehicles: DataFrame,
         "matched_round": F.lit(None).cast("int"),
     })
 
-    is_request = F.col("side") == 0
+    carried = ["window_start", "side", "since", "id", "zone", "path", "request"]
     for number in range(rounds):
-        looked_at = F.when(is_request, F.get("path", F.lit(number))).otherwise(F.col("zone"))
-        # Settled rows stay apart in a group of their own home zone.
-        cell = F.when(~F.col("done") & looked_at.isNotNull(), looked_at).otherwise(-1 - F.col("zone"))
-        placed = state.withColumn("cell", cell).repartition("window_start", "cell")
-        ranked = placed.withColumn("rank", F.row_number().over(
-            Window.partitionBy("window_start", "cell", "side").orderBy("since", "id")))
-        meet = Window.partitionBy("window_start", "cell", "rank")
-        active = F.col("cell") >= 0
-        met = ranked.withColumns({
-            "_vehicle": F.max(F.when(F.col("side") == 1, F.col("vehicle"))).over(meet),
-            "_requests": F.count(F.when(is_request, 1)).over(meet),
-        })
-        found = active & is_request & F.col("_vehicle").isNotNull()
-        state = met.withColumns({
-            "matched_zone": F.when(found, F.col("cell")).otherwise(F.col("matched_zone")),
-            "matched_round": F.when(found, F.lit(number)).otherwise(F.col("matched_round")),
-            "vehicle": F.when(found, F.col("_vehicle")).otherwise(F.col("vehicle")),
-            "done": F.col("done") | found | (active & ~is_request & (F.col("_requests") > 0)),
-        }).drop("_vehicle", "_requests", "rank", "cell")
-
-    served = state.filter(is_request).select(
+        # Settled rows stay apart, in a group of their own home zone.
+        cell = (f"case when done then -1 - zone when side = 1 then zone "
+                f"else coalesce(get(path, {number}), -1 - zone) end as cell")
+        met = state.selectExpr("*", cell).repartition("window_start", "cell").selectExpr(
+            "*", "row_number() over (partition by window_start, cell, side order by since, id) as rank"
+        ).selectExpr(
+            "*", "max(if(side = 1, vehicle, null)) over (partition by window_start, cell, rank) as near",
+            "count(if(side = 0, 1, null)) over (partition by window_start, cell, rank) as asked")
+        found = "cell >= 0 and side = 0 and near is not null"
+        state = met.selectExpr(
+            *carried, f"if({found}, near, vehicle) as vehicle",
+            f"done or ({found}) or (cell >= 0 and side = 1 and asked > 0) as done",
+            f"if({found}, cell, matched_zone) as matched_zone",
+            f"if({found}, {number}, matched_round) as matched_round")
+
+    served = state.filter("side = 0").select(
         "window_start", F.col("id").alias("trip_id"), F.col("zone").alias("origin_zone"),
         "request.*", F.col("since").alias("requested_at"),
         F.coalesce("vehicle.taxi_id", F.lit("")).alias("taxi_id"),

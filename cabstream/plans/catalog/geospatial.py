@@ -42,10 +42,10 @@ def _(spark, sf):
 select g.event_id, round({haversine_sql('g.lat', 'g.lon', 'n.lat', 'n.lon')}, 6) as km
 from v_gps g join v_norm n using (event_id)""", ["v_gps", "v_zones", "v_norm"])
 def _(spark, sf):
-    zone = geo.nearest_zone("lat", "lon")
-    km = geo.haversine_km("lat", "lon", geo.zone_attribute(zone, "centroid_lat"),
-                          geo.zone_attribute(zone, "centroid_lon"))
-    return valid_gps(spark, sf).select("event_id", r6(km).alias("km"))
+    km = geo.haversine_km("lat", "lon", geo.zone_attribute("zone_id", "centroid_lat"),
+                          geo.zone_attribute("zone_id", "centroid_lon"))
+    zoned = valid_gps(spark, sf).withColumn("zone_id", geo.nearest_zone("lat", "lon"))
+    return zoned.select("event_id", r6(km).alias("km"))
 
 
 @query("trajectory_length_duration", f"""
