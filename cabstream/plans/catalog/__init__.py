@@ -1,6 +1,7 @@
 """All registered queries and their reference SQL."""
 
-from cabstream.plans.catalog import cleaning, demand, features, geospatial, kpis, matches
+from cabstream.plans.catalog import cleaning, demand, features, geospatial, kpis, matches, streams
 from cabstream.plans.catalog.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "cleaning", "demand", "features", "geospatial", "kpis", "matches"]
+__all__ = ["QUERIES", "SQL", "cleaning", "demand", "features", "geospatial", "kpis", "matches",
+           "streams"]

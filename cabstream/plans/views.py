@@ -137,21 +137,20 @@ select vec_id, vec_id as trip_id, label, 1704067200 + vec_id * 1000 as epoch_s,
   transform(filter(sequence(1, 32), i -> i <= vec_id % 33), i -> array(
     -8.62e0 + cast(embedding[2*i-2] as double)*0.1e0,
     41.145e0 + cast(embedding[2*i-1] as double)*0.1e0)) as points
-from {embeddings}"""
+from embeddings"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the views as a Spark DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame | None = None) -> DataFrame:
+    """One of the views as a Spark DataFrame; ``rows`` replaces its table, e.g. by a stream."""
     configure(spark)
-    if name == "v_poly":
-        return spark.sql(SPARK_POLY, embeddings=table(spark, sf_dir, "embeddings"))
-    source = "lineitem" if name in ("v_trips", "v_weather") else "events"
-    text = view_sql("spark")[name].replace(f"from {source}", f"from {{{source}}}")
-    return spark.sql(text, **{source: table(spark, sf_dir, source)})
+    source = {"v_poly": "embeddings", "v_trips": "lineitem", "v_weather": "lineitem"}.get(name, "events")
+    text = SPARK_POLY if name == "v_poly" else view_sql("spark")[name]
+    text = text.replace(f"from {source}", f"from {{{source}}}")
+    return spark.sql(text, **{source: table(spark, sf_dir, source) if rows is None else rows})
 
 
 def with_views(body: str, *names: str) -> str:

@@ -15,13 +15,13 @@ def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("escape", '"').csv(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Parquet table; partition columns are discovered from the folder names."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 
 
-def read_event_archive(spark: SparkSession, path: str, schema: T.StructType,
+def read_event_archive(spark: SparkSession, path: str, schema: T.StructType | str,
                        topic: str | None = None) -> DataFrame:
     """JSON event archive below time folders, e.g. ``topic=/year=/month=/day=/hour=``."""
     reader = spark.read.schema(schema)
@@ -37,7 +37,7 @@ def read_event_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, fmt: str, options: dict[str, str],
-                  schema: T.StructType | None = None) -> DataFrame:
+                  schema: T.StructType | str | None = None) -> DataFrame:
     """Unbounded source that starts at the earliest record.
 
     ``kafka`` yields the record value as text in column ``value``; file formats
