@@ -62,7 +62,7 @@ query("stream_gps_thinned", SQL["gps_thinned"])(_thinned)
 def _(spark, sf):
     own = _stream_session(spark)
     gps, requests = _streams(own, sf)
-    rows = jobs.match_stream(clean.anonymize_to_centroid(gps), requests)
+    rows = jobs.match_stream(clean.anonymize_to_centroid(gps), requests, order="event_id")
     folder = work_folder(spark, "matches")
     jobs.run_available(rows, f"{folder}/checkpoint", path=f"{folder}/rows")
     return configure(spark).read.parquet(f"{folder}/rows")
@@ -77,6 +77,6 @@ def _(spark, sf):
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
 
-    events = jobs.match_events(clean.anonymize_to_centroid(gps), requests)
+    events = jobs.match_events(clean.anonymize_to_centroid(gps), requests, order="event_id")
     jobs.run_available(events, f"{folder}/checkpoint", batch_writer=jobs.match_stream_rounds(store))
     return configure(spark).read.parquet(f"{folder}/rows").drop("batch_id", "fare")

@@ -71,18 +71,23 @@ def demand_stream_from_text(gps_text: DataFrame, request_text: DataFrame) -> Dat
     return demand_stream(gps, requests)
 
 
-def match_events(gps: DataFrame, requests: DataFrame, city: str = CITY) -> DataFrame:
-    """Vehicle events and requests as one tagged stream for the matcher."""
+def match_events(gps: DataFrame, requests: DataFrame, city: str = CITY,
+                 order: str | None = None) -> DataFrame:
+    """Vehicle events and requests as one tagged stream for the matcher.
+
+    ``order`` names a number in both inputs that orders events of one second.
+    """
+    seq = (F.col(order) if order else F.lit(0)).cast("bigint").alias("seq")
     fare = F.col("fare") if "fare" in requests.columns else F.lit(0.0)
     vehicles = clean.valid_vehicles(gps).select(
         F.lit(city).alias("city"), "ts", F.lit(VEHICLE_EVENT).alias("kind"),
-        F.unix_timestamp("ts").alias("epoch_s"), F.col("taxi_id").alias("id"),
+        F.unix_timestamp("ts").alias("epoch_s"), seq, F.col("taxi_id").alias("id"),
         F.col("zone_id").cast("int").alias("zone"), "lat", "lon",
         is_available("status").alias("available"), F.lit(0).alias("dest_zone"),
         F.lit("").alias("rider_id"), F.lit(0.0).alias("fare"))
     asked = clean.valid_requests(requests).select(
         F.lit(city).alias("city"), "ts", F.lit(REQUEST_EVENT).alias("kind"),
-        F.unix_timestamp("ts").alias("epoch_s"), F.col("trip_id").alias("id"),
+        F.unix_timestamp("ts").alias("epoch_s"), seq, F.col("trip_id").alias("id"),
         F.col("origin_zone").cast("int").alias("zone"), F.lit(0.0).alias("lat"),
         F.lit(0.0).alias("lon"), F.lit(False).alias("available"),
         F.col("destination_zone").cast("int").alias("dest_zone"), "rider_id", fare.alias("fare"))
@@ -91,14 +96,15 @@ def match_events(gps: DataFrame, requests: DataFrame, city: str = CITY) -> DataF
 
 def match_stream(gps: DataFrame, requests: DataFrame, zones: Sequence[Zone] = CITY_ZONES,
                  city: str = CITY, timeout_s: int = 5, allow_ghosts: bool = False,
-                 eta_target: str = "destination", lateness: str = DEMAND_LATENESS) -> DataFrame:
+                 eta_target: str = "destination", lateness: str = DEMAND_LATENESS,
+                 order: str | None = None) -> DataFrame:
     """First-come matching of a request stream against a vehicle stream, one task per city.
 
     Order matters across neighbouring zones, so a city cannot be split further
     without changing results; ``match_stream_rounds`` is the form that spreads
     one city over many tasks.
     """
-    events = match_events(gps, requests, city).withWatermark("ts", lateness)
+    events = match_events(gps, requests, city, order).withWatermark("ts", lateness)
     neighbours = {z.zone_id: z.adjacency for z in zones}
     matched = events.groupBy("city").transformWithStateInPandas(
         MatchProcessor(neighbours, timeout_s, allow_ghosts), MATCH_OUTPUT, "Append", "EventTime")
@@ -121,8 +127,8 @@ def match_stream_rounds(write: Callable[[DataFrame, int], None], window: str = "
             "rider_id", "fare")
         pings = rows.filter(F.col("kind") == VEHICLE_EVENT).select(
             "window_start", F.col("id").alias("taxi_id"), F.col("zone").alias("zone_id"), "epoch_s",
-            "lat", "lon", F.when(F.col("available"), "IDLE").otherwise("BUSY").alias("status"))
-        vehicles = vehicle_state(pings, ["epoch_s"], ["window_start"])
+            "seq", "lat", "lon", F.when(F.col("available"), "IDLE").otherwise("BUSY").alias("status"))
+        vehicles = vehicle_state(pings, ["epoch_s", "seq"], ["window_start"])
         write(match_trips_rounds(requests, vehicles, zones), batch_id)
 
     return run

@@ -70,10 +70,6 @@ class ThinningProcessor(StatefulProcessor):
         pass
 
 
-MATCH_INPUT = (
-    "city STRING, ts TIMESTAMP, kind INT, epoch_s LONG, id STRING, zone INT, lat DOUBLE, "
-    "lon DOUBLE, available BOOLEAN, dest_zone INT, rider_id STRING, fare DOUBLE"
-)
 MATCH_OUTPUT = (
     "city STRING, trip_id STRING, taxi_id STRING, origin_zone INT, dest_zone INT, rider_id STRING, "
     "fare DOUBLE, matched BOOLEAN, matched_zone INT, requested_at LONG, emitted_for LONG, "
@@ -120,7 +116,7 @@ class MatchProcessor(StatefulProcessor):
         waiting = {k[0]: tuple(v) for k, v in list(self.waiting.iterator())}
         known = set(waiting)
         out: list[tuple] = []
-        for row in _in_order(rows, ["epoch_s", "kind", "id"]).itertuples(index=False):
+        for row in _in_order(rows, ["epoch_s", "kind", "seq", "id"]).itertuples(index=False):
             if row.kind == VEHICLE_EVENT:
                 self._see_vehicle(fleet, row)
                 self._retry(fleet, waiting, int(row.zone), int(row.epoch_s), out)
