@@ -118,10 +118,11 @@ def clipped_histogram(df: DataFrame, column: str = "trip_duration_sec", bins: in
     staged = counted.withColumns({"low": low, "high": high}) \
         .filter(F.col(column).between(F.col("low"), F.col("high")))
     width = (F.col("high") - F.col("low")) / bins
-    number = F.least(F.floor((F.col(column) - F.col("low")) / F.nullif(width, F.lit(0.0))),
-                     F.lit(bins - 1))
-    return staged.groupBy(F.coalesce(number, F.lit(0)).cast("int").alias("bin"),
-                          (F.col("low") + F.coalesce(number, F.lit(0)) * width).alias("from_value")) \
+    # A zero width (one single duration) puts everything into the first bin.
+    place = F.coalesce(F.floor((F.col(column) - F.col("low")) / F.nullif(width, F.lit(0.0))), F.lit(0))
+    number = F.least(place, F.lit(bins - 1))
+    return staged.groupBy(number.cast("int").alias("bin"),
+                          (F.col("low") + number * width).alias("from_value")) \
         .agg(F.sum("n").alias("trips"))
 
 

@@ -48,7 +48,7 @@ def _(spark, sf):
 def _thinned(spark, sf):
     own = _stream_session(spark)
     gps, _requests = _streams(own, sf)
-    rows = jobs.thin_stream(gps.select("taxi_id", "event_id", "epoch_s", "ts", "lat", "lon"), "epoch_s", ["event_id"])
+    rows = jobs.thin_stream(gps.select("taxi_id", "event_id", "epoch_s", "ts", "lat", "lon"), "epoch_s", ["epoch_s", "event_id"])
     folder = work_folder(spark, "thinned")
     kept = clean.anonymize_to_centroid(rows).select("taxi_id", "event_id", "epoch_s")
     jobs.run_available(kept, f"{folder}/checkpoint", path=f"{folder}/rows")

@@ -39,12 +39,20 @@ def configure_streaming(spark: SparkSession, state_partitions: int | None = None
     return spark
 
 
-def thin_stream(gps: DataFrame, time: str = "timestamp", order: Sequence[str] = (),
-                interval_s: int = 2, drop_late: bool = False,
-                lateness: str = GPS_LATENESS) -> DataFrame:
-    """Per-vehicle thinning of a stream that carries ``taxi_id``, ``ts`` and epoch seconds."""
-    return gps.withWatermark("ts", lateness).groupBy("taxi_id").transformWithStateInPandas(
-        ThinningProcessor(time, order, interval_s, drop_late), gps.schema, "Append", "EventTime")
+def thin_stream(gps: DataFrame, time: str = "timestamp", order: Sequence[str] | None = None,
+                interval_s: int = 2, drop_late: bool = False, lateness: str = GPS_LATENESS,
+                ttl_ms: int | None = None) -> DataFrame:
+    """Per-vehicle thinning of a stream that carries ``taxi_id``, ``ts`` and epoch seconds.
+
+    ``order`` names the columns that order a vehicle's events within a
+    micro-batch; event time by default, or e.g. a broker offset. ``ttl_ms``
+    expires idle vehicles of a running query; processing-time state keeps such
+    a query awake, so leave it out when draining a source once.
+    """
+    rows = gps.withWatermark("ts", lateness) if drop_late else gps
+    return rows.groupBy("taxi_id").transformWithStateInPandas(
+        ThinningProcessor(time, order or [time], interval_s, drop_late, ttl_ms), gps.schema,
+        "Append", "EventTime" if drop_late else "ProcessingTime" if ttl_ms else "None")
 
 
 def normalize_gps_stream(text: DataFrame, zones: Sequence[Zone] = CITY_ZONES, city: str = CITY,
@@ -96,7 +104,7 @@ def match_events(gps: DataFrame, requests: DataFrame, city: str = CITY,
 
 def match_stream(gps: DataFrame, requests: DataFrame, zones: Sequence[Zone] = CITY_ZONES,
                  city: str = CITY, timeout_s: int = 5, allow_ghosts: bool = False,
-                 eta_target: str = "destination", lateness: str = DEMAND_LATENESS,
+                 eta_target: str = "destination", lateness_s: int = 60,
                  order: str | None = None) -> DataFrame:
     """First-come matching of a request stream against a vehicle stream, one task per city.
 
@@ -104,10 +112,10 @@ def match_stream(gps: DataFrame, requests: DataFrame, zones: Sequence[Zone] = CI
     without changing results; ``match_stream_rounds`` is the form that spreads
     one city over many tasks.
     """
-    events = match_events(gps, requests, city, order).withWatermark("ts", lateness)
+    events = match_events(gps, requests, city, order)
     neighbours = {z.zone_id: z.adjacency for z in zones}
     matched = events.groupBy("city").transformWithStateInPandas(
-        MatchProcessor(neighbours, timeout_s, allow_ghosts), MATCH_OUTPUT, "Append", "EventTime")
+        MatchProcessor(neighbours, timeout_s, lateness_s, allow_ghosts), MATCH_OUTPUT, "Append", "None")
     return with_eta(matched, zones, eta_target).drop("lat", "lon")
 
 

@@ -28,25 +28,27 @@ def _in_order(rows: Iterator[pd.DataFrame], by: Sequence[str]) -> pd.DataFrame:
 class ThinningProcessor(StatefulProcessor):
     """Keep an event if it is ``interval_s`` or more away from the last kept one of its key.
 
-    A late event is compared by absolute distance, as any other. With
-    ``drop_late`` rows behind the watermark are dropped first; the engine itself
-    does not do that for stateful processors. State is one number per key and
-    is removed after ``idle_ms`` without events.
+    A late event is compared by absolute distance, as any other. State is one
+    number per key; ``ttl_ms`` lets it expire, which needs processing time. Run
+    in event time (``by_watermark``), events behind the watermark are dropped:
+    the engine drops those behind the previous batch's watermark, this
+    processor those behind the current one; idle keys then expire by timer.
     """
 
     def __init__(self, time: str, order: Sequence[str], interval_s: int = 2,
-                 drop_late: bool = False, idle_ms: int = IDLE_STATE_MS) -> None:
+                 by_watermark: bool = False, ttl_ms: int | None = None) -> None:
         self.time, self.order, self.interval_s = time, list(order), interval_s
-        self.drop_late, self.idle_ms = drop_late, idle_ms
+        self.by_watermark, self.ttl_ms = by_watermark, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last_kept", "t LONG")
+        ttl = None if self.by_watermark else self.ttl_ms
+        self.last = handle.getValueState("last_kept", "t LONG", ttl)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame],
                         timerValues: Any) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, [self.time, *self.order])
-        if self.drop_late and len(frame):
+        frame = _in_order(rows, self.order)
+        if self.by_watermark and len(frame):
             frame = frame[frame[self.time] * 1000 >= timerValues.getCurrentWatermarkInMs()]
         last = self.last.get()[0] if self.last.exists() else None
         keep = []
@@ -56,9 +58,10 @@ class ThinningProcessor(StatefulProcessor):
             last = t if kept else last
         if any(keep):
             self.last.update((int(last),))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(int(last) * 1000 + self.idle_ms)
+            if self.by_watermark:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(int(last) * 1000 + (self.ttl_ms or IDLE_STATE_MS))
             yield frame[keep]
 
     def handleExpiredTimer(self, key: Any, timerValues: Any,
@@ -88,48 +91,52 @@ class MatchProcessor(StatefulProcessor):
     vehicle event arrives in reach, and is reported unmatched a second time when
     its time-out passes. ``final_match_status`` resolves the several reports.
 
+    Time is the city's own event clock: the newest event seen less
+    ``lateness_s``. It is kept in state rather than taken from the engine's
+    watermark, because the engine would drop events behind that one, and late
+    vehicles and requests are to be served.
+
     The fleet and the waiting requests of the city are read from state once per
     micro-batch, worked on in memory, and only the changes are written back.
     """
 
     def __init__(self, neighbours: Mapping[int, Sequence[int]], timeout_s: int = 5,
-                 allow_ghosts: bool = False) -> None:
+                 lateness_s: int = 60, allow_ghosts: bool = False) -> None:
         self.neighbours = {z: list(n) for z, n in neighbours.items()}
-        self.timeout_s, self.allow_ghosts = timeout_s, allow_ghosts
+        self.timeout_s, self.lateness_s, self.allow_ghosts = timeout_s, lateness_s, allow_ghosts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         self.vehicles = handle.getMapState(
-            "vehicles", "place STRING",
-            "taxi STRING, zone INT, seen LONG, lat DOUBLE, lon DOUBLE")
+            "vehicles", "place STRING", "taxi STRING, zone INT, seen LONG, lat DOUBLE, lon DOUBLE")
         self.waiting = handle.getMapState(
-            "waiting", "trip STRING",
-            "origin INT, dest INT, rider STRING, fare DOUBLE, asked LONG")
-        self.emitted = handle.getValueState("emitted", "n LONG")
-
-    # -- one micro-batch -------------------------------------------------------------------
+            "waiting", "trip STRING", "origin INT, dest INT, rider STRING, fare DOUBLE, asked LONG")
+        self.progress = handle.getValueState("progress", "clock LONG, emitted LONG")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame],
                         timerValues: Any) -> Iterator[pd.DataFrame]:
-        city = key[0]
+        frame = _in_order(rows, ["epoch_s", "kind", "seq", "id"])
         fleet = _Fleet({k[0]: tuple(v) for k, v in list(self.vehicles.iterator())})
         waiting = {k[0]: tuple(v) for k, v in list(self.waiting.iterator())}
-        known = set(waiting)
+        before = dict(waiting)
+        clock, emitted = self.progress.get() if self.progress.exists() else (0, 0)
         out: list[tuple] = []
-        for row in _in_order(rows, ["epoch_s", "kind", "seq", "id"]).itertuples(index=False):
+        for row in frame.itertuples(index=False):
+            if row.epoch_s > clock:
+                clock = int(row.epoch_s)
+                self._expire(waiting, clock - self.lateness_s, out)
             if row.kind == VEHICLE_EVENT:
                 self._see_vehicle(fleet, row)
                 self._retry(fleet, waiting, int(row.zone), int(row.epoch_s), out)
             else:
                 self._serve(fleet, waiting, row, out)
         fleet.store(self.vehicles)
-        for trip in known - waiting.keys():
+        for trip in before.keys() - waiting.keys():
             self.waiting.removeKey((trip,))
-        for trip in waiting.keys() - known:
+        for trip in waiting.keys() - before.keys():
             self.waiting.updateValue((trip,), waiting[trip])
-            self.handle.registerTimer((waiting[trip][4] + self.timeout_s) * 1000)
+        self.progress.update((clock, emitted + len(out)))
         if out:
-            yield self._report(city, out)
+            yield self._report(key[0], emitted, out)
 
     def _see_vehicle(self, fleet: _Fleet, row: Any) -> None:
         place = f"{row.zone}|{row.id}" if self.allow_ghosts else row.id
@@ -158,22 +165,14 @@ class MatchProcessor(StatefulProcessor):
                 del waiting[trip]
                 out.append((trip, request, vehicle, now))
 
-    # -- time-outs -------------------------------------------------------------------------
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any,
-                           expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        now_ms = expiredTimerInfo.getExpiryTimeInMs()
-        out = []
-        for k, v in sorted(list(self.waiting.iterator()), key=lambda e: (e[1][4], e[0][0])):
-            if (v[4] + self.timeout_s) * 1000 <= now_ms:
-                out.append((k[0], tuple(v), None, v[4] + self.timeout_s))
-                self.waiting.removeKey((k[0],))
-        if out:
-            yield self._report(key[0], out)
+    def _expire(self, waiting: dict, now: int, out: list) -> None:
+        for trip, request in sorted(waiting.items(), key=lambda e: (e[1][4], e[0])):
+            if request[4] + self.timeout_s > now:
+                return
+            del waiting[trip]
+            out.append((trip, request, None, request[4] + self.timeout_s))
 
-    def _report(self, city: str, out: list[tuple]) -> pd.DataFrame:
-        first = self.emitted.get()[0] if self.emitted.exists() else 0
-        self.emitted.update((first + len(out),))
+    def _report(self, city: str, first: int, out: list[tuple]) -> pd.DataFrame:
         rows = []
         for number, (trip, request, vehicle, at) in enumerate(out, first):
             origin, dest, rider, fare, asked = request
