@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabstream.functions import geo
+from cabstream.functions.plan import evaluated_once
 from cabstream.operators.latest import first_per_key
 from cabstream.sources.zones import CITY, CITY_ZONES, Zone
 
@@ -65,10 +66,14 @@ def dedup_trips(df: DataFrame, key: str = "TRIP_ID",
     return first_per_key(df, [key], list(order_by or []))
 
 
-def non_empty_trajectory(df: DataFrame, text: str = "POLYLINE", points: str = "points") -> DataFrame:
-    """Parse the trajectory and keep rows that have at least one usable point."""
-    parsed = df.withColumn(points, geo.parse_points(text))
-    return parsed.filter(F.size(geo.usable_points(points)) > 0)
+def non_empty_trajectory(df: DataFrame, text: str = "POLYLINE", points: str = "points",
+                         usable: str = "usable_points") -> DataFrame:
+    """Parse the trajectory and keep rows that have at least one usable point.
+
+    Adds all listed points and, apart, those with both coordinates.
+    """
+    parsed = evaluated_once(df, points, geo.parse_points(text))
+    return evaluated_once(parsed, usable, geo.usable_points(points)).filter(F.size(usable) > 0)
 
 
 def anonymize_to_centroid(df: DataFrame, zones: Sequence[Zone] = CITY_ZONES,

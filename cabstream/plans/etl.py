@@ -44,8 +44,7 @@ def curate_trips(raw: DataFrame, zones: Sequence[Zone] = CITY_ZONES, src: geo.Bo
     (the ids); everything else is a projection.
     """
     trips = clean.dedup_trips(clean.drop_missing(raw), "TRIP_ID", order_by)
-    parsed = clean.non_empty_trajectory(trips, "POLYLINE", "_listed") \
-        .withColumn("_points", geo.usable_points("_listed"))
+    parsed = clean.non_empty_trajectory(trips, "POLYLINE", "_listed", "_points")
     measured = parsed.withColumns({
         **_calendar("TIMESTAMP"),
         "trip_distance_km": geo.polyline_distance_km("_points"),
@@ -65,8 +64,8 @@ def snap_trajectories(raw: DataFrame, refs: DataFrame, zones: Sequence[Zone] = C
     and each distinct spot is snapped once, so a taxi rank with a third of all
     points costs one lookup.
     """
-    trips = clean.non_empty_trajectory(raw, "POLYLINE", "points")
-    mapped = trips.select(key, geo.remap_polyline(geo.usable_points("points"), src,
+    trips = clean.non_empty_trajectory(raw, "POLYLINE")
+    mapped = trips.select(key, geo.remap_polyline("usable_points", src,
                                                   dst or geo.zone_box(zones)).alias("points"))
     points = trajectory.explode_points(mapped).select(
         key, "pos", F.struct(F.round(F.get("pt", F.lit(1)), 6).alias("lat"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabstream.functions.plan import evaluated_once
+
 BAD_RECORD = "_bad_record"
 
 # Field -> (type, default) of the event payloads.
@@ -49,10 +51,10 @@ def parse_json_fields(df: DataFrame, column: str, fields: dict[str, tuple[str, o
     """
     text_schema = ", ".join(f"`{name}` STRING" for name in fields)
     parsed = F.from_json(
-        F.col(column), f"{text_schema}, `{BAD_RECORD}` STRING",
+        F.col("_text"), f"{text_schema}, `{BAD_RECORD}` STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD},
     )
-    staged = df.select(*keep, F.col(column).alias("_text"), parsed.alias("_p"))
+    staged = evaluated_once(df.select(*keep, F.col(column).alias("_text")), "_p", parsed)
     typed = []
     for name, (kind, default) in fields.items():
         value = _typed(F.col(f"_p.`{name}`"), kind)
