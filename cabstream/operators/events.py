@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabstream.operators.demand import demand_windows
@@ -13,16 +13,19 @@ from cabstream.operators.ordered import last_known, next_row, previous_row, runn
 
 def drop_late(df: DataFrame, max_delay: int = 180, event_time: str = "event_s",
               arrival_time: str = "ingest_s", arrival_order: Sequence[str] = ("ingest_s",),
-              source: Sequence[str] = ()) -> DataFrame:
+              source: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
     """Drop events more than ``max_delay`` seconds behind the newest event seen before them.
 
     Times are epoch seconds. Without ``source`` columns there is one clock for
-    the whole table; it is still computed chunk by chunk of arrival time.
+    the whole table; it is still computed chunk by chunk, by default per minute
+    of arrival. A bulk load that arrived in one second is better cut by
+    ``chunk``, any number that grows with the arrival order (e.g. the broker
+    offset divided by 100,000).
     """
     keys = list(source) or ["_all"]
     rows = df if source else df.withColumn("_all", F.lit(0))
-    seen = running_max(rows, keys, list(arrival_order), time_chunk(arrival_time, 600),
-                       F.col(event_time), "_newest")
+    parts = time_chunk(arrival_time, 60) if chunk is None else chunk
+    seen = running_max(rows, keys, list(arrival_order), parts, F.col(event_time), "_newest")
     late = F.col(event_time) < F.col("_newest") - max_delay
     return seen.filter(~F.coalesce(late, F.lit(False))).drop("_newest", "_all")
 
@@ -78,9 +81,13 @@ def blackout_intervals(raw: DataFrame, key: str = "taxi_id", time: str = "timest
 
 
 def silent_gaps(df: DataFrame, key: str = "taxi_id", time: str = "timestamp",
-                tie: Sequence[str] = (), longer_than: int = 60) -> DataFrame:
-    """Stretches without any event of a vehicle that last more than ``longer_than`` seconds."""
-    near = previous_row(df, [key], [time, *tie], time_chunk(time), [time], "prev")
+                longer_than: int = 60) -> DataFrame:
+    """Stretches without any event of a vehicle that last more than ``longer_than`` seconds.
+
+    Events of one second are no gap, so they are first reduced to one map-side.
+    """
+    seconds = df.select(key, time).distinct()
+    near = previous_row(seconds, [key], [time], time_chunk(time), [time], "prev")
     gap = F.col(time) - F.col(f"prev.{time}")
     return near.filter(gap > longer_than).select(
         key, F.col(f"prev.{time}").alias("silent_from_s"), F.col(time).alias("silent_to_s"),
@@ -88,7 +95,7 @@ def silent_gaps(df: DataFrame, key: str = "taxi_id", time: str = "timestamp",
 
 
 def activity_sessions(df: DataFrame, key: str = "taxi_id", time: str = "timestamp",
-                      tie: Sequence[str] = (), gap_seconds: int = 60) -> DataFrame:
+                      gap_seconds: int = 60) -> DataFrame:
     """Sessions of a vehicle, split where it is silent for ``gap_seconds`` or longer.
 
     Same sessions as ``session_window``, which would sort one vehicle's whole

@@ -92,7 +92,8 @@ def densify(demand: DataFrame, zones: DataFrame, value: str = "demand_count") ->
     ends = demand.select(F.struct(F.min(SLOT).alias("lo"), F.max(SLOT).alias("hi")).alias("b"))
     low, high = (ends.select(f"b.{side}").scalar() for side in ("lo", "hi"))
     slots = F.sequence(low, high, F.expr("interval 30 minutes"))
-    spine = zones.select("zone_id", F.explode(slots).alias(SLOT))
+    # Zone rows are spread first, so each task unfolds its own zones.
+    spine = zones.select("zone_id").repartition("zone_id").select("zone_id", F.explode(slots).alias(SLOT))
     return spine.join(demand, ["zone_id", SLOT], "left") \
         .withColumn(value, F.coalesce(value, F.lit(0)))
 

@@ -196,7 +196,7 @@ def _(spark, sf):
 select taxi_id, p as silent_from_s, epoch_s as silent_to_s, epoch_s - p as gap_s from g where epoch_s - p > 60""",
        ["v_gps"])
 def _(spark, sf):
-    return events.silent_gaps(_named_gps(spark, sf), time="epoch_s", tie=["event_id"])
+    return events.silent_gaps(_named_gps(spark, sf), time="epoch_s")
 
 
 @query("activity_sessions", f"""with g as (select taxi_id, epoch_s, epoch_s - lag(epoch_s) over

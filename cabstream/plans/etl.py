@@ -62,9 +62,11 @@ def snap_trajectories(raw: DataFrame, refs: DataFrame, zones: Sequence[Zone] = C
 
     ``refs`` has ``ref_id``, ``lat``, ``lon``. Points are rounded to six digits
     and each distinct spot is snapped once, so a taxi rank with a third of all
-    points costs one lookup.
+    points costs one lookup. Ids are made unique first: regrouping points by a
+    repeated id would mix its copies' trajectories.
     """
-    trips = clean.non_empty_trajectory(raw, "POLYLINE")
+    unique = clean.dedup_trips(raw, key)
+    trips = clean.non_empty_trajectory(unique, "POLYLINE")
     mapped = trips.select(key, geo.remap_polyline("usable_points", src,
                                                   dst or geo.zone_box(zones)).alias("points"))
     points = trajectory.explode_points(mapped).select(
@@ -75,7 +77,7 @@ def snap_trajectories(raw: DataFrame, refs: DataFrame, zones: Sequence[Zone] = C
         .select("spot", F.col("snapped_lat").alias("lat"), F.col("snapped_lon").alias("lon"))
     regrouped = trajectory.collect_polyline(points.join(snapped, "spot"), key)
     zoned = _with_origin_zone(regrouped.withColumn("_path", geo.parse_points("POLYLINE")), "_path", zones)
-    return enrich.join_back(raw.drop("POLYLINE"), zoned.drop("_path"), key)
+    return enrich.join_back(unique.drop("POLYLINE"), zoned.drop("_path"), key)
 
 
 def write_curated(raw: DataFrame, path: str, **options) -> None:

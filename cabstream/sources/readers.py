@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 from cabstream import schemas
 
 
+# A first start reads a whole backlog; stateful operators hold one key's rows of a batch.
+RECORDS_PER_BATCH = 2_000_000
+FILES_PER_BATCH = 200
+
+
 def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
     """Historical trips with header; the schema is fixed, so no inference pass."""
     return spark.read.schema(schemas.TRIP_RAW).option("header", True).option("quote", '"') \
@@ -38,7 +43,7 @@ def read_event_text(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, fmt: str, options: dict[str, str],
                   schema: T.StructType | str | None = None) -> DataFrame:
-    """Unbounded source that starts at the earliest record.
+    """Unbounded source that starts at the earliest record, in batches of limited size.
 
     ``kafka`` yields the record value as text in column ``value``; file formats
     yield their own columns (``text`` also yields ``value``). Timestamps without
@@ -46,10 +51,11 @@ def stream_events(spark: SparkSession, fmt: str, options: dict[str, str],
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        options = {"startingOffsets": "earliest", **options}
+        options = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": str(RECORDS_PER_BATCH), **options}
         return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
     if schema is not None:
         reader = reader.schema(schema)
+    options = {"maxFilesPerTrigger": str(FILES_PER_BATCH), **options}
     return with_zoned_times(reader.options(**options).load())
 
 
