@@ -24,25 +24,25 @@ def _(spark, sf):
 
 
 def _gps_json(spark, sf):
-    """GPS events as broker text, every 53rd one damaged."""
+    """GPS events as broker text; those of a starting blackout arrive damaged."""
     rows = view(spark, sf, "v_gps").withColumn("timestamp", F.col("epoch_s")) \
         .withColumn("event_time", iso_instant("ts"))
     fields = ["taxi_id", "trip_id", "timestamp", "event_time", "lat", "lon", "speed", "status"]
     text = F.to_json(F.struct(*fields))
-    return rows.select("event_id", F.when(F.col("event_id") % 53 == 0, F.concat(F.lit("not json "), "trip_id"))
+    return rows.select("event_id", F.when(F.col("status") == "BLACKOUT_START", F.concat(F.lit("not json "), "trip_id"))
                        .otherwise(text).alias("value"))
 
 
 @query("gps_json_parsed", """
 select event_id, taxi_id, trip_id, epoch_s as timestamp, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as event_time,
        lat, lon, speed, status, false as late_arrival, ts
-from v_gps where event_id % 53 <> 0""", ["v_gps"])
+from v_gps where status <> 'BLACKOUT_START'""", ["v_gps"])
 def _(spark, sf):
     parsed = parsers.good_records(parsers.parse_gps(_gps_json(spark, sf), keep=("event_id",)))
     return parsed.drop("anomaly", "blackout_duration_s")
 
 
-@query("gps_json_quarantined", "select concat('not json ', trip_id) as text from v_gps where event_id % 53 = 0",
+@query("gps_json_quarantined", "select concat('not json ', trip_id) as text from v_gps where status = 'BLACKOUT_START'",
        ["v_gps"])
 def _(spark, sf):
     return parsers.quarantined(parsers.parse_gps(_gps_json(spark, sf)))
@@ -52,10 +52,10 @@ def _(spark, sf):
 select trip_id, rider_id, origin_zone, destination_zone, requested_at, call_type, 0e0 as fare, ts
 from v_requests""", ["v_requests"])
 def _(spark, sf):
-    # Every 5th request carries only the ISO time, as the trip service writes it.
+    # Street hails carry only the ISO time, as the trip service writes it.
     rows = view(spark, sf, "v_requests").withColumn(
-        "event_time", F.when(F.col("event_id") % 5 == 0, iso_instant("ts"))).withColumn(
-        "requested_at", F.when(F.col("event_id") % 5 != 0, F.col("requested_at")))
+        "event_time", F.when(F.col("call_type") == "C", iso_instant("ts"))).withColumn(
+        "requested_at", F.when(F.col("call_type") != "C", F.col("requested_at")))
     text = to_json_events(rows, columns=["trip_id", "rider_id", "origin_zone", "destination_zone",
                                          "requested_at", "event_time", "call_type"])
     parsed = parsers.good_records(parsers.parse_trip_request(text))
@@ -112,7 +112,7 @@ def _(spark, sf):
 def _(spark, sf):
     # Exact copies on top of ids that repeat with other attributes.
     trips = view(spark, sf, "v_trips")
-    copies = trips.unionByName(trips.filter("trip_id % 7 = 0"))
+    copies = trips.unionByName(trips)
     return clean.dedup_trips(copies, "trip_id", DEDUP_ORDER)
 
 
@@ -172,12 +172,12 @@ def _(spark, sf):
 
 
 @query("trips_with_weather", """
-select trip_id, epoch_s, coalesce(w.temperature_2m, 15e0) as temperature_2m, coalesce(w.rain, 0e0) as rain
-from v_trips t left join (select * from v_weather where hour_s % 7200 = 0) w
+select trip_id, epoch_s, coalesce(nullif(w.temperature_2m, 20e0), 15e0) as temperature_2m, coalesce(w.rain, 0e0) as rain
+from v_trips t left join v_weather w
   on w.time_slot_1h = date_trunc('hour', t.ts)""", ["v_trips", "v_weather"])
 def _(spark, sf):
-    # Odd hours have no weather row and take the defaults.
-    weather = view(spark, sf, "v_weather").filter("hour_s % 7200 = 0")
+    # A reading of exactly 20 degrees stands for a missing one and takes the default.
+    weather = view(spark, sf, "v_weather").withColumn("temperature_2m", F.nullif("temperature_2m", F.lit(20.0)))
     return enrich.enrich_weather(view(spark, sf, "v_trips"), weather, "ts") \
         .select("trip_id", "epoch_s", "temperature_2m", "rain")
 

@@ -12,22 +12,23 @@ from cabstream.plans.views import view
 
 
 def raw_trips(spark, sf):
-    """Trajectories in the historical layout: repeated ids, flagged and empty trips."""
-    return view(spark, sf, "v_poly").select(
-        (F.col("vec_id") % 400).cast("string").alias("TRIP_ID"), F.lit("A").alias("CALL_TYPE"),
+    """Trajectories in the historical layout: every trip twice, flagged and empty trips among them."""
+    rows = view(spark, sf, "v_poly")
+    twice = rows.unionByName(rows.withColumn("epoch_s", F.col("epoch_s") + 60))
+    return twice.select(
+        F.col("vec_id").cast("string").alias("TRIP_ID"), F.lit("A").alias("CALL_TYPE"),
         F.lit(None).cast("int").alias("ORIGIN_CALL"), F.lit(None).cast("int").alias("ORIGIN_STAND"),
         F.col("label").alias("TAXI_ID"), F.col("epoch_s").alias("TIMESTAMP"), F.lit("A").alias("DAY_TYPE"),
-        (F.col("label") % 9 == 0).alias("MISSING_DATA"), F.to_json("points").alias("POLYLINE"))
+        (F.col("label") == 0).alias("MISSING_DATA"), F.to_json("points").alias("POLYLINE"))
 
 
 @query("curated_trips", f"""
-with one as (select * from (select *, row_number() over (partition by vec_id % 400 order by epoch_s) as rn
-    from v_poly where label % 9 <> 0) d where rn = 1 and len(points) > 0),
+with one as (select * from v_poly where label <> 0 and len(points) > 0),
 m as (select *, {LENGTH_SQL} as km, {REMAPPED_SQL} as mapped, make_timestamp(epoch_s * 1000000) as ts from one),
 z as (select m.*, v_zones.zone_id, zone_name, zone_type, row_number() over (partition by vec_id order by
     (mapped[1][2] - centroid_lat)*(mapped[1][2] - centroid_lat) + (mapped[1][1] - centroid_lon)*(mapped[1][1] - centroid_lon),
     v_zones.zone_id) as near from m, v_zones)
-select cast(vec_id % 400 as varchar) as TRIP_ID, epoch_s as TIMESTAMP, cast(hour(ts) as int) as hour_of_day,
+select cast(vec_id as varchar) as TRIP_ID, epoch_s as TIMESTAMP, cast(hour(ts) as int) as hour_of_day,
   cast(dayofweek(ts) + 1 as int) as day_of_week, strftime(ts, '%Y-%m') as year_month, round(km, 6) as trip_distance_km,
   cast(len(points) * 15 as int) as trip_duration_sec, cast(len(mapped) as int) as n_points,
   zone_id as CASA_ORIGIN_ZONE, zone_name as CASA_ORIGIN_ZONE_NAME, zone_type as CASA_ORIGIN_ZONE_TYPE
@@ -49,7 +50,7 @@ def _spot(point: str, box: geo.Box = geo.SOURCE_BOX) -> tuple[str, str]:
 
 @query("trajectories_snapped", f"""
 with refs as (select vec_id as ref_id, {_spot('points[1]')[0]} as lat, {_spot('points[1]')[1]} as lon
-  from v_poly where len(points) > 0 and vec_id % 5 = 0),
+  from v_poly where len(points) > 0),
 pts as (select vec_id, pos, round({_spot('points[pos]')[0]}, 6) as lat, round({_spot('points[pos]')[1]}, 6) as lon
   from (select *, unnest(range(1, len(points) + 1)) as pos from v_poly) p),
 spots as (select distinct lat, lon from pts),
@@ -65,7 +66,7 @@ def _(spark, sf):
     rows = view(spark, sf, "v_poly").select(F.col("vec_id").cast("string").alias("TRIP_ID"), "label",
                                             F.to_json("points").alias("POLYLINE"))
     start = geo.start_point(geo.remap_polyline("points"))
-    refs = view(spark, sf, "v_poly").filter((F.size("points") > 0) & (F.col("vec_id") % 5 == 0)).select(
+    refs = view(spark, sf, "v_poly").filter(F.size("points") > 0).select(
         F.col("vec_id").alias("ref_id"), F.get(start, F.lit(1)).alias("lat"), F.get(start, F.lit(0)).alias("lon"))
     snapped = etl.snap_trajectories(rows, refs).withColumn("p", geo.parse_points("POLYLINE"))
 

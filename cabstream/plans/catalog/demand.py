@@ -78,7 +78,7 @@ def _(spark, sf):
 @query("spike_quality", f"""with {window_ctes()}, t as (select zone_id, window_start, pending_requests as n,
   coalesce(avg(pending_requests) over (partition by zone_id order by window_start {_TRAILING}), 0) as m from dw),
 truth as (select distinct origin_zone as zone_id, time_bucket(interval 30 seconds, ts) as window_start
-  from v_requests where event_id % 23 = 0 and origin_zone > 0),
+  from v_requests where destination_zone = origin_zone and origin_zone > 0),
 j as (select m > 0 and n >= m * 3 as said, truth.zone_id is not null as was
   from t left join truth using (zone_id, window_start))
 select count(*) filter (where said and was) as hits, count(*) filter (where said) as flagged,
@@ -88,7 +88,7 @@ select count(*) filter (where said and was) as hits, count(*) filter (where said
 from j""", GPS_VIEWS)
 def _(spark, sf):
     flagged = demand.demand_spikes(windows(spark, sf))
-    labelled = valid_requests(spark, sf).filter("event_id % 23 = 0").select(
+    labelled = valid_requests(spark, sf).filter("destination_zone = origin_zone").select(
         F.col("origin_zone").alias("zone_id"), F.window("ts", "30 seconds")["start"].alias("window_start"))
     return demand.spike_quality(flagged, labelled).withColumns({c: r6(c) for c in ("precision", "recall")})
 

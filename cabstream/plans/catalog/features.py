@@ -44,12 +44,12 @@ select l.zone_id, l.time_slot_30min, l.demand_count, cast(hour(l.time_slot_30min
   case when coalesce(w.temperature_2m, 15e0) between 15 and 28 then 1 else 0 end as temp_mild,
   demand_lag_1d, demand_lag_7d, rolling_7d_mean, strftime(l.time_slot_30min, '%Y-%m') as year_month
 from lagged l left join v_zones z on z.zone_id = l.zone_id
-left join (select * from v_weather where hour_s % 10800 <> 0) w on w.time_slot_1h = date_trunc('hour', l.time_slot_30min)"""
+left join (select time_slot_1h, rain, nullif(temperature_2m, 20e0) as temperature_2m from v_weather) w on w.time_slot_1h = date_trunc('hour', l.time_slot_30min)"""
 
 
 def matrix(spark, sf, lag_mode="rows"):
-    # Every third hour lacks weather and takes the defaults.
-    weather = view(spark, sf, "v_weather").filter("hour_s % 10800 <> 0")
+    # A reading of exactly 20 degrees stands for a missing one; hours without a trip have no row.
+    weather = view(spark, sf, "v_weather").withColumn("temperature_2m", F.nullif("temperature_2m", F.lit(20.0)))
     return features.build_features(view(spark, sf, "v_trips"), city_zones(spark), weather, lag_mode)
 
 
@@ -137,16 +137,16 @@ def _(spark, sf):
 
 _FORECAST = ("fc as (select zone_id, window_start, round(avg(pending_requests) over (partition by zone_id order by "
              "window_start rows between 10 preceding and 1 preceding), 2) as forecasted_demand from dw "
-             "where epoch(window_start) % 60 = 0)")
+             "where active_vehicles > 0)")
 
 
 def _compared(spark, sf):
-    """Windows next to a forecast (trailing mean) made for every full minute only."""
+    """Windows next to a forecast (trailing mean) made where vehicles were free only."""
     from pyspark.sql.window import Window
 
     actual = windows(spark, sf)
     past = Window.partitionBy("zone_id").orderBy("window_start").rowsBetween(-10, -1)
-    made = actual.filter(F.unix_timestamp("window_start") % 60 == 0).withColumn(
+    made = actual.filter("active_vehicles > 0").withColumn(
         "forecasted_demand", F.round(F.avg("pending_requests").over(past), 2))
     return forecast.forecast_vs_actual(actual, made)
 

@@ -135,7 +135,7 @@ SNAP_KM = haversine_sql("p.lat", "p.lon", "r.lat", "r.lon")
 
 
 @query("points_snapped", f"""
-with p as (select event_id, lat, lon from v_gps where lat <> 0),
+with p as (select event_id, lat, lon from v_gps),
 r as (select vec_id as ref_id, {remap_sql('points[1][2]', 41.1, 41.19, TARGET.lat_min, TARGET.lat_max)} as lat,
              {remap_sql('points[1][1]', -8.69, -8.55, TARGET.lon_min, TARGET.lon_max)} as lon
       from v_poly where len(points) > 0),

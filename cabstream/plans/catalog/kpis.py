@@ -43,11 +43,11 @@ def _(spark, sf):
 
 
 @query("uncovered_zones", """
-select taxi_id % 40 + 1 as cell, count(*) as demand, count(distinct taxi_id) as vehicles from v_trips
-group by 1 having count(*) > 100 and count(distinct taxi_id) < 3""", ["v_trips"])
+select zone_id, dest_zone, count(*) as demand, count(distinct taxi_id) as vehicles from v_trips
+group by all having count(*) > 100 and count(distinct taxi_id) < 7""", ["v_trips"])
 def _(spark, sf):
-    cells = view(spark, sf, "v_trips").withColumn("cell", F.col("taxi_id") % 40 + 1)
-    return kpi.uncovered_zones(cells, ("cell",), demand_above=100, vehicles_below=3)
+    corridors = ("zone_id", "dest_zone")
+    return kpi.uncovered_zones(view(spark, sf, "v_trips"), corridors, demand_above=100, vehicles_below=7)
 
 
 @query("trip_type_distribution", """
@@ -273,7 +273,7 @@ def _(spark, sf):
 
 
 @query("stage_accounting", """
-with raw as (select trip_id % 37 as trip_id, points, epoch_s, label % 9 = 0 as missing from v_poly),
+with raw as (select label as trip_id, points, epoch_s, len(points) > 25 as missing from v_poly),
 clean as (select * from raw where not missing and len(points) > 0),
 one as (select trip_id, min(len(points)) as n from clean group by 1)
 select 'raw_rows' as stage, count(*)::double as value from raw
@@ -282,6 +282,6 @@ union all select 'dedup_rows', count(*) from one union all select 'exploded_rows
 union all select 'regrouped_rows', count(*) from one
 union all select 'null_times', count(*) filter (where epoch_s is null) from clean""", ["v_poly"])
 def _(spark, sf):
-    trips = view(spark, sf, "v_poly").withColumn("trip_id", F.col("trip_id") % 37) \
-        .withColumn("missing_data", F.col("label") % 9 == 0)
+    trips = view(spark, sf, "v_poly").withColumn("trip_id", F.col("label")) \
+        .withColumn("missing_data", F.size("points") > 25)
     return quality.stage_accounting(trips)

@@ -144,19 +144,19 @@ def _(spark, sf):
 
 
 def _uuid_trips(spark, sf):
-    """Ids as UUID text, except every ninth, which stays no UUID and is skipped."""
+    """Ids as UUID text, except those of trips within one zone, which stay no UUID and are skipped."""
     number = F.regexp_extract("trip_id", "(\\d+)", 1)
     uuid = F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(number, 12, "0"))
     rows = final(spark, sf)
     return matching.serving_trips(rows.withColumn(
-        "trip_id", F.when(number.cast("bigint") % 9 == 0, F.col("trip_id")).otherwise(uuid)))
+        "trip_id", F.when(F.col("origin_zone") == F.col("dest_zone"), F.col("trip_id")).otherwise(uuid)))
 
 
 SERVING_SQL = f"""{FINAL_SQL}, n as (select *, regexp_extract(trip_id, '(\\d+)', 1) as num from fin),
 served as (select 'casablanca' as city, strftime(make_timestamp(requested_at * 1000000), '%Y-%m-%d') as date_bucket,
   make_timestamp(requested_at * 1000000) as created_at, concat('00000000-0000-4000-8000-', lpad(num, 12, '0')) as trip_id,
   taxi_id, origin_zone, dest_zone, rider_id, case when matched then 'matched' else 'unmatched' end as status,
-  eta_seconds from n where cast(num as bigint) % 9 <> 0)"""
+  eta_seconds from n where origin_zone <> dest_zone)"""
 
 
 @query("serving_trips", f"{SERVING_SQL} select * from served", ["v_match_records"])
