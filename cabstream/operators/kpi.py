@@ -170,18 +170,21 @@ def to_kpi_rows(df: DataFrame, kpi_name: str, category: Column | str, value: Col
 
 
 def kpi_table(trips: DataFrame, ts: str = "ts", taxi: str = "taxi_id") -> DataFrame:
-    """All dashboard KPIs as one tall table from a single pass over the trips.
+    """All dashboard KPIs as one tall table.
 
-    Grouping sets compute the six groupings from one scan: each row is expanded
-    inside the task, partially aggregated there and shuffled once.
+    The trips are first reduced to one row per (zone, hour, call type, week),
+    mostly map-side; the grouping sets then expand that small table and not the
+    trips. Distinct taxis are counted from a second, (zone, taxi) reduction.
     """
     base = trips.select("zone_id", "zone_name", F.col(taxi).alias("taxi_id"), "trip_duration_sec",
                         F.hour(ts).alias("hour_of_day"), "call_type",
                         labels.iso_year_week(ts).alias("year_week"))
     zone, hour, kind, week = (F.col(c) for c in ("zone_id", "hour_of_day", "call_type", "year_week"))
     sets = [[zone, F.col("zone_name")], [hour], [kind], [week], []]
-    grouped = base.groupingSets(sets, zone, F.col("zone_name"), hour, kind, week).agg(
-        _count(), F.sum("trip_duration_sec").alias("duration_sum"),
+    cells = base.groupBy("zone_id", "zone_name", "hour_of_day", "call_type", "year_week").agg(
+        _count("n"), F.sum("trip_duration_sec").alias("seconds"))
+    grouped = cells.groupingSets(sets, zone, F.col("zone_name"), hour, kind, week).agg(
+        F.sum("n").alias("trip_count"), F.sum("seconds").alias("duration_sum"),
         F.grouping("zone_id").alias("g_zone"), F.grouping("hour_of_day").alias("g_hour"),
         F.grouping("call_type").alias("g_type"), F.grouping("year_week").alias("g_week"))
     # Distinct taxis need their own grouping; first to (zone, taxi), then per zone.

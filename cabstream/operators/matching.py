@@ -31,7 +31,8 @@ def vehicle_state(pings: DataFrame, order_by: Sequence[str] = ("timestamp",),
     ``by`` adds grouping columns such as the matching window.
     """
     keys = ["taxi_id", *by, *(["zone_id"] if allow_ghosts else [])]
-    last = latest_per_key(pings, keys, list(order_by))
+    needed = dict.fromkeys([*keys, *order_by, "zone_id", "lat", "lon", "status"])
+    last = latest_per_key(pings.select(*[c for c in needed if c in pings.columns]), keys, list(order_by))
     return last.filter(is_available("status")).withColumn("last_seen", F.col(order_by[0]))
 
 

@@ -60,6 +60,21 @@ def test_kpis_reconcile(spark, curated, tmp_path):
     assert len(found) == 4 and all(r.agrees for r in found)
 
 
+def test_command_line_jobs(spark, curated, tmp_path):
+    from argparse import Namespace
+
+    from cabstream.__main__ import _run_batch
+
+    weather = str(tmp_path / "weather")
+    spark.createDataFrame([], "time_slot_1h TIMESTAMP, temperature_2m DOUBLE, rain DOUBLE").write.parquet(weather)
+    for job, extra in (("kpis", {}), ("features", {"weather": weather, "lag_mode": "rows"})):
+        _run_batch(spark, Namespace(job=job, input=curated, output=str(tmp_path / job), zones=None, **extra))
+    table = spark.read.parquet(str(tmp_path / "kpis"))
+    assert rows(table.filter("kpi_name = 'total_trips'"), "value") == [(2.0,)]
+    matrix = spark.read.parquet(str(tmp_path / "features"))
+    assert rows(matrix.groupBy("year_month").agg(F.sum("demand_count"))) == [("2013-07", 1), ("2013-08", 1)]
+
+
 def test_snapped_trajectories(spark):
     raw = spark.createDataFrame([("a", "[[-8.62,41.15],[-8.62,41.15]]"), ("a", "[[-8.62,41.15]]"), ("b", "bad")],
                                 "TRIP_ID STRING, POLYLINE STRING")
