@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cabstream.operators import clean
 from cabstream.plans.catalog.demand import GPS_VIEWS, WINDOWS_SQL
@@ -12,7 +13,7 @@ from cabstream.plans.catalog.registry import SQL, query
 from cabstream.plans.views import table, view
 from cabstream.session import configure, work_folder
 from cabstream.sources.readers import stream_events
-from cabstream.sources.sinks import read_upserted, upsert_writer
+from cabstream.sources.sinks import read_upserted, to_json_events, upsert_writer
 from cabstream.streaming import jobs
 
 WINDOW_KEYS = ["city", "zone_id", "window_start"]
@@ -80,3 +81,13 @@ def _(spark, sf):
     events = jobs.match_events(clean.anonymize_to_centroid(gps), requests, order="event_id")
     jobs.run_available(events, f"{folder}/checkpoint", batch_writer=jobs.match_stream_rounds(store))
     return configure(spark).read.parquet(f"{folder}/rows").drop("batch_id", "fare")
+
+
+@query("stream_gps_normalized", f"select taxi_id, epoch_s as timestamp, 'casablanca' as city from ({SQL['gps_thinned']}) t")
+def _(spark, sf):
+    own = _stream_session(spark)
+    raw = view(own, sf, "v_gps", _event_stream(own, sf)).withColumn("timestamp", F.col("epoch_s"))
+    text = to_json_events(raw, columns=["taxi_id", "trip_id", "timestamp", "lat", "lon", "speed", "status"])
+    folder = work_folder(spark, "normalized")
+    jobs.run_available(jobs.normalize_gps_stream(text), f"{folder}/checkpoint", path=f"{folder}/rows")
+    return configure(spark).read.parquet(f"{folder}/rows").select("taxi_id", "timestamp", "city")
