@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabstream.functions.plan import evaluated_once
 from cabstream.sources.zones import CITY_ZONES, MAX_LITERAL_ZONES, Zone
 
 EARTH_RADIUS_KM = 6371.0
 AVG_SPEED_KMH = 25.0
 POINT_INTERVAL_S = 15
+# Beyond this many zones the distances are computed by a loop instead of unrolled code.
+MAX_UNROLLED_ZONES = 32
 POINTS_TYPE = "array<array<double>>"
 
 
@@ -63,24 +66,34 @@ def _sql_literal(value: object) -> str:
     return f"{value!r}D" if isinstance(value, float) else str(value)
 
 
-def nearest_zone(lat: str, lon: str, zones: Sequence[Zone] = CITY_ZONES) -> Column:
-    """Id of the zone with the smallest squared degree distance; the first zone wins ties.
-
-    One projection over literals: no join, no shuffle, valid on streams. The
-    list is bounded; larger dimensions go through ``snap_to_reference``. A
-    missing coordinate gives zone 0; the result is never null, which spares
-    the plan null checks that would repeat the whole expression.
-    """
+def _squared_distances(lat: str, lon: str, zones: Sequence[Zone]) -> str:
+    """SQL text of the array of squared degree distances to all zones, in list order."""
     if not 0 < len(zones) <= MAX_LITERAL_ZONES:
-        raise ValueError(f"nearest_zone takes 1 to {MAX_LITERAL_ZONES} zones, got {len(zones)}")
-    squared = ", ".join(
+        raise ValueError(f"a zone list has 1 to {MAX_LITERAL_ZONES} zones, got {len(zones)}")
+    if len(zones) > MAX_UNROLLED_ZONES:
+        spots = ", ".join(f"struct({z.centroid_lat!r}D as y, {z.centroid_lon!r}D as x)" for z in zones)
+        return (f"transform(array({spots}), z -> (`{lat}` - z.y) * (`{lat}` - z.y)"
+                f" + (`{lon}` - z.x) * (`{lon}` - z.x))")
+    return "array(" + ", ".join(
         f"(`{lat}` - {z.centroid_lat!r}D) * (`{lat}` - {z.centroid_lat!r}D) + "
         f"(`{lon}` - {z.centroid_lon!r}D) * (`{lon}` - {z.centroid_lon!r}D)".replace("- -", "+ ")
-        for z in zones)
+        for z in zones) + ")"
+
+
+def with_nearest_zone(df: DataFrame, lat: str = "lat", lon: str = "lon",
+                      zones: Sequence[Zone] = CITY_ZONES, name: str = "zone_id") -> DataFrame:
+    """Add the zone with the smallest squared degree distance; the first zone wins ties.
+
+    Literals only: no join, no shuffle, valid on streams. The list is bounded;
+    larger dimensions go through ``snap_to_reference``. A missing coordinate
+    gives zone 0, so the column is never null. The distances are computed once
+    per row however often the zone is used or filtered on, which also keeps the
+    generated method small enough for the JVM to compile it.
+    """
     ids = ", ".join(str(z.zone_id) for z in zones)
-    smallest = f"least({squared})" if len(zones) > 1 else squared
-    # One parsed expression: building it column by column costs hundreds of gateway calls.
-    return F.expr(f"coalesce(get(array({ids}), cast(array_position(array({squared}), {smallest}) as int) - 1), 0)")
+    measured = evaluated_once(df, "_away", F.expr(_squared_distances(lat, lon, zones)))
+    place = "cast(array_position(_away, array_min(_away)) as int)"
+    return measured.withColumn(name, F.expr(f"coalesce(get(array({ids}), {place} - 1), 0)")).drop("_away")
 
 
 def zone_attribute(zone_id: Column | str, field: str,

@@ -79,7 +79,7 @@ def non_empty_trajectory(df: DataFrame, text: str = "POLYLINE", points: str = "p
 def anonymize_to_centroid(df: DataFrame, zones: Sequence[Zone] = CITY_ZONES,
                           city: str = CITY) -> DataFrame:
     """Replace each position by its zone's centroid; the measured position is not kept."""
-    mapped = evaluated_once(df, "zone_id", geo.nearest_zone("lat", "lon", zones))
+    mapped = geo.with_nearest_zone(df, "lat", "lon", zones)
     return mapped.withColumns({
         "lat": geo.zone_attribute("zone_id", "centroid_lat", zones),
         "lon": geo.zone_attribute("zone_id", "centroid_lon", zones),

@@ -34,7 +34,7 @@ REMAPPED_SQL = f"list_transform(points, lambda p: {remap_point_sql('p', geo.SOUR
 @query("nearest_zone_of_pings", "select event_id, zone_id, zone_name from v_norm",
        ["v_gps", "v_zones", "v_norm"])
 def _(spark, sf):
-    zoned = valid_gps(spark, sf).withColumn("zone_id", geo.nearest_zone("lat", "lon"))
+    zoned = geo.with_nearest_zone(valid_gps(spark, sf))
     return zoned.select("event_id", "zone_id", geo.zone_attribute("zone_id", "zone_name").alias("zone_name"))
 
 
@@ -44,7 +44,7 @@ from v_gps g join v_norm n using (event_id)""", ["v_gps", "v_zones", "v_norm"])
 def _(spark, sf):
     km = geo.haversine_km("lat", "lon", geo.zone_attribute("zone_id", "centroid_lat"),
                           geo.zone_attribute("zone_id", "centroid_lon"))
-    zoned = valid_gps(spark, sf).withColumn("zone_id", geo.nearest_zone("lat", "lon"))
+    zoned = geo.with_nearest_zone(valid_gps(spark, sf))
     return zoned.select("event_id", r6(km).alias("km"))
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstream.functions import geo
-from cabstream.functions.plan import evaluated_once
 from cabstream.operators import clean, enrich, features, forecast, kpi, snapping, trajectory
 from cabstream.operators.quality import reconcile_kpis
 from cabstream.sources.sinks import write_partitioned
@@ -28,8 +27,7 @@ def _with_origin_zone(df: DataFrame, path: str, zones: Sequence[Zone]) -> DataFr
     """Origin zone, its name and type from the first point of a remapped trajectory."""
     start = geo.start_point(path)
     first = df.withColumns({"_lon": F.get(start, F.lit(0)), "_lat": F.get(start, F.lit(1))})
-    placed = evaluated_once(first, ZONE_COLUMN, geo.nearest_zone("_lat", "_lon", zones)) \
-        .drop("_lon", "_lat")
+    placed = geo.with_nearest_zone(first, "_lat", "_lon", zones, ZONE_COLUMN).drop("_lon", "_lat")
     return enrich.enrich_zone(placed, zones_df(df.sparkSession, zones), ZONE_COLUMN, f"{ZONE_COLUMN}_") \
         .withColumnRenamed(f"{ZONE_COLUMN}_name", f"{ZONE_COLUMN}_NAME") \
         .withColumnRenamed(f"{ZONE_COLUMN}_type", f"{ZONE_COLUMN}_TYPE")

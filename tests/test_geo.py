@@ -26,10 +26,16 @@ def test_haversine(spark):
 def test_nearest_zone_ties_and_missing(spark):
     twin = [Z.Zone(7, "a", "x", 1, 1.0, 0.0, ()), Z.Zone(9, "b", "x", 1, -1.0, 0.0, ())]
     df = spark.createDataFrame([(0.0, 0.0), (-0.1, 0.0), (0.1, 5.0), (None, 1.0)], "lat DOUBLE, lon DOUBLE")
-    assert [r[0] for r in df.select(geo.nearest_zone("lat", "lon", twin)).collect()] == [7, 9, 7, 0]
-    assert df.select(geo.nearest_zone("lat", "lon", twin[:1])).first()[0] == 7
+    def ids(zones):
+        return [r.zone_id for r in geo.with_nearest_zone(df, "lat", "lon", zones).collect()]
+
+    assert ids(twin) == [7, 9, 7, 0]
+    assert ids(twin[:1]) == [7, 7, 7, 0]
+    # A long list takes the looped form; far zones change nothing.
+    far = [Z.Zone(100 + i, "f", "x", 1, 80.0, i / 10, ()) for i in range(geo.MAX_UNROLLED_ZONES)]
+    assert ids(twin + far) == [7, 9, 7, 0]
     with pytest.raises(ValueError):
-        geo.nearest_zone("lat", "lon", [])
+        ids([])
 
 
 def test_zone_names_with_quotes(spark):
