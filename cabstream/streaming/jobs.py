@@ -125,6 +125,8 @@ def match_stream_rounds(write: Callable[[DataFrame, int], None], window: str = "
 
     Requests and vehicles of a batch are matched per window and zone by the
     distributed round matcher; ``write`` stores the result of the batch.
+    A window cut by a batch boundary is matched in parts, so triggers should be
+    longer than the window.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
