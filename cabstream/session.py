@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,12 +26,40 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder for state that must outlive an executor.
+    """A new folder, seen by every executor, for data that must outlive one.
 
-    Clusters name a shared folder in ``spark.checkpoint.dir``; only where that
-    is unset (tests on one machine) is a local temporary folder used.
+    Clusters name a shared folder in ``spark.checkpoint.dir``. Where it is unset
+    the warehouse is used, which executors have to share as well. A folder of
+    one machine is never taken.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"cabstream-{purpose}-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path and the path itself, as the JVM knows them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver found it.
+
+    The package is put as a zip file into the shared folder and added to the
+    session once. Call it before a job whose functions run in Python workers.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_cabstream_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, f"{root.name}/{file.relative_to(root)}")
+    path = f"{work_folder(spark, 'package')}/{root.name}.zip"
+    files, where = hadoop_path(spark, path)
+    stream = files.create(where)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(path)
+    context._cabstream_shipped = True
