@@ -5,14 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cabstream.llm import simhash
+from cabstream.llm import binary_output, packing, sharding, simhash, token_counts
 from cabstream.llm.common import read_table
+from cabstream.session import work_folder
+
+SHARDS = 24
+CAPACITY = 4096
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file, the same on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -26,3 +38,33 @@ def query(name: str, sql: str | None = None):
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(read_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"),
+                                    capacity=CAPACITY, end_id=1)
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark, "token-files")
+    binary_output.write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"),
+                                    end_id=2)
+    return binary_output.read_documents(spark, path)
+
+
+@query("op9_sharding")
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    sized = docs.select("doc_id", (F.length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    placed = sharding.uniform_shards(sized, SHARDS, ["doc_id", "text_crc32", "size"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"),
+                                     limit=CAPACITY)
