@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstream.llm import binary_output, packing, sharding, simhash, token_counts
+from cabstream.llm import ann, binary_output, line_dedup, packing, sharding, simhash, token_counts
 from cabstream.llm.common import read_table
 from cabstream.session import work_folder
 
@@ -46,6 +46,24 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     capacity=CAPACITY, end_id=1)
 
 
+LINE_SQL = r"""
+with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+lines as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from docs),
+keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+bad as (select key from keyed where length(key) >= 1 group by key having count(distinct doc_id) >= 10)
+select doc_id, count(*) as n_lines, count(b.key) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where b.key is null), '')) as kept_sha256
+from keyed left join bad b on keyed.key = b.key group by doc_id"""
+
+
+@query("op5_line_dedup", LINE_SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_repeated_lines(docs, min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "token-files")
@@ -54,6 +72,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_output.read_documents(spark, path)
 
 
+@query("op7_nearest_neighbours")
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 @query("op9_sharding")
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
