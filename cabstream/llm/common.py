@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,12 @@ def discard(*tables: DataFrame) -> None:
             files.delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark's cleaner remove the shuffle files of finished steps, which it does once the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def workers(spark: SparkSession) -> int:
     """Tasks that are worth having for one shuffle."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstream.llm import ann, binary_output, line_dedup, packing, sharding, simhash, token_counts
+from cabstream.llm import (
+    ann, binary_output, decontaminate, lang_id, line_dedup, packing, sharding, simhash, substring_dedup, token_counts)
 from cabstream.llm.common import read_table
 from cabstream.session import work_folder
 
@@ -40,12 +41,39 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+SUBSTRING_SQL = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (select doc_id, w, unnest(generate_series(1, len(w) - 19)) as s from docs where len(w) >= 20),
+windows as (select doc_id, s, array_to_string(w[s:s + 19], ' ') as k from starts),
+ranked as (select doc_id, s, row_number() over (partition by k order by doc_id, s) as n from windows),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from docs),
+covered as (select x.doc_id, x.pos, x.word, max(r.s) over (partition by x.doc_id order by x.pos
+  rows between 19 preceding and current row) is not null as gone
+  from words x left join ranked r on r.doc_id = x.doc_id and r.s = x.pos and r.n > 1),
+summed as (select doc_id, count(*) as n_words, count(*) filter (where gone) as n_removed,
+  string_agg(word, ' ' order by pos) filter (where not gone) as kept from covered group by doc_id)
+select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256 from documents d left join summed s on s.doc_id = d.doc_id"""
+
+
+@query("op2_substring_dedup", SUBSTRING_SQL)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"),
                                     capacity=CAPACITY, end_id=1)
 
 
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_matches(read_table(spark, sf_dir, "documents"),
+                                           read_table(spark, sf_dir, "benchmark"))
+
+
 LINE_SQL = r"""
 with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 lines as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from docs),
@@ -77,6 +105,11 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.languages(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_sharding")
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
