@@ -200,8 +200,11 @@ def nearest_neighbours(table: DataFrame, every: int, k: int = 5, id_col: str = "
     enough = near.groupBy("asked").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k)
     short = asked.join(enough, asked["cls"] == enough["asked"], "left_anti")
     if not short.isEmpty():
-        place = [F.lit(0).alias("slot"), F.lit(0).cast("long").alias("bucket")]
-        exact = best(_search(short.select("*", *place), members.select("*", *place), k + 1))
+        def whole(rows: DataFrame) -> DataFrame:
+            own = [F.col(c).alias(c) for c in rows.columns]  # both sides come from one table
+            return rows.select(*own, F.lit(0).alias("slot"), F.lit(0).cast("long").alias("bucket"))
+
+        exact = best(_search(whole(short), whole(members), k + 1))
         near = near.join(short, near["asked"] == short["cls"], "left_anti").unionAll(exact)
     copies = ids.select("cls", "id").distinct().withColumn(
         "n", F.row_number().over(W.partitionBy("cls").orderBy("id"))).where(F.col("n") <= k + 1)

@@ -6,7 +6,6 @@ import gc
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from cabstream.session import hadoop_path, work_folder
@@ -99,15 +98,11 @@ def numbered(df: DataFrame, group: list[str], order: list[Column], salt: Column,
     rank in its part plus the sizes of the parts before. `salt` and `order`
     should depend on the row only, so that a repeated task deals alike.
     """
-    dealt = df.withColumn("_part", F.pmod(salt, F.lit(ways)).cast("int"))
-    sizes = dealt.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(*group, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = W.partitionBy(*group, "_part").orderBy(*order)
-    ranked = dealt.withColumn("_rank", F.row_number().over(within) - 1)
-    return (ranked.join(starts, [*group, "_part"])
-            .withColumn(name, (F.col("_before") + F.col("_rank")).cast("long")).drop("_part", "_rank", "_before"))
-
-
-def schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    dealt = df.withColumn("__part", F.pmod(salt, F.lit(ways)).cast("int"))
+    sizes = dealt.groupBy(*group, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = W.partitionBy(*group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(*group, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = W.partitionBy(*group, "__part").orderBy(*order)
+    ranked = dealt.withColumn("__rank", F.row_number().over(within) - 1)
+    return (ranked.join(starts, [*group, "__part"])
+            .withColumn(name, (F.col("__before") + F.col("__rank")).cast("long")).drop("__part", "__rank", "__before"))

@@ -85,7 +85,7 @@ class Model:
         """Probabilities summed over the positions of each word (rows, languages)."""
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         sums = np.zeros((len(words), len(self.languages)))
-        for at in range(0, len(order), 4096):
+        for at in range(0, len(order) if self.languages else 0, 4096):
             part = order[at:at + 4096]
             codes, lengths = _codes([words[i] for i in part])
             chances = _softmax(self._run(codes, lengths)[0])

@@ -111,18 +111,18 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeated = runs.counts().where(F.col("n") >= min_docs).select(*KEY)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    marks = [F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit("text"), text).alias("_t2")]
-    lines = docs.select(*marks, F.posexplode(line_keys(split_lines(F.col(text_col)))).alias("_at", "_key"))
-    lines = lines.where(F.length("_key") >= min_chars).select("_t1", "_t2", "_at", *hashes(F.col("_key")))
-    dropped = (lines.join(repeated, KEY, "left_semi").groupBy("_t1", "_t2")
-               .agg(F.collect_set("_at").alias("_dropped")))
+    marks = [F.xxhash64(text).alias("__t1"), F.xxhash64(F.lit("text"), text).alias("__t2")]
+    lines = docs.select(*marks, F.posexplode(line_keys(split_lines(F.col(text_col)))).alias("__at", "__key"))
+    lines = lines.where(F.length("__key") >= min_chars).select("__t1", "__t2", "__at", *hashes(F.col("__key")))
+    dropped = (lines.join(repeated, KEY, "left_semi").groupBy("__t1", "__t2")
+               .agg(F.collect_set("__at").alias("__dropped")))
 
     rows = docs.drop("kept_text", "n_lines", "n_dropped").select("*", *marks)
-    parts, gone = split_lines(F.col(text_col)), F.coalesce("_dropped", F.array().cast("array<int>"))
+    parts, gone = split_lines(F.col(text_col)), F.coalesce("__dropped", F.array().cast("array<int>"))
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
-    kept = F.when(F.col("_dropped").isNull(), text).otherwise(
+    kept = F.when(F.col("__dropped").isNull(), text).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n"))
-    return (rows.join(dropped, ["_t1", "_t2"], "left")
+    return (rows.join(dropped, ["__t1", "__t2"], "left")
             .withColumns({"kept_text": kept, "n_lines": F.size(parts).cast("long"),
                           "n_dropped": F.size(gone).cast("long")})
-            .drop("_t1", "_t2", "_dropped"))
+            .drop("__t1", "__t2", "__dropped"))

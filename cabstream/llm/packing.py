@@ -155,29 +155,30 @@ def pack(pieces: DataFrame, capacity: int = 4096, order: tuple[str, ...] = ("doc
     Only the counts by length, at most `capacity` rows, come to the driver. The
     pieces of a length are ranked in many parts, so a length that a third of
     all rows share is not gathered; their ranks say which slot they take.
-    Pieces alike in all `order` columns are interchangeable.
+    Pieces alike in all `order` columns are interchangeable. Input columns
+    called sequence_id or offset are replaced.
     """
-    spark = pieces.sparkSession
+    spark, pieces = pieces.sparkSession, pieces.drop("sequence_id", "offset")
     ship_package(spark)
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = sorted(packing_plan(counts, capacity))
     by = np.array([s.length << 48 | s.rank for s in slots], np.int64)
     table = np.array(slots, np.int64).reshape(-1, 5)
     ranked = numbered(pieces, ["length"], [F.col(c) for c in order], F.xxhash64(*order),
-                      workers(spark) * PARTS_PER_TASK, "_at")
+                      workers(spark) * PARTS_PER_TASK, "__at")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank, length = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_at", "length"))
+            rank, length = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__at", "length"))
             slot = table[np.searchsorted(by, length << 48 | rank, "right") - 1]
             k = rank - slot[:, 1]
-            keep = [i for i, c in enumerate(batch.schema.names) if c != "_at"]
+            keep = [i for i, c in enumerate(batch.schema.names) if c != "__at"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in keep), pa.array(slot[:, 2] + k % np.maximum(slot[:, 3], 1)),
                  pa.array(slot[:, 4] + k // np.maximum(slot[:, 3], 1) * length)],
                 [*(batch.schema.names[i] for i in keep), "sequence_id", "offset"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "_at")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "__at")
     return ranked.mapInArrow(placed, f"{kinds}, sequence_id long, offset long")
 
 

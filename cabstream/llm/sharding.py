@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
@@ -68,25 +69,27 @@ def uniform_shards(df: DataFrame, shards: int, key: list[str], seed: int = 0) ->
     alike; rows equal in all of `key` are interchangeable. Only the sizes of
     the partitions, a fixed number per shuffle task, come to the driver, where
     the matrix is drawn. In its shard a row's slot follows a second
-    permutation, ranked in many parts. An empty table gives no rows.
+    permutation, ranked in many parts. An empty table gives no rows. Input
+    columns called shard or slot are replaced.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, df.drop("shard", "slot")
     ways = workers(spark) * PARTS_PER_TASK
 
     def drawn(purpose: str) -> Column:
         return F.xxhash64(F.lit(f"{purpose} {seed}"), *key)
 
-    dealt = df.withColumn("_from", F.pmod(drawn("partition"), F.lit(ways)).cast("int"))
-    sizes = {r["_from"]: r["n"] for r in dealt.groupBy("_from").agg(F.count(F.lit(1)).alias("n")).collect()}
+    dealt = df.withColumn("__from", F.pmod(drawn("partition"), F.lit(ways)).cast("int"))
+    sizes = {r["__from"]: r["n"] for r in dealt.groupBy("__from").agg(F.count(F.lit(1)).alias("n")).collect()}
     sources, total = sorted(sizes), sum(sizes.values())
     targets = [total // shards + (i < total % shards) for i in range(shards)]
     matrix = communication_matrix([sizes[p] for p in sources], targets, seed)
     # Ends of the shards' shares in each partition's permutation; the table has a row per partition.
-    shares = spark.createDataFrame([(p, np.cumsum(row).tolist()) for p, row in zip(sources, matrix, strict=True)],
-                                   "_from int, _ends array<long>")
-    local = W.partitionBy("_from").orderBy(drawn("local"), *key)
-    sent = (dealt.withColumn("_rank", F.row_number().over(local))
-            .join(shares, "_from")
-            .withColumn("shard", F.size(F.filter("_ends", lambda e: e < F.col("_rank"))).cast("int"))
-            .drop("_ends", "_rank", "_from"))
+    ends = [{"__from": p, "__ends": np.cumsum(row).tolist()} for p, row in zip(sources, matrix, strict=True)]
+    shares = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(ends)),
+                                                        "array<struct<__from:int,__ends:array<bigint>>>")))
+    local = W.partitionBy("__from").orderBy(drawn("local"), *key)
+    sent = (dealt.withColumn("__rank", F.row_number().over(local))
+            .join(shares, "__from")
+            .withColumn("shard", F.size(F.filter("__ends", lambda e: e < F.col("__rank"))).cast("int"))
+            .drop("__ends", "__rank", "__from"))
     return numbered(sent, ["shard"], [drawn("slot"), *[F.col(k) for k in key]], drawn("part"), ways, "slot")
