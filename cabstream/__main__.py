@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstream import schemas
@@ -33,6 +33,10 @@ def _arguments() -> argparse.Namespace:
     p.add_argument("--gps-topic", default="raw.gps")
     p.add_argument("--request-topic", default="raw.trips")
     p.add_argument("--checkpoint", help="checkpoint folder of a stream")
+    p.add_argument("--work", help="shared folder in which match stages its windows")
+    p.add_argument("--unmatched", default="unmatched.trips", help="topic of requests that found no vehicle")
+    p.add_argument("--patience", type=int, default=300, help="seconds for which match tries a request again")
+    p.add_argument("--state-partitions", type=int, default=200, help="state partitions, fixed at the first start")
     return p.parse_args()
 
 
@@ -70,17 +74,32 @@ def _run_stream(spark: SparkSession, a: argparse.Namespace) -> None:
         return readers.stream_events(spark, "kafka", {"kafka.bootstrap.servers": a.input,
                                                       "subscribe": name})
 
+    def publish(rows: DataFrame, to: str, key: str) -> None:
+        sinks.to_json_events(rows, key).write.format("kafka").options(
+            **{"kafka.bootstrap.servers": a.input, "topic": to}).save()
+
     if a.job == "archive":
-        sinks.archive_events(topic(a.gps_topic), a.output, a.checkpoint, a.gps_topic).awaitTermination()
+        running = [sinks.archive_events(topic(t), a.output, f"{a.checkpoint}/{t}", t) for t in (a.gps_topic, a.request_topic)]
+        for query in running:
+            query.awaitTermination()
+        return
+    if a.job == "match":
+        gps = parsers.good_records(parsers.parse_normalized_gps(topic(a.gps_topic)))
+        requests = parsers.good_records(parsers.parse_trip_request(topic(a.request_topic)))
+
+        def route(rows: DataFrame, _end: int) -> None:
+            final = rows.filter("not waits").drop("waits")
+            for half, to in zip(sinks.split_matches(final), (a.output, a.unmatched), strict=True):
+                publish(half, to, "trip_id")
+
+        windows = jobs.match_carrying(spark, a.work, patience_s=a.patience)
+        stream = jobs.match_events(gps, requests).writeStream.option("checkpointLocation", a.checkpoint)
+        stream.foreachBatch(jobs.staging(windows, route)).trigger(processingTime="60 seconds").start().awaitTermination()
         return
     if a.job == "normalize":
         rows, key = jobs.normalize_gps_stream(topic(a.gps_topic)), "taxi_id"
-    elif a.job == "demand":
-        rows, key = jobs.demand_stream_from_text(topic(a.gps_topic), topic(a.request_topic)), "zone_id"
     else:
-        gps = parsers.good_records(parsers.parse_normalized_gps(topic(a.gps_topic)))
-        requests = parsers.good_records(parsers.parse_trip_request(topic(a.request_topic)))
-        rows, key = jobs.match_stream(gps, requests), "trip_id"
+        rows, key = jobs.demand_stream_from_text(topic(a.gps_topic), topic(a.request_topic)), "zone_id"
     options = {"kafka.bootstrap.servers": a.input, "topic": a.output}
     sinks.write_stream(sinks.to_json_events(rows, key), "kafka", a.checkpoint, options).awaitTermination()
 
@@ -91,7 +110,7 @@ def main() -> None:
     if a.job in BATCH:
         _run_batch(configure(spark), a)
     else:
-        _run_stream(jobs.configure_streaming(spark), a)
+        _run_stream(jobs.configure_streaming(spark, a.state_partitions), a)
 
 
 if __name__ == "__main__":

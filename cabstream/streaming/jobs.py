@@ -11,31 +11,34 @@ from pyspark.sql.streaming import StreamingQuery
 from cabstream.functions.labels import is_available
 from cabstream.operators import clean
 from cabstream.operators.demand import demand_events, demand_windows
-from cabstream.operators.matching import match_trips_rounds, vehicle_state, window_start, with_eta
-from cabstream.session import configure
+from cabstream.operators.latest import latest_per_key
+from cabstream.operators.matching import match_trips_rounds, vehicle_state
+from cabstream.operators.thinning import thin_by_interval
+from cabstream.session import configure, ship_package
 from cabstream.sources import parsers
 from cabstream.sources.zones import CITY, CITY_ZONES, Zone
-from cabstream.streaming.processors import (
-    MATCH_OUTPUT, REQUEST_EVENT, VEHICLE_EVENT, MatchProcessor, ThinningProcessor)
+from cabstream.streaming.processors import ThinningProcessor
+from cabstream.streaming.windows import StagedWindows
+
+VEHICLE_EVENT, REQUEST_EVENT = 0, 1
+MATCH_WINDOW_S = 300
 
 GPS_LATENESS = "3 minutes"
 DEMAND_LATENESS = "1 minute"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def configure_streaming(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def configure_streaming(spark: SparkSession, state_partitions: int) -> SparkSession:
     """Settings of stateful streams: RocksDB state with changelog checkpoints.
 
-    The number of state partitions is fixed when a query first starts; it
-    defaults to the cores at hand. Inputs joined late share the faster clock,
-    so that a silent one does not hold back time.
+    The number of state partitions is fixed for the life of a query when it
+    first starts, so it has to be chosen for the cluster that is meant to run
+    it, not for the cores at hand.
     """
     configure(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
-    spark.conf.set("spark.sql.shuffle.partitions",
-                   str(state_partitions or spark.sparkContext.defaultParallelism))
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return spark
 
 
@@ -49,6 +52,7 @@ def thin_stream(gps: DataFrame, time: str = "timestamp", order: Sequence[str] |
     expires idle vehicles of a running query; processing-time state keeps such
     a query awake, so leave it out when draining a source once.
     """
+    ship_package(gps.sparkSession)
     rows = gps.withWatermark("ts", lateness) if drop_late else gps
     return rows.groupBy("taxi_id").transformWithStateInPandas(
         ThinningProcessor(time, order or [time], interval_s, drop_late, ttl_ms), gps.schema,
@@ -102,44 +106,119 @@ def match_events(gps: DataFrame, requests: DataFrame, city: str = CITY,
     return vehicles.unionByName(asked)
 
 
-def match_stream(gps: DataFrame, requests: DataFrame, zones: Sequence[Zone] = CITY_ZONES,
-                 city: str = CITY, timeout_s: int = 5, allow_ghosts: bool = False,
-                 eta_target: str = "destination", lateness_s: int = 60,
-                 order: str | None = None) -> DataFrame:
-    """First-come matching of a request stream against a vehicle stream, one task per city.
+def _requests(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("kind") == REQUEST_EVENT).select(
+        F.col("id").alias("trip_id"), F.col("zone").alias("origin_zone"), F.col("dest_zone").alias("destination_zone"),
+        F.col("epoch_s").alias("requested_at"), "rider_id", "fare")
+
+
+def _pings(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("kind") == VEHICLE_EVENT).select(
+        F.col("id").alias("taxi_id"), F.col("zone").alias("zone_id"), "epoch_s", "seq", "lat", "lon",
+        F.when(F.col("available"), "IDLE").otherwise("BUSY").alias("status"))
+
+
+def demand_replay(spark: SparkSession, folder: str, zones: Sequence[Zone] = CITY_ZONES, **timing: int) -> StagedWindows:
+    """Supply/demand windows of a staged stream of ``demand_events``; carries nothing."""
 
-    Order matters across neighbouring zones, so a city cannot be split further
-    without changing results; ``match_stream_rounds`` is the form that spreads
-    one city over many tasks.
+    def compute(events: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        return demand_windows(events, zones=zones)
+
+    return StagedWindows(spark, folder, compute, **timing)
+
+
+def thinning_replay(spark: SparkSession, folder: str, order: Sequence[str] = (), interval_s: int = 2,
+                    time: str = "epoch_s", **timing: int) -> StagedWindows:
+    """Per-vehicle thinning of a staged stream.
+
+    Only events kept in the last ``interval_s`` seconds can thin later ones;
+    they are carried on, put before the next rows and left out of the result.
     """
-    events = match_events(gps, requests, city, order)
-    neighbours = {z.zone_id: z.adjacency for z in zones}
-    matched = events.groupBy("city").transformWithStateInPandas(
-        MatchProcessor(neighbours, timeout_s, lateness_s, allow_ghosts), MATCH_OUTPUT, "Append", "None")
-    return with_eta(matched, zones, eta_target).drop("lat", "lon")
 
+    def compute(rows: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        fresh = rows.withColumn("_carried", F.lit(False))
+        if carried is not None:
+            fresh = fresh.unionByName(carried.withColumn("_carried", F.lit(True)))
+        return thin_by_interval(fresh, time=time, order_by=order, interval=interval_s).filter("not _carried").drop("_carried")
+
+    def carry(kept: DataFrame, rows: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        return kept.filter(F.col(time) > end - interval_s)
+
+    return StagedWindows(spark, folder, compute, carry, time=time, **timing)
 
-def match_stream_rounds(write: Callable[[DataFrame, int], None], window: str = "5 minutes",
-                        zones: Sequence[Zone] = CITY_ZONES) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function matching each micro-batch of ``match_events`` in rounds.
 
-    Requests and vehicles of a batch are matched per window and zone by the
-    distributed round matcher; ``write`` stores the result of the batch.
-    A window cut by a batch boundary is matched in parts, so triggers should be
-    longer than the window.
+def match_replay(spark: SparkSession, folder: str, zones: Sequence[Zone] = CITY_ZONES,
+                 window_s: int = MATCH_WINDOW_S, lateness_s: int = 60) -> StagedWindows:
+    """Round matching of a staged stream of ``match_events``, each window on its own as in the batch query."""
+
+    def compute(events: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        asked = _requests(events).withColumn("window_start", _start("requested_at", window_s))
+        pings = _pings(events).withColumn("window_start", _start("epoch_s", window_s))
+        vehicles = vehicle_state(pings, ["epoch_s", "seq"], ["window_start"])
+        return match_trips_rounds(asked, vehicles, zones)
+
+    return StagedWindows(spark, folder, compute, window_s=window_s, lateness_s=lateness_s)
+
+
+def _start(seconds: str, window_s: int):
+    return F.timestamp_seconds(F.floor(F.col(seconds) / window_s) * window_s)
+
+
+def match_carrying(spark: SparkSession, folder: str, zones: Sequence[Zone] = CITY_ZONES, window_s: int = MATCH_WINDOW_S,
+                   lateness_s: int = 60, patience_s: int = 0) -> StagedWindows:
+    """Round matching that carries free vehicles and open requests from window to window.
+
+    Windows are matched one after the other, each once. A free vehicle stays
+    free until it is used or its next event; a used one comes back with its
+    next event. A request that finds none is tried again in the following
+    windows until ``patience_s`` seconds have passed since it was made, and is
+    reported once: when it is matched, or unmatched when its patience ends.
+    """
+    state = ["taxi_id", "zone_id", "epoch_s", "seq", "lat", "lon", "status"]
+    asked = ["trip_id", "origin_zone", "destination_zone", "requested_at", "rider_id", "fare"]
+
+    def inputs(events: DataFrame, carried: DataFrame | None, end: int) -> tuple[DataFrame, DataFrame]:
+        requests, pings = _requests(events).select(*asked), _pings(events).select(*state)
+        if carried is not None:
+            requests = requests.unionByName(carried.filter("taxi_id is null").select(*asked))
+            pings = pings.unionByName(carried.filter("taxi_id is not null").select(*state))
+        last = latest_per_key(pings, ["taxi_id"], ["epoch_s", "seq"]).filter(is_available("status"))
+        return requests, last.withColumn("last_seen", F.col("epoch_s"))
+
+    def matched(events: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        requests, vehicles = inputs(events, carried, end)
+        start = F.timestamp_seconds(F.lit(end - window_s))
+        rows = match_trips_rounds(requests.withColumn("window_start", start), vehicles.withColumn("window_start", start), zones)
+        return rows.withColumn("waits", ~F.col("matched") & (F.col("requested_at") + patience_s > end))
+
+    def carry(result: DataFrame, events: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        _requests_, vehicles = inputs(events, carried, end)
+        used = result.filter("matched").select("taxi_id")
+        free = vehicles.join(used, "taxi_id", "left_anti").select(*state)
+        waiting = result.filter("waits").withColumnRenamed("dest_zone", "destination_zone").select(*asked)
+        return free.unionByName(waiting, allowMissingColumns=True)
+
+    return StagedWindows(spark, folder, matched, carry, window_s=window_s, lateness_s=lateness_s, stepwise=True)
+
+
+def replay(stream: DataFrame, windows: StagedWindows, checkpoint: str, everything: bool = True) -> StagedWindows:
+    """Stage all that the source holds now, then close the windows.
+
+    ``everything`` closes the last windows too, as at the end of an archive;
+    without it they stay open for the rows of a later run.
     """
+    run_available(stream, checkpoint, batch_writer=windows.stage)
+    windows.close(everything)
+    return windows
+
+
+def staging(windows: StagedWindows, publish: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function of a running job: stage a batch, close what is due and publish it."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("window_start", window_start("ts", window))
-        requests = rows.filter(F.col("kind") == REQUEST_EVENT).select(
-            "window_start", F.col("id").alias("trip_id"), F.col("zone").alias("origin_zone"),
-            F.col("dest_zone").alias("destination_zone"), F.col("epoch_s").alias("requested_at"),
-            "rider_id", "fare")
-        pings = rows.filter(F.col("kind") == VEHICLE_EVENT).select(
-            "window_start", F.col("id").alias("taxi_id"), F.col("zone").alias("zone_id"), "epoch_s",
-            "seq", "lat", "lon", F.when(F.col("available"), "IDLE").otherwise("BUSY").alias("status"))
-        vehicles = vehicle_state(pings, ["epoch_s", "seq"], ["window_start"])
-        write(match_trips_rounds(requests, vehicles, zones), batch_id)
+        windows.stage(batch, batch_id)
+        for end in windows.close():
+            publish(windows.spark.read.parquet(f"{windows.folder}/results/upto={end}"), end)
 
     return run
 

@@ -1,4 +1,4 @@
-"""Keyed stateful processors; the only per-row Python of the package.
+"""The keyed stateful processor of the live thinning job, the only per-row Python of its kind.
 
 Each call handles one key's rows of one micro-batch, whose size the source
 options bound (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``). Rows arrive
@@ -7,8 +7,7 @@ shuffled, so they are put in event order before they are looked at.
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -71,155 +70,3 @@ class ThinningProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-MATCH_OUTPUT = (
-    "city STRING, trip_id STRING, taxi_id STRING, origin_zone INT, dest_zone INT, rider_id STRING, "
-    "fare DOUBLE, matched BOOLEAN, matched_zone INT, requested_at LONG, emitted_for LONG, "
-    "emit_order LONG, lat DOUBLE, lon DOUBLE"
-)
-MATCH_COLUMNS = [field.split()[0] for field in MATCH_OUTPUT.split(", ")]
-VEHICLE_EVENT, REQUEST_EVENT = 0, 1
-
-
-class MatchProcessor(StatefulProcessor):
-    """First-come matcher of one city.
-
-    A request takes the longest idle vehicle of its own zone, else of the first
-    neighbouring zone that has one, and the vehicle is used up. A request that
-    finds none is reported unmatched at once, waits, is tried again whenever a
-    vehicle event arrives in reach, and is reported unmatched a second time when
-    its time-out passes. ``final_match_status`` resolves the several reports.
-
-    Time is the city's own event clock: the newest event seen less
-    ``lateness_s``. It is kept in state rather than taken from the engine's
-    watermark, because the engine would drop events behind that one, and late
-    vehicles and requests are to be served.
-
-    The fleet and the waiting requests of the city are read from state once per
-    micro-batch, worked on in memory, and only the changes are written back.
-    """
-
-    def __init__(self, neighbours: Mapping[int, Sequence[int]], timeout_s: int = 5,
-                 lateness_s: int = 60, allow_ghosts: bool = False) -> None:
-        self.neighbours = {z: list(n) for z, n in neighbours.items()}
-        self.timeout_s, self.lateness_s, self.allow_ghosts = timeout_s, lateness_s, allow_ghosts
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.vehicles = handle.getMapState(
-            "vehicles", "place STRING", "taxi STRING, zone INT, seen LONG, lat DOUBLE, lon DOUBLE")
-        self.waiting = handle.getMapState(
-            "waiting", "trip STRING", "origin INT, dest INT, rider STRING, fare DOUBLE, asked LONG")
-        self.progress = handle.getValueState("progress", "clock LONG, emitted LONG")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame],
-                        timerValues: Any) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, ["epoch_s", "kind", "seq", "id"])
-        fleet = _Fleet({k[0]: tuple(v) for k, v in list(self.vehicles.iterator())})
-        waiting = {k[0]: tuple(v) for k, v in list(self.waiting.iterator())}
-        before = dict(waiting)
-        clock, emitted = self.progress.get() if self.progress.exists() else (0, 0)
-        out: list[tuple] = []
-        for row in frame.itertuples(index=False):
-            if row.epoch_s > clock:
-                clock = int(row.epoch_s)
-                self._expire(waiting, clock - self.lateness_s, out)
-            if row.kind == VEHICLE_EVENT:
-                self._see_vehicle(fleet, row)
-                self._retry(fleet, waiting, int(row.zone), int(row.epoch_s), out)
-            else:
-                self._serve(fleet, waiting, row, out)
-        fleet.store(self.vehicles)
-        for trip in before.keys() - waiting.keys():
-            self.waiting.removeKey((trip,))
-        for trip in waiting.keys() - before.keys():
-            self.waiting.updateValue((trip,), waiting[trip])
-        self.progress.update((clock, emitted + len(out)))
-        if out:
-            yield self._report(key[0], emitted, out)
-
-    def _see_vehicle(self, fleet: _Fleet, row: Any) -> None:
-        place = f"{row.zone}|{row.id}" if self.allow_ghosts else row.id
-        if row.available:
-            fleet.put(place, (row.id, int(row.zone), int(row.epoch_s), float(row.lat), float(row.lon)))
-        else:
-            fleet.drop(place)
-
-    def _serve(self, fleet: _Fleet, waiting: dict, row: Any, out: list) -> None:
-        request = (int(row.zone), int(row.dest_zone), row.rider_id, float(row.fare), int(row.epoch_s))
-        for zone in dict.fromkeys([request[0], *self.neighbours.get(request[0], ())]):
-            vehicle = fleet.take(zone)
-            if vehicle is not None:
-                out.append((row.id, request, vehicle, request[4]))
-                return
-        waiting[row.id] = request
-        out.append((row.id, request, None, request[4]))
-
-    def _retry(self, fleet: _Fleet, waiting: dict, zone: int, now: int, out: list) -> None:
-        reach = {zone, *self.neighbours.get(zone, ())}
-        for trip, request in sorted(waiting.items(), key=lambda e: (e[1][4], e[0])):
-            if request[0] in reach:
-                vehicle = fleet.take(zone)
-                if vehicle is None:
-                    return
-                del waiting[trip]
-                out.append((trip, request, vehicle, now))
-
-    def _expire(self, waiting: dict, now: int, out: list) -> None:
-        for trip, request in sorted(waiting.items(), key=lambda e: (e[1][4], e[0])):
-            if request[4] + self.timeout_s > now:
-                return
-            del waiting[trip]
-            out.append((trip, request, None, request[4] + self.timeout_s))
-
-    def _report(self, city: str, first: int, out: list[tuple]) -> pd.DataFrame:
-        rows = []
-        for number, (trip, request, vehicle, at) in enumerate(out, first):
-            origin, dest, rider, fare, asked = request
-            taxi, zone, _seen, lat, lon = vehicle or ("", 0, 0, None, None)
-            rows.append((city, trip, taxi, origin, dest, rider, fare, vehicle is not None, zone,
-                         asked, at, number, lat, lon))
-        frame = pd.DataFrame(rows, columns=MATCH_COLUMNS)
-        return frame.astype({"lat": "float64", "lon": "float64"})
-
-    def close(self) -> None:
-        pass
-
-
-class _Fleet:
-    """Free vehicles by place, with the longest idle one of a zone at hand."""
-
-    def __init__(self, stored: dict[str, tuple]) -> None:
-        self.before, self.now = stored, dict(stored)
-        self.queues: dict[int, list[tuple]] = {}
-        for place, vehicle in stored.items():
-            self._queue(place, vehicle)
-
-    def _queue(self, place: str, vehicle: tuple) -> None:
-        heapq.heappush(self.queues.setdefault(vehicle[1], []), (vehicle[2], vehicle[0], place))
-
-    def put(self, place: str, vehicle: tuple) -> None:
-        self.now[place] = vehicle
-        self._queue(place, vehicle)
-
-    def drop(self, place: str) -> None:
-        self.now.pop(place, None)
-
-    def take(self, zone: int) -> tuple | None:
-        """Remove and return the vehicle of the zone that was seen longest ago (ties by id)."""
-        queue = self.queues.get(zone, [])
-        while queue:
-            seen, _taxi, place = heapq.heappop(queue)
-            vehicle = self.now.get(place)
-            # Entries of vehicles that moved, were used or were seen again are stale.
-            if vehicle is not None and vehicle[1] == zone and vehicle[2] == seen:
-                del self.now[place]
-                return vehicle
-        return None
-
-    def store(self, state: Any) -> None:
-        for place in self.before.keys() - self.now.keys():
-            state.removeKey((place,))
-        for place, vehicle in self.now.items():
-            if self.before.get(place) != vehicle:
-                state.updateValue((place,), vehicle)

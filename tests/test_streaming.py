@@ -2,18 +2,19 @@ import json
 import os
 import random
 
-import pandas as pd
 import pytest
-from conftest import rows
+from conftest import DATA, rows
 from pyspark.sql import functions as F
 
 from cabstream import schemas
 from cabstream.operators import clean, events, matching
+from cabstream.plans.catalog import QUERIES
+from cabstream.plans.catalog import streams as streams_catalog
 from cabstream.operators.demand import demand_events, demand_windows
 from cabstream.sources import parsers, readers, sinks
 from cabstream.sources.zones import CITY_ZONES, Zone
 from cabstream.streaming import jobs
-from cabstream.streaming.processors import MatchProcessor
+from cabstream.streaming.windows import StagedWindows
 
 T0 = 1704067200
 LINE = [Zone(1, "a", "x", 1, 33.50, -7.60, (2,)), Zone(2, "b", "x", 1, 33.55, -7.60, (1, 3)),
@@ -136,67 +137,94 @@ def test_rows_behind_a_closed_window_are_dropped(spark, streams, tmp_path):
     assert got[0, 0] == 1  # C came after the window had closed
 
 
-def test_matcher_statuses_and_timeout(spark, streams, tmp_path):
-    gps, trips = Feed(tmp_path / "g"), Feed(tmp_path / "t")
-    gps.add(zoned("A", 0, 1), zoned("B", 1, 1), zoned("C", 2, 3, "MOVING"))
-    trips.add(ask("own", 3, 1), ask("neighbour", 4, 2), ask("lost", 5, 3), ask("later", 6, 3))
-    gps.add(zoned("D", 8, 2))
-    trips.add('{"trip_id": "", "origin_zone": 1}')
-    for t in (200, 400, 600):
-        gps.add(zoned("Z", t, 1, "MOVING"))
-        trips.add(ask(f"tick{t}", t, 0))
-    g = parsers.good_records(parsers.parse_normalized_gps(gps.text(streams)))
-    r = parsers.good_records(parsers.parse_trip_request(trips.text(streams)))
-    out = spark.read.parquet(run(jobs.match_stream(g, r, LINE), tmp_path))
-    reports = {}
-    for row in sorted(out.collect(), key=lambda x: x.emit_order):
-        reports.setdefault(row.trip_id, []).append((row.matched, row.taxi_id))
-    assert reports["own"] == [(True, "A")] and reports["neighbour"] == [(True, "B")]
-    # Unmatched at once, then served by D reaching zone 2; the other waits for the time-out.
-    assert reports["lost"] == [(False, ""), (True, "D")]
-    assert reports["later"] == [(False, ""), (False, "")]
-    final = {x.trip_id: x.matched for x in matching.final_match_status(out).collect()}
-    assert final == {"own": True, "neighbour": True, "lost": True, "later": False}
-    eta = {x.trip_id: x.eta_seconds for x in out.filter("matched").collect()}
-    assert eta["lost"] == pytest.approx(5.56 / 25 * 3600, abs=2)
-
-
-class Memory:
-    """Stands in for the state handle when the rules are tested without a stream."""
-
-    def __init__(self):
-        self.maps = {}
-
-    def getMapState(self, name, *_):
-        data = self.maps.setdefault(name, {})
-        return type("M", (), {"iterator": lambda s: iter(list(data.items())),
-                              "removeKey": lambda s, k: data.pop(k, None),
-                              "updateValue": lambda s, k, v: data.__setitem__(k, v)})()
-
-    def getValueState(self, name, *_):
-        box = []
-        return type("V", (), {"exists": lambda s: bool(box), "get": lambda s: box[0],
-                              "update": lambda s, v: box.__setitem__(slice(None), [v])})()
-
-
-def sequential(events_, zones=LINE, **options):
-    """Run the matcher over (kind, t, id, zone, available) rows as one batch."""
-    processor = MatchProcessor({z.zone_id: z.adjacency for z in zones}, lateness_s=10_000, **options)
-    processor.init(Memory())
-    frame = pd.DataFrame([(k, t, 0, i, z, 33.5, -7.6, a, 1, "r", 0.0) for k, t, i, z, a in events_], columns=[
-        "kind", "epoch_s", "seq", "id", "zone", "lat", "lon", "available", "dest_zone", "rider_id", "fare"])
-    out = list(processor.handleInputRows(("c",), iter([frame]), None))
-    return [(r.trip_id, r.taxi_id) for f in out for r in f.itertuples() if r.matched]
-
-
-def test_order_of_arrival_differs_from_rounds_only_when_contested(spark):
-    cars = [(0, 0, "A", 2, True), (0, 1, "B", 3, True)]
-    contested = [(1, 2, "from1", 1, False), (1, 3, "from2", 2, False)]
-    assert sequential(cars + contested) == [("from1", "A"), ("from2", "B")]
-    rounds = _rounds(spark, cars, contested)
-    assert rounds == [("from2", "A")]  # the local request goes first, zone 1 reaches only zone 2
-    calm = [(1, 2, "from2", 2, False), (1, 3, "from3", 3, False)]
-    assert sequential(cars + calm) == _rounds(spark, cars, calm) == [("from2", "A"), ("from3", "B")]
+def _events_in_files(spark, folder, files):
+    """The events table as a folder of files that aren't in the order of time."""
+    table = spark.read.parquet(f"{DATA}/events.parquet")
+    path = str(folder / "events.parquet")
+    table.repartition(files, F.xxhash64("event_id")).write.parquet(path)
+    return str(folder)
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_replay_gives_the_batch_result_whatever_the_files(spark, tmp_path, files):
+    sf = _events_in_files(spark, tmp_path, files)
+    matched = rows(QUERIES["trip_matches"](spark, DATA).drop("call_type"))
+    got = streams_catalog.trip_matches(spark, sf, 1)
+    assert rows(got, *QUERIES["trip_matches"](spark, DATA).drop("call_type").columns) == matched
+    used = got.filter("matched").groupBy(F.window(F.timestamp_seconds("requested_at"), "5 minutes"), "taxi_id").count()
+    assert used.filter("count > 1").count() == 0
+    batch = QUERIES["demand_windows"](spark, DATA)
+    assert rows(streams_catalog.demand_windows(spark, sf, 1), *batch.columns[:5]) == rows(batch, *batch.columns[:5])
+    thinned = QUERIES["gps_thinned"](spark, DATA)
+    assert rows(streams_catalog.gps_thinned(spark, sf, 1), "event_id") == rows(thinned, "event_id")
+    assert rows(streams_catalog.gps_normalized(spark, sf, 1), "event_id") == rows(thinned, "event_id")
+
+
+def test_windows_close_once_and_late_rows_are_kept_apart(spark, tmp_path):
+    def count(part, carried, end):
+        before = 0 if carried is None else carried.first()[0]
+        return part.agg(F.count("*").alias("n")).withColumns({"end": F.lit(end), "before": F.lit(before)})
+
+    def carry(result, part, carried, end):
+        return result.select(F.col("n") + F.col("before"))
+
+    windows = StagedWindows(spark, str(tmp_path / "w"), count, carry, "t", 10, 5)
+    batch = lambda *t: spark.createDataFrame([(x,) for x in t], "t long")
+    windows.stage(batch(1, 3, 12), 0)
+    windows.stage(batch(1, 3, 12), 0)  # delivered again
+    assert windows.close() == []
+    windows.stage(batch(16, 2, None), 1)
+    assert windows.close() == [10]
+    windows.stage(batch(4, 31), 2)  # 4 is late
+    assert windows.close() == [20] and windows.close() == []
+    assert windows.close(everything=True) == [40]
+    assert rows(windows.results(), "n", "before", "end") == [(1, 5, 40), (2, 3, 20), (3, 0, 10)]
+    assert rows(windows.late(), "t") == [(4,), (None,)]
+
+
+def _simulated(events_, window, patience):
+    """Windows one by one: own zone first in every round, carried vehicles and requests included."""
+    near = {z.zone_id: (z.zone_id, *z.adjacency) for z in LINE}
+    free, waiting, out = {}, [], {}
+    for end in sorted({(t // window + 1) * window for _k, t, *_ in events_}):
+        for kind, t, name, zone, available in sorted(x for x in events_ if end - window <= x[1] < end):
+            if kind == jobs.VEHICLE_EVENT:
+                free.pop(name, None)
+                if available:
+                    free[name] = (zone, t)
+            else:
+                waiting.append((t, name, zone))
+        for step in range(3):
+            for zone in near:
+                queue = sorted(r for r in waiting if len(near[r[2]]) > step and near[r[2]][step] == zone)
+                cars = sorted((t, n) for n, (z, t) in free.items() if z == zone)
+                for request, (_t, car) in zip(queue, cars):
+                    waiting.remove(request)
+                    del free[car]
+                    out[request[1]] = car
+        for request in [r for r in waiting if r[0] + patience <= end]:
+            waiting.remove(request)
+            out[request[1]] = ""
+    return out
+
+
+def test_carried_vehicles_and_requests_equal_a_simulation(spark, tmp_path):
+    rnd = random.Random(4)
+    made = [(rnd.randrange(2), t, "", rnd.randrange(1, 4), rnd.random() < 0.6) for t in range(240)]
+    made = [(k, t, f"T{t % 25:02d}" if k == jobs.VEHICLE_EVENT else f"r{t}", z, a) for k, t, _n, z, a in made]
+    feed = spark.createDataFrame(
+        [("c", k, T0 + t, 0, n, z, 33.5, -7.6, a, 1, "r", 0.0) for k, t, n, z, a in made],
+        "city string, kind int, epoch_s long, seq long, id string, zone int, lat double, lon double, available boolean, "
+        "dest_zone int, rider_id string, fare double")
+    windows = jobs.match_carrying(spark, str(tmp_path / "w"), LINE, window_s=60, lateness_s=0, patience_s=100)
+    for i in range(3):
+        windows.stage(feed.filter(F.col("epoch_s") % 3 == i), i)
+    windows.close(everything=True)
+    final = windows.results().filter("not waits")
+    got = {r.trip_id: r.taxi_id for r in final.collect()}
+    want = _simulated([(k, T0 + t, n, z, a) for k, t, n, z, a in made], 60, 100)
+    assert final.count() == len(got) and got == want
+    assert any(got.values()) and not all(got.values())
 
 
 def _rounds(spark, cars, asked):
@@ -209,41 +237,12 @@ def _rounds(spark, cars, asked):
     return rows(got.filter("matched"), "trip_id", "taxi_id")
 
 
-def test_ghost_option_of_the_stream_matcher():
-    moved = [(0, 0, "A", 1, True), (0, 1, "A", 3, True), (1, 2, "r1", 1, False), (1, 3, "r3", 3, False)]
-    assert sequential(moved) == [("r3", "A")]
-    assert sequential(moved, allow_ghosts=True) == [("r1", "A"), ("r3", "A")]
-
-
-def test_sequential_matcher_equals_direct_simulation():
-    rnd = random.Random(4)
-    history = [(rnd.randrange(2), t, f"{t}", rnd.randrange(1, 4), rnd.random() < 0.7) for t in range(300)]
-    near, free, waiting, want = {z.zone_id: z.adjacency for z in LINE}, {}, [], []
-
-    def take(zone):
-        found = [(s, i) for i, (z, s) in free.items() if z == zone]
-        if found:
-            del free[min(found)[1]]
-            return min(found)[1]
-        return None
-
-    for kind, t, name, zone, available in history:
-        if kind == 0:
-            name = f"T{t % 20}"
-            free.pop(name, None)
-            if available:
-                free[name] = (zone, t)
-            for trip, origin in list(waiting):
-                if origin in (zone, *near[zone]):
-                    taxi = take(zone)
-                    if taxi:
-                        waiting.remove((trip, origin))
-                        want.append((trip, taxi))
-        else:
-            taxi = next((x for x in map(take, (zone, *near[zone])) if x), None)
-            want.append((name, taxi)) if taxi else waiting.append((name, zone))
-    feed = [(k, t, f"T{t % 20}" if k == 0 else i, z, a) for k, t, i, z, a in history]
-    assert sequential(feed) == want
+def test_rounds_serve_the_own_zone_first(spark):
+    cars = [(0, 0, "A", 2, True), (0, 1, "B", 3, True)]
+    contested = [(1, 2, "from1", 1, False), (1, 3, "from2", 2, False)]
+    assert _rounds(spark, cars, contested) == [("from2", "A")]  # zone 1 reaches only zone 2
+    calm = [(1, 2, "from2", 2, False), (1, 3, "from3", 3, False)]
+    assert _rounds(spark, cars, calm) == [("from2", "A"), ("from3", "B")]
 
 
 def test_routing_archive_and_replay(spark, streams, tmp_path):
