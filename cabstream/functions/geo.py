@@ -9,13 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabstream.functions.plan import evaluated_once
-from cabstream.sources.zones import CITY_ZONES, MAX_LITERAL_ZONES, Zone
+from cabstream.sources.zones import CITY_ZONES, Zone
 
 EARTH_RADIUS_KM = 6371.0
 AVG_SPEED_KMH = 25.0
 POINT_INTERVAL_S = 15
-# Beyond this many zones the distances are computed by a loop instead of unrolled code.
-MAX_UNROLLED_ZONES = 32
 POINTS_TYPE = "array<array<double>>"
 
 
@@ -68,12 +66,8 @@ def _sql_literal(value: object) -> str:
 
 def _squared_distances(lat: str, lon: str, zones: Sequence[Zone]) -> str:
     """SQL text of the array of squared degree distances to all zones, in list order."""
-    if not 0 < len(zones) <= MAX_LITERAL_ZONES:
-        raise ValueError(f"a zone list has 1 to {MAX_LITERAL_ZONES} zones, got {len(zones)}")
-    if len(zones) > MAX_UNROLLED_ZONES:
-        spots = ", ".join(f"struct({z.centroid_lat!r}D as y, {z.centroid_lon!r}D as x)" for z in zones)
-        return (f"transform(array({spots}), z -> (`{lat}` - z.y) * (`{lat}` - z.y)"
-                f" + (`{lon}` - z.x) * (`{lon}` - z.x))")
+    if not zones:
+        raise ValueError("a zone list has at least one zone")
     return "array(" + ", ".join(
         f"(`{lat}` - {z.centroid_lat!r}D) * (`{lat}` - {z.centroid_lat!r}D) + "
         f"(`{lon}` - {z.centroid_lon!r}D) * (`{lon}` - {z.centroid_lon!r}D)".replace("- -", "+ ")
@@ -84,8 +78,8 @@ def with_nearest_zone(df: DataFrame, lat: str = "lat", lon: str = "lon",
                       zones: Sequence[Zone] = CITY_ZONES, name: str = "zone_id") -> DataFrame:
     """Add the zone with the smallest squared degree distance; the first zone wins ties.
 
-    Literals only: no join, no shuffle, valid on streams. The list is bounded;
-    larger dimensions go through ``snap_to_reference``. A missing coordinate
+    Literals only: no join, no shuffle, valid on streams. The list is that of
+    one city; a zone table of any size goes through ``nearest_in_table``. A missing coordinate
     gives zone 0, so the column is never null. The distances are computed once
     per row however often the zone is used or filtered on, which also keeps the
     generated method small enough for the JVM to compile it.

@@ -93,11 +93,6 @@ def apply_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.fillna(defaults)
 
 
-def capped_rows(df: DataFrame, n: int, order_by: str = "TRIP_ID") -> DataFrame:
-    """First ``n`` rows by key: a debugging aid that, unlike a bare limit, repeats exactly."""
-    return df.orderBy(order_by).limit(n)
-
-
-def sampled_rows(df: DataFrame, fraction: float, seed: int, at_most: int) -> DataFrame:
-    """Seeded sample for plots."""
-    return df.sample(False, fraction, seed).limit(at_most)
+def sampled_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
+    """A seeded share of the rows, e.g. for plots; the caller chooses the fraction for the size it needs."""
+    return df.sample(False, fraction, seed)

@@ -49,6 +49,11 @@ def coverage_gap(trips: DataFrame, zone: Sequence[str] = ("zone_id", "zone_name"
                  critical_below: int = 5) -> DataFrame:
     """Trips per taxi and zone, judged underserved, critical or adequate (first rule wins)."""
     stats = trips.groupBy(*zone).agg(_count(), F.count_distinct(taxi).alias("unique_taxis"))
+    return judge_coverage(stats, underserved_above, critical_below)
+
+
+def judge_coverage(stats: DataFrame, underserved_above: float = 100, critical_below: int = 5) -> DataFrame:
+    """Add trips_per_taxi and the verdict to rows with trip_count and unique_taxis."""
     per_taxi = F.round(F.col("trip_count") / F.greatest("unique_taxis", F.lit(1)), 1)
     verdict = F.when(F.col("trips_per_taxi") > underserved_above, "underserved") \
         .when(F.col("unique_taxis") < critical_below, "critical").otherwise("adequate")
@@ -191,10 +196,7 @@ def kpi_table(trips: DataFrame, ts: str = "ts", taxi: str = "taxi_id") -> DataFr
     taxis = base.groupBy("zone_id", "zone_name", "taxi_id").agg(_count()) \
         .groupBy("zone_id", "zone_name").agg(F.sum("trip_count").alias("trip_count"),
                                              F.count("taxi_id").alias("unique_taxis"))
-    per_taxi = F.round(F.col("trip_count") / F.greatest("unique_taxis", F.lit(1)), 1)
-    verdict = F.when(F.col("trips_per_taxi") > 100, "underserved") \
-        .when(F.col("unique_taxis") < 5, "critical").otherwise("adequate")
-    gaps = taxis.withColumn("trips_per_taxi", per_taxi).withColumn("coverage_gap", verdict)
+    gaps = judge_coverage(taxis)
 
     cat = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
     hour_text, count = labels.hour_label("hour_of_day"), F.col("trip_count").cast("double")

@@ -76,9 +76,9 @@ def uncovered_requests(requests: DataFrame, supply: DataFrame, edges: DataFrame)
     return requests.join(reachable, ["window_start", "origin_zone"], "left_anti")
 
 
-def unmatched_requests(requests: DataFrame, matches: DataFrame) -> DataFrame:
-    """Requests without a match."""
-    return requests.join(matches.filter("matched").select("trip_id"), "trip_id", "left_anti")
+def unmatched_requests(matches: DataFrame) -> DataFrame:
+    """Requests without a match; the matcher reports every request once, so they are the other half of its rows."""
+    return matches.filter(~F.col("matched"))
 
 
 def with_eta(df: DataFrame, zones: Sequence[Zone] = CITY_ZONES, eta_target: str = "destination",

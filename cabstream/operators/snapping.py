@@ -8,38 +8,65 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabstream.functions import geo
+from cabstream.session import work_folder
 
-KM_PER_DEGREE = 111.0
 REFS_PER_BLOCK = 512
+# A degree of latitude is a little over 111 km; the margin absorbs rounding.
+KM_PER_DEGREE = 111.0
+MARGIN = 1.01
+
+
+def _bands(lat: Column, max_km: float) -> Column:
+    """Number of the latitude band, each at least ``max_km`` high."""
+    return F.floor((lat + 90) * KM_PER_DEGREE / (max_km * MARGIN)).cast("int")
+
+
+def _columns(band: Column, max_km: float) -> Column:
+    """Cells around the globe in a band, each at least as wide as ``max_km`` in it and the bands beside it.
+
+    Two places of latitude up to p within a distance d differ in longitude by
+    at most 2 asin(sin(d / 2R) / cos p); at the poles by anything, so there is
+    one cell.
+    """
+    height = max_km * MARGIN / KM_PER_DEGREE
+    furthest = F.least(F.greatest(F.abs((band - 1) * height - 90), F.abs((band + 2) * height - 90)), F.lit(90.0))
+    share = F.lit(math.sin(max_km * MARGIN / (2 * geo.EARTH_RADIUS_KM))) / F.cos(F.radians(furthest))
+    width = F.degrees(F.asin(F.least(share, F.lit(1.0)))) * 2
+    return F.greatest(F.floor(F.lit(360.0) / (width * MARGIN)), F.lit(1)).cast("int")
 
 
-def _cells(lat: Column, lon: Column, lat_step: float, lon_step: float) -> tuple[Column, Column]:
-    return F.floor(lat / lat_step), F.floor(lon / lon_step)
+def _cell(lon: Column, columns: Column) -> Column:
+    """Column of a longitude; the date line is an edge like any other."""
+    return F.pmod(F.floor((lon + 180) / 360 * columns), columns.cast("bigint")).cast("int")
 
 
 def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id: str,
-                      max_km: float = 0.5, max_abs_lat: float = 60.0,
-                      refs_per_block: int = REFS_PER_BLOCK) -> DataFrame:
+                      max_km: float = 0.5, refs_per_block: int = REFS_PER_BLOCK) -> DataFrame:
     """Move each point to the nearest reference point within ``max_km``, else leave it.
 
     Both sides carry ``lat``/``lon``; ``point_id`` and ``ref_id`` are unique.
-    Grid cells are at least ``max_km`` wide up to latitude ``max_abs_lat``, so
-    the point's cell and its eight neighbours hold every candidate. The
-    references (not the points) are written to the nine cells and packed into
-    blocks of bounded size, so a crowded cell becomes several blocks. A point
-    meets blocks, not references, and keeps the best of each block; the blocks
-    of a point are then reduced with partial aggregation. Spark broadcasts the
-    blocks when they are small and splits hot cells of a shuffled join.
+    The grid's cells are at least ``max_km`` high and wide at every latitude and
+    wrap around the globe, so the point's cell and its neighbours hold every
+    candidate. The references (not the points) are written to the cells around
+    and packed into blocks of bounded size, so a crowded cell becomes several
+    blocks. A point meets blocks, not references, and keeps the best of each
+    block; the blocks of a point are then reduced with partial aggregation.
+    Spark broadcasts the blocks when they are small and splits hot cells of a
+    shuffled join.
 
     Adds ``snapped_lat``, ``snapped_lon``, ``snapped_ref`` (null when nothing is
     near) and ``snap_km``; ties go to the smaller ``ref_id``.
     """
-    # A degree of latitude is a little over 111 km; the margin absorbs rounding.
-    lat_step = max_km / KM_PER_DEGREE * 1.01
-    lon_step = lat_step / math.cos(math.radians(max_abs_lat))
-    cell_lat, cell_lon = _cells(F.col("lat"), F.col("lon"), lat_step, lon_step)
-    around = F.array(*[F.struct((cell_lat + dy).alias("cell_lat"), (cell_lon + dx).alias("cell_lon"))
-                       for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
+    band = _bands(F.col("lat"), max_km)
+
+    def beside(of_band: Column) -> Column:
+        columns = _columns(of_band, max_km)
+        own = _cell(F.col("lon"), columns)
+        return F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.struct(
+            of_band.alias("cell_lat"), F.pmod(own + d, columns).alias("cell_lon"))))
+
+    around = F.concat(*[beside(band + d) for d in (-1, 0, 1)])
+    cell_lat, cell_lon = band, _cell(F.col("lon"), _columns(band, max_km))
     spread = refs.select(F.struct("lat", "lon", F.col(ref_id).alias("ref")).alias("_ref"),
                          F.inline(around))
     counts = spread.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).alias("_n"))
@@ -66,3 +93,43 @@ def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id:
         F.when(near, F.col("_best.ref")).alias("snapped_ref"),
         F.when(near, F.col("_best.km")).alias("snap_km"),
     )
+
+
+def nearest_in_table(points: DataFrame, refs: DataFrame, ref_id: str) -> DataFrame:
+    """Add ``ref_id`` of the reference with the smallest squared degree distance, for a table of any size.
+
+    Both sides carry ``lat``/``lon``; ties go to the smaller id, a missing
+    coordinate or an empty table gives null. Distinct places search the cell
+    they are in and the eight around it, at first with about one reference a
+    cell; a place whose best is nearer than a cell's width is done, the others
+    go on with cells four times as wide, until none is left. The work follows
+    the density around a place, and each round is written to shared storage.
+    """
+    spark = points.sparkSession
+    targets = refs.select(F.col("lat").alias("y"), F.col("lon").alias("x"), F.col(ref_id).alias("ref")).dropna()
+    places = points.select("lat", "lon").dropna().distinct()
+    area = targets.agg(F.min("y"), F.max("y"), F.min("x"), F.max("x"), F.count("*").alias("n")).first()
+    wide = places.agg(F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")).first()
+    if not area["n"] or wide[0] is None:
+        return points.withColumn(ref_id, F.lit(None).cast(refs.schema[ref_id].dataType))
+    span = max(max(area[1], wide[1]) - min(area[0], wide[0]), max(area[3], wide[3]) - min(area[2], wide[2]), 1e-6)
+    size, left, done = max(area[1] - area[0], area[3] - area[2], 1e-6) / math.sqrt(area["n"]), places, []
+    while True:
+        cell = [F.floor(F.col(c) / size).alias(n) for c, n in (("lat", "cy"), ("lon", "cx"))]
+        offsets = F.array(*[F.struct((F.floor(F.col("y") / size) + a).alias("cy"), (F.floor(F.col("x") / size) + b).alias("cx"))
+                            for a in (-1, 0, 1) for b in (-1, 0, 1)])
+        away = (F.col("lat") - F.col("y")) * (F.col("lat") - F.col("y")) + (F.col("lon") - F.col("x")) * (F.col("lon") - F.col("x"))
+        met = left.select("lat", "lon", *cell).join(targets.select("y", "x", "ref", F.inline(offsets)), ["cy", "cx"], "left")
+        path = work_folder(spark, "nearest")
+        met.groupBy("lat", "lon").agg(F.min(F.struct(away.alias("d"), "ref")).alias("best")).write.parquet(path)
+        best = spark.read.parquet(path)
+        near = F.coalesce(F.col("best.d") <= size * size, F.lit(False)) | F.lit(size > 2 * span)
+        done.append(best.filter(near & F.col("best.d").isNotNull()).select("lat", "lon", F.col("best.ref").alias(ref_id)))
+        left = best.filter(~near).select("lat", "lon")
+        if size > 2 * span or left.isEmpty():
+            break
+        size *= 4
+    found = done[0]
+    for part in done[1:]:
+        found = found.unionAll(part)
+    return points.join(found, ["lat", "lon"], "left").select(*points.columns, ref_id)

@@ -112,7 +112,7 @@ def _(spark, sf):
 
 @query("unmatched_requests", f"{MATCHES_SQL} select trip_id, origin_zone, requested_at from matches where not matched", MV)
 def _(spark, sf):
-    return matching.unmatched_requests(valid_requests(spark, sf), matches(spark, sf)) \
+    return matching.unmatched_requests(matches(spark, sf)) \
         .select("trip_id", "origin_zone", "requested_at")
 
 

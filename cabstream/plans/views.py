@@ -128,13 +128,13 @@ from (select g.*, z.zone_id, z.zone_name, z.centroid_lat, z.centroid_lon,
 DUCKDB_POLY = """
 select vec_id, cast(vec_id as bigint) as trip_id, label,
   1704067200 + vec_id * 1000 as epoch_s,
-  list_transform(range(1, vec_id % 33 + 1), lambda i:
+  list_transform(range(1, case label when 0 then 1 when 1 then 2 else len(embedding) // 2 + 1 end), lambda i:
     [-8.62e0 + cast(embedding[2*i-1] as double)*0.1e0, 41.145e0 + cast(embedding[2*i] as double)*0.1e0]) as points
 from embeddings"""
 
 SPARK_POLY = """
 select vec_id, vec_id as trip_id, label, 1704067200 + vec_id * 1000 as epoch_s,
-  transform(filter(sequence(1, 32), i -> i <= vec_id % 33), i -> array(
+  transform(filter(sequence(1, size(embedding) div 2), i -> label > 1 or i <= label), i -> array(
     -8.62e0 + cast(embedding[2*i-2] as double)*0.1e0,
     41.145e0 + cast(embedding[2*i-1] as double)*0.1e0)) as points
 from embeddings"""

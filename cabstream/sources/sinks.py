@@ -9,19 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cabstream.operators.latest import latest_per_key
+from cabstream.session import hadoop_path
 
 
 def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str] | None = None,
                       mode: str = "overwrite", rows_per_file: int = 5_000_000) -> None:
     """Snappy Parquet; a rerun replaces only the partitions it writes.
 
-    Rows are not shuffled to one writer per partition value, so a month with a
-    third of all trips is still written by every task that holds part of it.
+    Rows are rebalanced by the partition columns first: a month goes to one
+    task, or to several of about equal size if it is large, so the number of
+    files follows the data and not the number of tasks.
     """
-    writer = df.write.mode(mode).option("compression", "snappy") \
+    keys = [by] if isinstance(by, str) else list(by or ())
+    rows = df.hint("rebalance", *keys) if keys else df
+    writer = rows.write.mode(mode).option("compression", "snappy") \
         .option("maxRecordsPerFile", rows_per_file) \
         .option("partitionOverwriteMode", "dynamic")
-    keys = [by] if isinstance(by, str) else list(by or ())
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
 
 
@@ -105,13 +108,42 @@ def upsert_writer(path: str, keys: Sequence[str], order_by: Sequence[str],
 
 
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current rows of a table written by ``upsert_writer``: per key, the last batch's row."""
-    return latest_per_key(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")
+    """Current rows of a table written by ``upsert_writer``: per key, the last batch's row.
 
-
-def compact_upserted(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
-    """Fold all batches into one table at ``target`` so that reads stay cheap."""
-    read_upserted(spark, path, keys).write.mode("overwrite").parquet(target)
+    After a compaction only the newest base and the batches behind it are read.
+    """
+    base, batches = _upserted_parts(spark, path)
+    parts = [spark.read.parquet(f"{path}/base/upto={base}").withColumn("batch_id", F.lit(base))] if base is not None else []
+    if batches:
+        parts.append(spark.read.option("basePath", path).parquet(*[batch_folder(path, b) for b in batches]).withColumn(
+            "batch_id", F.col("batch_id").cast("bigint")))
+    rows = parts[0] if len(parts) == 1 else parts[0].withColumn("batch_id", F.col("batch_id").cast("bigint")).unionByName(parts[1])
+    return latest_per_key(rows, keys, ["batch_id"]).drop("batch_id")
+
+
+def compact_upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> int:
+    """Fold the batches written so far into a new base, then delete what it replaces; returns its last batch."""
+    base, batches = _upserted_parts(spark, path)
+    if not batches:
+        return base if base is not None else -1
+    read_upserted(spark, path, keys).write.mode("overwrite").parquet(f"{path}/base/upto={batches[-1]}")
+    for old in [batch_folder(path, b) for b in batches] + ([f"{path}/base/upto={base}"] if base is not None else []):
+        files, where = hadoop_path(spark, old)
+        files.delete(where, True)
+    return batches[-1]
+
+
+def _upserted_parts(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """Last batch of the newest complete base, and the batches written after it."""
+    def numbers(folder: str, prefix: str) -> list[int]:
+        files, where = hadoop_path(spark, folder)
+        found = files.listStatus(where) if files.exists(where) else []
+        done = (s.getPath() for s in found if files.exists(hadoop_path(spark, f"{s.getPath()}/_SUCCESS")[1]))
+        return sorted(int(p.getName().removeprefix(prefix)) for p in done if p.getName().startswith(prefix))
+
+    bases = numbers(f"{path}/base", "upto=")
+    base = bases[-1] if bases else None
+    return base, [b for b in numbers(path, "batch_id=") if base is None or b > base]
 
 
 def archive_events(stream: DataFrame, path: str, checkpoint: str, topic: str,

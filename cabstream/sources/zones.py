@@ -9,10 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A zone list is turned into literal expressions; beyond this many zones use
-# operators.snapping.snap_to_reference on the centroid table instead.
-MAX_LITERAL_ZONES = 1000
-
 
 class Zone(NamedTuple):
     zone_id: int
@@ -71,12 +67,12 @@ def load_zones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zone_list(zones: DataFrame) -> list[Zone]:
-    """Bring a zone dimension to the driver, refusing one that is not small."""
-    rows = zones.orderBy("zone_id").limit(MAX_LITERAL_ZONES + 1).collect()
-    if len(rows) > MAX_LITERAL_ZONES:
-        raise ValueError(
-            f"more than {MAX_LITERAL_ZONES} zones: join them with snap_to_reference instead"
-        )
+    """The zones of one city as a list, for literal expressions.
+
+    A dimension of any other size stays a table: ``snapping.nearest_in_table``
+    finds nearest zones there and joins look up attributes.
+    """
+    rows = zones.orderBy("zone_id").collect()
     return [Zone(r.zone_id, r.zone_name, r.zone_type, r.population_density, r.centroid_lat,
                  r.centroid_lon, tuple(r.adjacency or ())) for r in rows]
 

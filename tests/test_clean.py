@@ -70,11 +70,10 @@ def test_labels(spark):
     assert [r[0] for r in ids.select(is_uuid("i")).collect()] == [True, False, False]
 
 
-def test_capped_and_sampled_rows(spark):
+def test_sampled_rows(spark):
     df = spark.range(1000).select(F.col("id").alias("TRIP_ID"))
-    assert rows(clean.capped_rows(df.repartition(7), 3)) == [(0,), (1,), (2,)]
-    a = rows(clean.sampled_rows(df, 0.1, 42, 50))
-    assert a == rows(clean.sampled_rows(df, 0.1, 42, 50)) and 0 < len(a) <= 50
+    a = rows(clean.sampled_rows(df, 0.1, 42))
+    assert a == rows(clean.sampled_rows(df, 0.1, 42)) and 60 < len(a) < 140
 
 
 def test_tolerant_parsing(spark):

@@ -31,8 +31,7 @@ def test_nearest_zone_ties_and_missing(spark):
 
     assert ids(twin) == [7, 9, 7, 0]
     assert ids(twin[:1]) == [7, 7, 7, 0]
-    # A long list takes the looped form; far zones change nothing.
-    far = [Z.Zone(100 + i, "f", "x", 1, 80.0, i / 10, ()) for i in range(geo.MAX_UNROLLED_ZONES)]
+    far = [Z.Zone(100 + i, "f", "x", 1, 80.0, i / 10, ()) for i in range(40)]
     assert ids(twin + far) == [7, 9, 7, 0]
     with pytest.raises(ValueError):
         ids([])
@@ -111,9 +110,41 @@ def test_zone_loader(spark, tmp_path):
     assert edges == {(1, 0, 1), (1, 1, 2), (1, 2, 3), (1, 3, 9), (2, 0, 2)}
 
 
-def test_zone_list_refuses_large_dimensions(spark):
-    big = spark.range(Z.MAX_LITERAL_ZONES + 1).selectExpr(
-        "cast(id as int) zone_id", "'z' zone_name", "'t' zone_type", "1 population_density",
-        "0D centroid_lat", "0D centroid_lon", "array(1) adjacency")
-    with pytest.raises(ValueError):
-        Z.zone_list(big)
+def test_nearest_in_a_table_of_any_size(spark):
+    import random
+
+    rnd = random.Random(3)
+    zones = [(i, rnd.uniform(-50, 50), rnd.uniform(-80, 80)) for i in range(1500)]
+    zones += [(5000 + i, 10 + rnd.random() / 1e3, 10 + rnd.random() / 1e3) for i in range(3500)]
+    zones.append((9999, *zones[7][1:]))  # the smaller id wins
+    spots = [(i, rnd.uniform(-60, 60), rnd.uniform(-90, 90)) for i in range(60)]
+    spots += [(100 + i, 10 + rnd.random() / 1e3, 10 + rnd.random() / 1e3) for i in range(20)]
+    spots += [(200, *zones[7][1:]), (201, None, 1.0), (202, 1.0, None)]
+    got = snapping.nearest_in_table(spark.createDataFrame(spots, "pid INT, lat DOUBLE, lon DOUBLE"),
+                                    spark.createDataFrame(zones, "zone_id INT, lat DOUBLE, lon DOUBLE"), "zone_id")
+    found = {r.pid: r.zone_id for r in got.collect()}
+    for pid, lat, lon in spots:
+        near = None if None in (lat, lon) else min(((lat - y) ** 2 + (lon - x) ** 2, z) for z, y, x in zones)[1]
+        assert found[pid] == near
+    empty = spark.createDataFrame([], "zone_id INT, lat DOUBLE, lon DOUBLE")
+    assert snapping.nearest_in_table(got.drop("zone_id"), empty, "zone_id").filter("zone_id is not null").count() == 0
+
+
+def test_snapping_anywhere_on_the_globe(spark):
+    import random
+
+    rnd = random.Random(6)
+    centres = [(75.0, 20.0), (-75.0, 179.9995), (0.0, -180.0), (89.999, 0.0), (-89.999, 90.0), (60.0, 180.0)]
+    spots = [(i, max(-90.0, min(90.0, y + rnd.uniform(-1, 1) / 90)), (x + rnd.uniform(-1, 1) / 40 + 540) % 360 - 180)
+             for i, (y, x) in enumerate(centres * 25)]
+    refs = [(i, y, x) for i, y, x in spots[:75]]
+    refs += [(1000, 89.9995, 180.0), (1001, -89.9995, -90.0)]  # across the poles
+    p = spark.createDataFrame(spots[75:], "pid INT, lat DOUBLE, lon DOUBLE")
+    r = spark.createDataFrame(refs, "rid INT, lat DOUBLE, lon DOUBLE")
+    got = {x.pid: x.snapped_ref for x in snapping.snap_to_reference(p, r, "pid", "rid", 0.5).collect()}
+    hits = 0
+    for pid, lat, lon in spots[75:]:
+        km, ref = min((haversine(lat, lon, b, c), a) for a, b, c in refs)
+        assert got[pid] == (ref if km <= 0.5 else None)
+        hits += km <= 0.5
+    assert hits > 20

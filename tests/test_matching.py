@@ -90,4 +90,4 @@ def test_anti_joins(spark):
     edges = spark.createDataFrame([(1, 0, 1), (1, 1, 2), (3, 0, 3)], "zone_id INT, search_order INT, neighbour_id INT")
     assert rows(matching.uncovered_requests(reqs, supply, edges), "trip_id") == [("y",)]
     matches = spark.createDataFrame([("x", True), ("y", False)], "trip_id STRING, matched BOOLEAN")
-    assert rows(matching.unmatched_requests(reqs, matches), "trip_id") == [("y",)]
+    assert rows(matching.unmatched_requests(matches), "trip_id") == [("y",)]

@@ -120,8 +120,10 @@ def test_streamed_windows_equal_batch_windows(spark, streams, tmp_path):
     r = parsers.good_records(parsers.parse_trip_request(spark.read.text(str(tmp_path / "t"))))
     batch = demand_windows(demand_events(clean.valid_vehicles(g), r))
     assert rows(sinks.read_upserted(spark, path, keys)) == rows(batch)
-    sinks.compact_upserted(spark, path, str(tmp_path / "compact"), keys)
-    assert rows(spark.read.parquet(str(tmp_path / "compact")), *batch.columns) == rows(batch)
+    last = sinks.compact_upserted(spark, path, keys)
+    current = sinks.read_upserted(spark, path, keys)
+    assert rows(current, *batch.columns) == rows(batch)
+    assert all(f"/base/upto={last}/" in f for f in current.inputFiles())  # batches folded in are gone
 
 
 def test_rows_behind_a_closed_window_are_dropped(spark, streams, tmp_path):
