@@ -21,7 +21,7 @@ HEADLINE = (
     "zone_hour_month_demand", "kpi_table", "coverage_gap", "dataset_summary", "column_profile",
     "quality_report", "feature_matrix_row_lags", "feature_matrix_calendar_lags", "forecast_metrics",
     "asof_vehicle", "trip_matches", "match_rates", "final_match_status", "late_events_dropped",
-    "activity_sessions", "event_vs_arrival_windows", "trajectories_snapped", "demand_forecast",
+    "activity_sessions", "event_vs_arrival_windows", "trajectories_snapped",
     "stream_demand_windows", "stream_gps_thinned", "stream_gps_normalized", "stream_trip_matches_rounds",
 )
 

@@ -8,26 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabstream.operators.demand import demand_windows
-from cabstream.operators.ordered import last_known, next_row, previous_row, running_max, time_chunk
+from cabstream.operators.ordered import RANGE, last_known, next_row, previous_row, range_chunks, running_max, time_chunk
 
 
 def drop_late(df: DataFrame, max_delay: int = 180, event_time: str = "event_s",
-              arrival_time: str = "ingest_s", arrival_order: Sequence[str] = ("ingest_s",),
+              arrival_order: Sequence[str] = ("ingest_s",),
               source: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
     """Drop events more than ``max_delay`` seconds behind the newest event seen before them.
 
     Times are epoch seconds. Without ``source`` columns there is one clock for
-    the whole table; it is still computed chunk by chunk, by default per minute
-    of arrival. A bulk load that arrived in one second is better cut by
-    ``chunk``, any number that grows with the arrival order (e.g. the broker
-    offset divided by 100,000).
+    the whole table; it is still computed chunk by chunk, cut by row count. A
+    ``chunk`` of one's own, any number that grows with the arrival order (e.g.
+    the broker offset divided by 100,000), saves storing the rows once.
     """
     keys = list(source) or ["_all"]
     rows = df if source else df.withColumn("_all", F.lit(0))
-    parts = time_chunk(arrival_time, 60) if chunk is None else chunk
-    seen = running_max(rows, keys, list(arrival_order), parts, F.col(event_time), "_newest")
+    if chunk is None:
+        rows, chunk = range_chunks(rows, keys, list(arrival_order)), F.col(RANGE)
+    seen = running_max(rows, keys, list(arrival_order), chunk, F.col(event_time), "_newest")
     late = F.col(event_time) < F.col("_newest") - max_delay
-    return seen.filter(~F.coalesce(late, F.lit(False))).drop("_newest", "_all")
+    return seen.filter(~F.coalesce(late, F.lit(False))).drop("_newest", "_all", RANGE)
 
 
 def event_vs_arrival_windows(by_event: DataFrame, by_arrival: DataFrame,

@@ -38,7 +38,7 @@ def vehicle_state(pings: DataFrame, order_by: Sequence[str] = ("timestamp",),
 
 def asof_vehicle(requests: DataFrame, pings: DataFrame, request_time: str = "requested_at",
                  ping_time: str = "timestamp", tie: Sequence[str] = ("taxi_id",),
-                 chunk_seconds: int = 300) -> DataFrame:
+                 chunk_seconds: int | None = None) -> DataFrame:
     """Last free vehicle reported in the request's zone at or before the request (as-of join)."""
     free = pings.filter(is_available("status")).withColumn("origin_zone", F.col("zone_id"))
     joined = asof_join(requests, free, ["origin_zone"], request_time, ping_time, list(tie),

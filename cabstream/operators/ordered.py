@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cabstream.session import work_folder
+
 CHUNK = "_chunk"
+RANGE = "_range"
 DEFAULT_CHUNK_SECONDS = 3600
 
 
@@ -25,6 +28,22 @@ def time_chunk(epoch_s: Column | str, seconds: int = DEFAULT_CHUNK_SECONDS) -> C
     return F.floor(epoch_s / seconds)
 
 
+def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None) -> DataFrame:
+    """Rows with a chunk number (column ``_range``) that grows with ``order`` within each key.
+
+    The table is cut by row count, not by time: it is sorted into ranges of
+    (keys, order) of about equal size, so neither a busy key nor a bulk load
+    that arrived in one second makes a large chunk. The numbers are written to
+    shared storage with the rows, since ranges drawn anew would differ.
+    """
+    spark = df.sparkSession
+    number = chunks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = work_folder(spark, "range-chunks")
+    cut = df.repartitionByRange(number, *keys, *order).withColumn(RANGE, F.spark_partition_id())
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
+
+
 def _with_carry(rows: DataFrame, summary: DataFrame, keys: Sequence[str],
                 carry: Column) -> DataFrame:
     carried = summary.select(*keys, CHUNK, carry.alias("_carry"))
@@ -89,12 +108,14 @@ def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str,
               right_time: str, right_order: Sequence[str], values: Sequence[str],
-              name: str = "asof", chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+              name: str = "asof", chunk_seconds: int | None = None) -> DataFrame:
     """For each left row, ``values`` of the last right row of the key at or before its time.
 
     Both sides are put on one time line and the last known right row is carried
     forward; nothing is paired up. Times are epoch seconds; ``right_order``
-    breaks ties between right rows of the same second (the largest wins).
+    breaks ties between right rows of the same second (the largest wins). Chunks
+    are cut by row count; ``chunk_seconds`` cuts them by time instead, without
+    storing the time line, for keys known to be even.
     """
     payload = F.struct(*[F.col(c) for c in values])
     ties = F.struct(*[F.col(c) for c in right_order])
@@ -103,6 +124,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     rows = left.select(*keys, F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
                        F.struct(*left.columns).alias("_row"))
     line = rows.unionByName(seen, allowMissingColumns=True)
-    filled = last_known(line, keys, ["_t", "_side", "_tie"], time_chunk("_t", chunk_seconds),
-                        F.col("_seen"), name)
+    order = ["_t", "_side", "_tie"]
+    if chunk_seconds is None:
+        line, chunk = range_chunks(line, keys, order), F.col(RANGE)
+    else:
+        chunk = time_chunk("_t", chunk_seconds)
+    filled = last_known(line, keys, order, chunk, F.col("_seen"), name)
     return filled.filter("_side = 1").select("_row.*", name)

@@ -175,6 +175,6 @@ def _(spark, sf):
 def _(spark, sf):
     rows = matrix(spark, sf)
     train, _test = features.temporal_split(rows, SPLIT_MONTH)
-    model = forecast.demand_estimator(max_iter=3, max_depth=3).fit(forecast.as_model_input(train))
+    model = forecast.demand_estimator().fit(forecast.as_model_input(train))
     at = F.lit("2024-01-05 09:00:00").cast("timestamp")
     return forecast.forecast_zones(rows, model, at, city_zones(spark))

@@ -34,7 +34,6 @@ def test_query_equals_sql_and_plan_is_distributed(spark, sf_dir, db, name):
 @pytest.mark.parametrize("name, columns", [
     ("trips_per_zone", {"l_partkey"}),
     ("trip_type_distribution", {"l_returnflag"}),
-    ("late_events_dropped", {"event_id", "ts"}),
 ])
 def test_scans_read_only_what_they_need(spark, sf_dir, name, columns):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

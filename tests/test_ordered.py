@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from cabstream.operators import events, thinning
 from cabstream.operators.latest import first_per_key, latest_per_key
-from cabstream.operators.ordered import asof_join, last_known, next_row, previous_row, running_max, time_chunk
+from cabstream.operators.ordered import (
+    RANGE, asof_join, last_known, next_row, previous_row, range_chunks, running_max, time_chunk)
 
 
 @pytest.fixture(scope="module")
@@ -125,3 +126,18 @@ def test_blackouts_gaps_sessions(spark):
     built_in = timed.groupBy("taxi_id", F.session_window("ts", "60 seconds").alias("w")).count().select(
         "taxi_id", F.unix_timestamp("w.start"), F.unix_timestamp("w.end"), "count")
     assert mine == {tuple(r) for r in built_in.collect()}
+
+
+def test_row_chunks_stay_small_whatever_the_skew(spark):
+    # Nine tenths of the rows arrive in one second and belong to one key.
+    df = spark.range(4000).selectExpr("if(id % 10 = 0, id, 7) as key", "if(id % 10 = 0, id, 5) as ingest_s", "id",
+                                      "(id * 7919) % 1000 as event_s")
+    cut = range_chunks(df, ["key"], ["ingest_s", "id"], 16)
+    assert cut.groupBy("key", RANGE).count().agg(F.max("count")).first()[0] < 600
+    kept = events.drop_late(df, 180, arrival_order=["ingest_s", "id"])
+    newest, want = None, set()
+    for r in sorted(df.collect(), key=lambda r: (r.ingest_s, r.id)):
+        if newest is None or r.event_s >= newest - 180:
+            want.add(r.id)
+        newest = r.event_s if newest is None else max(newest, r.event_s)
+    assert {r.id for r in kept.collect()} == want
