@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstream.llm.common import SPACE, ascii_lower
+from cabstream.llm.common import SPACE, ascii_lower, stored
 
 KEY = ["h1", "h2"]
 
@@ -55,6 +55,12 @@ class LineRuns:
         runs = [self.spark.table(r) for r in self._runs()]
         return reduce(DataFrame.unionAll, runs).groupBy(*KEY).agg(F.sum("n").alias("n"))
 
+    def drop(self) -> None:
+        """Delete all runs."""
+        for run in self._runs():
+            self.spark.sql(f"drop table {run}")
+        self.levels = []
+
     def _runs(self) -> list[str]:
         return [r for level in self.levels for r in level]
 
@@ -108,7 +114,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for i in range(batches):
         batch = docs.where(F.pmod(F.xxhash64(id_col), F.lit(batches)) == i)
         runs.add(document_counts(batch, text_col, min_chars))
-    repeated = runs.counts().where(F.col("n") >= min_docs).select(*KEY)
+    repeated = stored(runs.counts().where(F.col("n") >= min_docs).select(*KEY), "repeated-lines")
+    runs.drop()
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     marks = [F.xxhash64(text).alias("__t1"), F.xxhash64(F.lit("text"), text).alias("__t2")]
