@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabstream.llm.common import discard, stored
@@ -25,6 +27,8 @@ LATENT, SKETCH = 96, 112
 COSINE, SHARE, ANSWER_SHARE = 0.4, 0.75, 0.6
 #: Items with fewer words match only word for word. Words at an item's end that stand for a missing answer.
 SHORT, ANSWER_WORDS = 8, 5
+#: Words of an item, beside those that a match may miss, that let a part of a document pass the gate.
+HITS = 6
 SEED = 3
 _WORD = re.compile(r"\w+")
 
@@ -78,91 +82,107 @@ def common_subsequence(masks: dict[str, int], n: int, window: Sequence[str]) ->
 
 @dataclass
 class Vocabulary:
-    """Words of a block of items with their weights, and the least weight of a window that can hold a match."""
+    """Words of a block of items and their weights."""
 
     terms: dict[str, int]
     idf: np.ndarray
-    least: dict[int, float]
 
     def codes(self, words: Sequence[str]) -> np.ndarray:
-        get, unknown = self.terms.get, len(self.terms)
-        return np.fromiter((get(w, unknown) for w in words), np.int64, len(words))
-
-    def spans(self, codes: np.ndarray) -> list[tuple[int, int]]:
-        """Word ranges that cover every window heavy enough to hold a match.
-
-        The common subsequence of a match has a known number of an item's
-        words, so its weight is at least that of the item's lightest words.
-        """
-        sums = np.concatenate([[0.0], np.cumsum(self.idf[codes])])
-        found = []
-        for size, least in self.least.items():
-            starts = np.arange(0, max(1, len(codes) - size + STEP), STEP)
-            ends = np.minimum(starts + size, len(codes))
-            heavy = starts[sums[ends] - sums[starts] >= least - 1e-9]
-            found += [(a, min(a + size, len(codes))) for a in heavy.tolist()]
-        merged: list[list[int]] = []
-        for a, b in sorted(found):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
-            else:
-                merged.append([a, b])
-        return [(a, b) for a, b in merged]
+        """Number of each word; words outside the vocabulary share the number behind the last."""
+        return np.fromiter(map(self.terms.get, words, repeat(len(self.terms))), np.int64, len(words))
 
 
 def vocabulary(items: Sequence[Item], counts: dict[int, int], passages: int) -> Vocabulary:
     terms = {w: i for i, w in enumerate(sorted({w for it in items for w in it.words}))}
     idf = np.array([math.log((passages + 1) / (counts.get(i, 0) + 1)) + 0.05 for i in range(len(terms))] + [0.0])
-    least: dict[int, float] = {}
-    for it in items:
-        light = sorted(idf[terms[w]] for w in it.words)[:it.least_common()]
-        least[it.window] = min(least.get(it.window, math.inf), sum(light))
-    return Vocabulary(terms, idf, least)
+    return Vocabulary(terms, idf)
 
 
-def _texts(docs: DataFrame, text_col: str, *keep: Column) -> DataFrame:
-    return docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+class Gate:
+    """Tells the parts of a document in which an item can match at all; nothing else is searched.
 
+    A match misses a known number of an item's words at most. Of that many
+    words and HITS more it has HITS, whichever they are; the gate takes those
+    found in the fewest items. A part is kept if that many of them lie within
+    the width of the item's window.
+    """
 
-def _document_frequency(docs: DataFrame, text_col: str, terms: dict[str, int]) -> dict[int, int]:
-    """In how many passages of all documents each term is found; at -1 the number of passages."""
+    def __init__(self, items: Sequence[Item], terms: dict[str, int]):
+        uses = Counter(w for it in items for w in set(it.words))
+        pairs, need, width = [], [], []
+        for number, it in enumerate(items):
+            missed = len(it.words) - it.least_common()
+            chosen = sorted(it.words, key=lambda w: (uses[w], -len(w), w))[:missed + HITS]
+            need.append(len(chosen) - missed)
+            width.append(it.window)
+            pairs += [(terms[w], number) for w in set(chosen)]
+        pairs.sort()
+        self.need, self.width = np.array(need), np.array(width)
+        self.items = np.array([i for _, i in pairs], np.int64)
+        self.first = np.searchsorted([t for t, _ in pairs], np.arange(len(terms) + 2))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, unknown = terms.get, len(terms)
-        counts, passages = np.zeros(unknown + 1, np.int64), 0
-        for batch in batches:
-            for text in batch.column(0):
-                words = words_of(text.as_py())
-                codes = np.fromiter((get(w, unknown) for w in words), np.int64, len(words))
-                place = np.arange(len(codes)) // PASSAGE
-                passages += -(-len(codes) // PASSAGE)
-                counts += np.bincount(np.unique(place * (unknown + 1) + codes) % (unknown + 1), minlength=unknown + 1)
-        found = np.nonzero(counts[:-1])[0]
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(counts[found], passages))],
-                                         ["term", "n"])
+    def spans(self, codes: np.ndarray) -> list[tuple[int, int]]:
+        """Word ranges that cover every window in which an item can match."""
+        first, count = self.first[codes], self.first[codes + 1] - self.first[codes]
+        place = np.flatnonzero(count)
+        if not len(place):
+            return []
+        many = count[place]
+        where = np.repeat(place, many)
+        inner = np.arange(len(where)) - np.repeat(np.cumsum(many) - many, many)
+        item = self.items[np.repeat(first[place], many) + inner]
+        order = np.lexsort((where, item))
+        item, where = item[order], where[order]
+        last = np.arange(len(item)) + self.need[item] - 1
+        full = last < len(item)
+        last = np.minimum(last, len(item) - 1)
+        met = full & (item[last] == item) & (where[last] - where < self.width[item])
+        starts = np.maximum(where[met] - self.width[item[met]], 0)
+        ends = np.minimum(where[last[met]] + self.width[item[met]], len(codes))
+        merged: list[list[int]] = []
+        for a, b in sorted(zip(starts.tolist(), ends.tolist(), strict=True)):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        return [(a, b) for a, b in merged]
 
-    partial = _texts(docs, text_col).mapInArrow(counted, "term long, n long")
-    return {r["term"]: r["n"] for r in partial.groupBy("term").agg(F.sum("n").alias("n")).collect()}
 
+def _scan(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int], gate: Gate) -> DataFrame:
+    """One pass over all documents: rows (id, words) of parts to search, and rows (term, n) of passage counts.
 
-def _spans(docs: DataFrame, id_col: str, text_col: str, vocab: Vocabulary) -> DataFrame:
-    """Rows (id, start, words): the parts of all documents in which a match is possible."""
+    The counts say in how many passages of a task's documents each term is
+    found; at term -1 stands the number of passages. They have no words.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("_text"))
+    names = ["id", "words", "term", "n"]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, size, kind_of_id = Vocabulary(terms, np.zeros(0)), len(terms), None
+        counts, passages = np.zeros(size, np.int64), 0
         for batch in batches:
-            owner, starts, texts = [], [], []
+            owner, texts, kind_of_id = [], [], batch.schema.field(0).type
             for i, text in enumerate(batch.column(1)):
                 words = words_of(text.as_py())
-                for a, b in vocab.spans(vocab.codes(words)):
+                codes = vocab.codes(words)
+                known = np.flatnonzero(codes < size)
+                marks = np.unique(known // PASSAGE * size + codes[known])
+                counts += np.bincount(marks % size, minlength=size)
+                passages += -(-len(codes) // PASSAGE)
+                for a, b in gate.spans(codes):
                     owner.append(i)
-                    starts.append(a)
                     texts.append(" ".join(words[a:b]))
+            none = pa.nulls(len(owner), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())),
-                                              pa.array(starts, pa.int64()), pa.array(texts, pa.string())],
-                                             ["id", "start", "words"])
+                                              pa.array(texts, pa.string()), none, none], names)
+        if kind_of_id is not None:
+            found = np.flatnonzero(counts)
+            term = pa.array(np.append(found, -1))
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(term), kind_of_id), pa.nulls(len(term), pa.string()), term,
+                                              pa.array(np.append(counts[found], passages))], names)
 
-    return _texts(docs, text_col, F.col(id_col).alias("id")).mapInArrow(cut, f"id {kind}, start long, words string")
+    return rows.mapInArrow(scanned, f"id {kind}, words string, term long, n long")
 
 
 def _sums(rows: np.ndarray, where: np.ndarray, n: int) -> np.ndarray:
@@ -240,7 +260,7 @@ class Searcher:
         self.vocab = vocab
         self.table = np.concatenate([space * vocab.idf[:-1, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
         self.by_size: dict[int, tuple[list[Item], np.ndarray]] = {}
-        for size in vocab.least:
+        for size in {it.window for it in items}:
             own = [it for it in items if it.window == size]
             vectors = np.stack([self.table[vocab.codes(it.words)].sum(axis=0) for it in own])
             self.by_size[size] = own, _unit(vectors)
@@ -303,12 +323,13 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     parts = []
     for items in _items(benchmark, item_col, item_text_col):
         terms = vocabulary(items, {}, 0).terms
-        counts = _document_frequency(docs, text_col, terms)
-        vocab = vocabulary(items, counts, counts.get(-1, 0))
-        spans = stored(_spans(docs, id_col, text_col, vocab), "decontamination-spans")
+        scan = stored(_scan(docs, id_col, text_col, terms, Gate(items, terms)), "decontamination-scan")
+        sums = scan.where("words is null").groupBy("term").agg(F.sum("n").alias("n")).collect()
+        counts = {r["term"]: r["n"] for r in sums}
+        vocab, spans = vocabulary(items, counts, counts.get(-1, 0)), scan.where("words is not null")
         searcher = Searcher(items, vocab, latent_space(spans, vocab, items))
         parts.append(stored(_matches(spans, searcher, kind, item_kind), "benchmark-matches"))
-        discard(spans)
+        discard(scan)
     if not parts:
         empty = f"`{id_col}` {kind}, `{item_col}` {item_kind}, common_words int, item_words int, cosine double"
         return docs.sparkSession.createDataFrame([], empty)
