@@ -5,14 +5,17 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
 
 #: Pieces remembered by a worker and the longest one that is; together they bound the memory.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 LONGEST = 48
+#: Ends of words of a vocabulary, and punctuation that is a token of its own behind a letter or digit.
+WORD_END, TAIL = "</w>", b".,;:!?"
 
 
 class WordIds:
@@ -20,7 +23,8 @@ class WordIds:
 
     Where the tokenizer drops white space and no token can span it, a text is
     cut at ASCII white space, a boundary that can't change any id, and each
-    distinct piece is encoded once. Other tokenizers encode whole texts.
+    distinct piece is encoded once; so are a word and the punctuation behind
+    it, another such boundary. Other tokenizers encode whole texts.
     """
 
     def __init__(self, path: str):
@@ -33,6 +37,12 @@ class WordIds:
         self._encoder.no_truncation()
         self._encoder.no_padding()
         self._cuts = _drops_space(parts)
+        steps = parts.get("normalizer") or {}
+        self._folds = any(s.get("type") == "Lowercase" for s in steps.get("normalizers", [steps]))
+        self._added = [t["content"].lower().encode() for t in parts.get("added_tokens") or []]
+        ends = (i for token, i in self._encoder.get_vocab().items() if token.endswith(WORD_END))
+        self._ends = np.zeros(self._encoder.get_vocab_size() + 1, bool)
+        self._ends[list(ends)] = True
         self._known: dict[bytes, bytes] = {}
 
     def __call__(self, text: bytes | None) -> bytes:
@@ -41,22 +51,67 @@ class WordIds:
             return b""
         if not self._cuts:
             return self._encode([text])[0]
-        pieces, known = text.split(), self._known
-        new = [p for p in set(pieces) if p not in known]
+        if self._folds:  # case doesn't count, but in added tokens
+            folded = text.lower()
+            text = text if any(t in folded for t in self._added) else folded
+        pieces = text.split()
+        ids = list(map(self._known.get, pieces))
+        new = [i for i, found in enumerate(ids) if found is None]
         if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(pieces))
-            found = dict(zip(new, self._encode(new), strict=True))
-            known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST)
-            if any(len(p) > LONGEST for p in new):
-                return b"".join([known[p] if p in known else found[p] for p in pieces])
-        return b"".join(map(known.__getitem__, pieces))
+            learned = self._learn({pieces[i] for i in new})
+            for i in new:
+                ids[i] = learned[pieces[i]]
+        return b"".join(ids)
+
+    def _learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new pieces, most of which are remembered."""
+        if len(self._known) + len(pieces) > REMEMBERED:
+            self._known.clear()
+        cut = {p: _without_tail(p) for p in pieces}
+        cores = {c for c in cut.values() if c not in self._known}
+        tails = {p[len(c):] for p, c in cut.items() if len(c) < len(p)}
+        base = list(cores | {t for t in tails if t not in self._known})
+        found = dict(zip(base, self._encode(base), strict=True))
+        for p, core in cut.items():
+            if len(core) < len(p):
+                halves = core, p[len(core):]
+                found[p] = b"".join([found[h] if h in found else self._known[h] for h in halves])
+            elif p not in found:
+                found[p] = self._known[p]
+        self._known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST)
+        return found
 
     def _encode(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """Ids of each piece; plain words are encoded as one text and told apart by the tokens that end a word."""
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self._encoder.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[bytes] = [b""] * len(texts)
+        plain = [i for i, t in enumerate(texts) if t.isalpha()] if self._cuts and self._ends.any() else []
+        if plain:
+            joined = " ".join([texts[i] for i in plain])
+            ids = np.array(self._encoder.encode(joined, add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) == len(plain) and ends[-1] == len(ids):
+                raw, at = ids.tobytes(), 0
+                for i, end in zip(plain, (4 * ends).tolist(), strict=True):
+                    out[i] = raw[at:end]
+                    at = end
+            else:  # letters that become several words
+                plain = []
+        done = set(plain)
+        rest = [i for i in range(len(texts)) if i not in done]
+        found = self._encoder.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found, strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
+
+
+def _without_tail(piece: bytes) -> bytes:
+    """A word without the punctuation behind it, if the word ends in a letter that stays one, or an ASCII digit."""
+    core = piece.rstrip(TAIL)
+    if not core or core[-1:].isalnum():
+        return core or piece
+    last = core.decode("utf-8", "replace")[-1]
+    return core if last > "\x7f" and unicodedata.normalize("NFC", last).lower().isalpha() else piece
 
 
 def _drops_space(parts: dict) -> bool:
