@@ -260,9 +260,11 @@ def repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col:
     rows = _keyed(docs, id_col, text_col)
     # Equal rows are one document.
     found = stored(_units(rows, window), "units")
-    shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("anchor")
+    # Stored, so that both sides of the join are shuffled for it and a hot anchor's partition can be split.
+    uses = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("uses"))
+    shared = stored(uses.where("uses > 1").select("anchor"), "shared-anchors")
     hits = stored(found.join(shared, "anchor").distinct(), "shared-units")
-    discard(found)
+    discard(found, shared)
     release(docs.sparkSession)
     firsts = hits.groupBy("anchor", "u").agg(F.min(F.struct("id", "t", "lo", "n")).alias("first"))
     firsts = stored(firsts, "first-units")
