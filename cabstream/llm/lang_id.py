@@ -283,7 +283,8 @@ def training_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chosen = (usable.where(F.col("lang").isin(common)).select("id", "lang")
               .withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(draw, "id"))).where(F.col("n") <= each))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    taken = usable.join(chosen.select("id"), "id", "left_semi").select("id", "lang", words.alias("w"))
+    # At most SAMPLE_DOCS ids, so they go to the texts and not the other way round.
+    taken = usable.join(F.broadcast(chosen.select("id")), "id", "left_semi").select("id", "lang", words.alias("w"))
     start = F.pmod(draw, F.greatest(F.size("w") - SAMPLE_WORDS, F.lit(0)) + 1).cast("int") + 1
     rows = taken.select("lang", "id", F.slice("w", start, SAMPLE_WORDS).alias("w")).collect()
     found: dict[str, list[bytes]] = {}
