@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Pieces remembered by a worker and the longest one that is; together they bound the memory.
-REMEMBERED = 1 << 19
+REMEMBERED = 3 << 17
 LONGEST = 48
 #: Ends of words of a vocabulary, and punctuation that is a token of its own behind a letter or digit.
 WORD_END, TAIL = "</w>", b".,;:!?"
