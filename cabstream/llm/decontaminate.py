@@ -25,7 +25,7 @@ STEP, PASSAGE = 8, 32
 LATENT, SKETCH = 96, 112
 #: Cosine of a candidate; share of an item's words, and of its answer's, in the common subsequence of a match.
 COSINE, SHARE, ANSWER_SHARE = 0.4, 0.75, 0.6
-#: Items with fewer words match only word for word. Words at an item's end that stand for a missing answer.
+#: Items with fewer words match only word for word. Words at an item's end that may stand for a missing answer.
 SHORT, ANSWER_WORDS = 8, 5
 #: Words of an item, beside those that a match may miss, that let a part of a document pass the gate.
 HITS = 6
@@ -290,7 +290,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
 
 
-def _items(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[Item]]:
+def _items(benchmark: DataFrame, item_col: str, text_col: str, last_words: int) -> Iterator[list[Item]]:
     """Blocks of items with words; the number of blocks follows the size of the benchmark."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text"),
@@ -300,28 +300,30 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[
     for i in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i).collect()
         made = [(r["item"], words_of(r["text"]), words_of(r["answer"])) for r in part]
-        block = [Item(item, words, answer or words[-ANSWER_WORDS:]) for item, words, answer in made if words]
+        block = [Item(item, words, answer or words[max(0, len(words) - last_words):]) for item, words, answer in made if words]
         if block:
             yield sorted(block, key=lambda it: (str(it.item_id), it.words))
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                      item_col: str = "item_id", item_text_col: str = "text",
+                      last_words: int = ANSWER_WORDS) -> DataFrame:
     """Rows (id_col, item_col, common_words, item_words, cosine): which items a document holds.
 
     A window of a document holds an item if its cosine in the latent space is
     at least COSINE, the longest common subsequence has SHARE of the item's
-    words, and that with the answer (a column `answer`, or the item's last
-    words where there is none) ANSWER_SHARE of the answer's. Items of fewer
-    than SHORT words must stand word for word. Case and punctuation don't
-    count. Null and empty texts and items match nothing; null ids are kept as
-    null; repeated rows of an id are one. One row per document and item, that
-    of the best window. Every document is read whole.
+    words, and that with the answer (a column `answer`, or the item's
+    `last_words` last words where there is none) ANSWER_SHARE of the answer's.
+    With `last_words=0` items without an answer are decided by SHARE alone.
+    Items of fewer than SHORT words must stand word for word. Case and
+    punctuation don't count. Null and empty texts and items match nothing;
+    null ids are kept as null; repeated rows of an id are one. One row per
+    document and item, that of the best window. Every document is read whole.
     """
     ship_package(docs.sparkSession)
     kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
     parts = []
-    for items in _items(benchmark, item_col, item_text_col):
+    for items in _items(benchmark, item_col, item_text_col, last_words):
         terms = vocabulary(items, {}, 0).terms
         scan = stored(_scan(docs, id_col, text_col, terms, Gate(items, terms)), "decontamination-scan")
         sums = scan.where("words is null").groupBy("term").agg(F.sum("n").alias("n")).collect()

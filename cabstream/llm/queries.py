@@ -71,7 +71,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_decontamination")
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_matches(read_table(spark, sf_dir, "documents"),
-                                           read_table(spark, sf_dir, "benchmark"))
+                                           read_table(spark, sf_dir, "benchmark"), last_words=0)
 
 
 LINE_SQL = r"""

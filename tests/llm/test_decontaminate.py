@@ -7,7 +7,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from cabstream.llm import decontaminate
+from cabstream.llm import decontaminate, queries
 
 from .conftest import prose
 
@@ -62,6 +62,22 @@ def test_share_and_answer_are_asked_for(spark, make_docs):
     assert matches(told, with_answer) == {(1, 0)}
 
 
+def test_items_without_an_answer_are_decided_by_the_share(spark, make_docs, tmp_path):
+    item = prose(1, 30)
+    words = item.split()
+    cut, half = " ".join(words[:25]) + " " + prose(3, 5), " ".join(words[:15]) + " " + prose(2, 15)
+    docs, bench = make_docs([half, cut, item] + [prose(10 + i, 60) for i in range(20)]), benchmark(spark, [(0, item)])
+    found = decontaminate.benchmark_matches(docs, bench, last_words=0).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 0), (2, 0)}
+    answers = [(0, item, None), (1, item, " ?"), (2, item, "zebra crossing")]
+    answered = spark.createDataFrame(answers, "item_id long, text string, answer string")
+    found = decontaminate.benchmark_matches(docs, answered, last_words=0).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, i) for d in (1, 2) for i in (0, 1)}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id for r in queries.QUERIES["op4_decontamination"](spark, str(tmp_path)).collect()} == {1, 2}
+
+
 def test_awkward_tables(spark, make_docs, awkward):
     docs = make_docs(awkward)
     bench = benchmark(spark, [(0, prose(1, 60)), (1, None), (2, ""), (3, "one"), (None, prose(3, 40)), (0, prose(1, 60)),
