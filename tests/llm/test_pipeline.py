@@ -79,3 +79,14 @@ def test_stages_take_awkward_rows(spark, sf_dir, make_docs, awkward):
             out = stage(spark, table, sf_dir)
             assert out.columns == docs.columns and out.count() <= table.count()
         corpus_pipeline.STAGES[-1][1](spark, table, sf_dir).count()
+
+
+def test_decontamination_judges_each_row_by_its_own_text(spark, sf_dir, make_docs):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first().text
+    held = f"{prose(1, 30)} {item} {prose(2, 30)}"
+    docs = make_docs([held, prose(3, 40), prose(4, 40), held, prose(5, 40), None], clashes=False)
+    shared = docs.withColumn("doc_id", F.when(F.col("doc_id") > 2, F.lit(7)))
+    out = corpus_pipeline.decontamination(spark, shared, sf_dir)
+    assert out.columns == docs.columns
+    kept = {(None, prose(3, 40)), (None, prose(4, 40)), (7, prose(5, 40)), (7, None)}
+    assert {(r.doc_id, r.text) for r in out.collect()} == kept and out.count() == 4
