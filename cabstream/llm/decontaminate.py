@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from cabstream.llm.common import discard, stored
 from cabstream.session import ship_package
 
-#: Items are matched in blocks of about so many words, so that what a task holds is bounded.
-BLOCK_WORDS = 50_000
+#: Items are matched in blocks of about so many words, so that what a task holds is bounded. A block's items are
+#: searched in groups of about so many words, each with a latent space of its own that suits its few items.
+BLOCK_WORDS, GROUP_WORDS = 50_000, 8_000
 #: Words of a step: windows start at multiples of it. Words of a passage of the TF-IDF matrix.
 STEP, PASSAGE = 8, 32
 #: Dimensions of the latent space and of the random projection it is found with.
@@ -104,10 +105,11 @@ class Gate:
     A match misses a known number of an item's words at most. Of that many
     words and HITS more it has HITS, whichever they are; the gate takes those
     found in the fewest items. A part is kept if that many of them lie within
-    the width of the item's window.
+    the width of the item's window. Each group of items has parts of its own.
     """
 
-    def __init__(self, items: Sequence[Item], terms: dict[str, int]):
+    def __init__(self, groups: Sequence[Sequence[Item]], terms: dict[str, int]):
+        items = [it for group in groups for it in group]
         uses = Counter(w for it in items for w in set(it.words))
         pairs, need, width = [], [], []
         for number, it in enumerate(items):
@@ -118,11 +120,12 @@ class Gate:
             pairs += [(terms[w], number) for w in set(chosen)]
         pairs.sort()
         self.need, self.width = np.array(need), np.array(width)
+        self.group = np.repeat(np.arange(len(groups)), [len(group) for group in groups])
         self.items = np.array([i for _, i in pairs], np.int64)
         self.first = np.searchsorted([t for t, _ in pairs], np.arange(len(terms) + 2))
 
-    def spans(self, codes: np.ndarray) -> list[tuple[int, int]]:
-        """Word ranges that cover every window in which an item can match."""
+    def spans(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(group, start, end) of word ranges that cover every window in which an item of the group can match."""
         first, count = self.first[codes], self.first[codes + 1] - self.first[codes]
         place = np.flatnonzero(count)
         if not len(place):
@@ -140,29 +143,29 @@ class Gate:
         starts = np.maximum(where[met] - self.width[item[met]], 0)
         ends = np.minimum(where[last[met]] + self.width[item[met]], len(codes))
         merged: list[list[int]] = []
-        for a, b in sorted(zip(starts.tolist(), ends.tolist(), strict=True)):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
+        for g, a, b in sorted(zip(self.group[item[met]].tolist(), starts.tolist(), ends.tolist(), strict=True)):
+            if merged and g == merged[-1][0] and a <= merged[-1][2]:
+                merged[-1][2] = max(b, merged[-1][2])
             else:
-                merged.append([a, b])
-        return [(a, b) for a, b in merged]
+                merged.append([g, a, b])
+        return [(g, a, b) for g, a, b in merged]
 
 
 def _scan(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int], gate: Gate) -> DataFrame:
-    """One pass over all documents: rows (id, words) of parts to search, and rows (term, n) of passage counts.
+    """One pass over all documents: rows (id, words, group) of parts to search, and rows (term, n) of passage counts.
 
     The counts say in how many passages of a task's documents each term is
     found; at term -1 stands the number of passages. They have no words.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("_text"))
-    names = ["id", "words", "term", "n"]
+    names = ["id", "words", "group", "term", "n"]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, size, kind_of_id = Vocabulary(terms, np.zeros(0)), len(terms), None
         counts, passages = np.zeros(size, np.int64), 0
         for batch in batches:
-            owner, texts, kind_of_id = [], [], batch.schema.field(0).type
+            owner, texts, groups, kind_of_id = [], [], [], batch.schema.field(0).type
             for i, text in enumerate(batch.column(1)):
                 words = words_of(text.as_py())
                 codes = vocab.codes(words)
@@ -170,19 +173,22 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int], ga
                 marks = np.unique(known // PASSAGE * size + codes[known])
                 counts += np.bincount(marks % size, minlength=size)
                 passages += -(-len(codes) // PASSAGE)
-                for a, b in gate.spans(codes):
+                for g, a, b in gate.spans(codes):
                     owner.append(i)
+                    groups.append(g)
                     texts.append(" ".join(words[a:b]))
             none = pa.nulls(len(owner), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())),
-                                              pa.array(texts, pa.string()), none, none], names)
+                                              pa.array(texts, pa.string()), pa.array(groups, pa.int64()), none, none],
+                                             names)
         if kind_of_id is not None:
             found = np.flatnonzero(counts)
             term = pa.array(np.append(found, -1))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(term), kind_of_id), pa.nulls(len(term), pa.string()), term,
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(term), kind_of_id), pa.nulls(len(term), pa.string()),
+                                              pa.nulls(len(term), pa.int64()), term,
                                               pa.array(np.append(counts[found], passages))], names)
 
-    return rows.mapInArrow(scanned, f"id {kind}, words string, term long, n long")
+    return rows.mapInArrow(scanned, f"id {kind}, words string, `group` long, term long, n long")
 
 
 def _sums(rows: np.ndarray, where: np.ndarray, n: int) -> np.ndarray:
@@ -254,7 +260,10 @@ def latent_space(spans: DataFrame, vocab: Vocabulary, items: Sequence[Item]) ->
 
 
 class Searcher:
-    """Cosine search of windows in the latent space, then the exact checks."""
+    """Cosine search of windows in the latent space, then the exact checks.
+
+    Windows that hold an item word for word are checked whatever their cosine.
+    """
 
     def __init__(self, items: Sequence[Item], vocab: Vocabulary, space: np.ndarray):
         self.vocab = vocab
@@ -264,6 +273,21 @@ class Searcher:
             own = [it for it in items if it.window == size]
             vectors = np.stack([self.table[vocab.codes(it.words)].sum(axis=0) for it in own])
             self.by_size[size] = own, _unit(vectors)
+        #: By an item's rarest word: its window, its number among those of that window, the word's place, its words.
+        self.rare: dict[str, list[tuple[int, int, int, list[str]]]] = {}
+        for size, (own, _) in self.by_size.items():
+            for i, it in enumerate(own):
+                at = int(np.argmax(vocab.idf[vocab.codes(it.words)]))
+                self.rare.setdefault(it.words[at], []).append((size, i, at, it.words))
+
+    def copies(self, words: list[str]) -> dict[int, list[tuple[int, int]]]:
+        """By window size: (item's number, place) wherever an item stands word for word."""
+        found: dict[int, list[tuple[int, int]]] = {}
+        for place, word in enumerate(words):
+            for size, i, at, own in self.rare.get(word, ()):
+                if place >= at and words[place - at:place - at + len(own)] == own:
+                    found.setdefault(size, []).append((i, place - at))
+        return found
 
     def search(self, words: list[str]) -> list[tuple[object, int, int, float, int]]:
         """(item, start, common words, cosine, item's words) of the best window for each item matched."""
@@ -272,11 +296,15 @@ class Searcher:
         sums = np.concatenate([np.zeros((1, steps.shape[1]), np.float32),
                                np.cumsum(np.add.reduceat(steps, cuts, axis=0), axis=0, dtype=np.float32)])
         best: dict[object, tuple] = {}
+        copies = self.copies(words)
         for size, (items, vectors) in self.by_size.items():
             starts = np.arange(max(1, len(cuts) - size // STEP + 1))
             ends = np.minimum(starts + size // STEP, len(cuts))
             near = _unit(sums[ends] - sums[starts]) @ vectors.T
-            for s, i in zip(*np.nonzero(near >= COSINE), strict=True):
+            asked = near >= COSINE
+            for i, place in copies.get(size, ()):
+                asked[max(0, -(-(place + len(items[i].words) - size) // STEP)):place // STEP + 1, i] = True
+            for s, i in zip(*np.nonzero(asked), strict=True):
                 start = int(s) * STEP
                 item = items[i]
                 common = item.match(words[start:start + size])
@@ -305,14 +333,20 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str, last_words: int)
             yield sorted(block, key=lambda it: (str(it.item_id), it.words))
 
 
+def _groups(items: list[Item]) -> list[list[Item]]:
+    """Items in groups of equal numbers, of about GROUP_WORDS words."""
+    count = min(len(items), math.ceil(sum(len(it.words) for it in items) / GROUP_WORDS))
+    return [items[i::count] for i in range(count)]
+
+
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_col: str = "item_id", item_text_col: str = "text",
                       last_words: int = ANSWER_WORDS) -> DataFrame:
     """Rows (id_col, item_col, common_words, item_words, cosine): which items a document holds.
 
     A window of a document holds an item if its cosine in the latent space is
-    at least COSINE, the longest common subsequence has SHARE of the item's
-    words, and that with the answer (a column `answer`, or the item's
+    at least COSINE or the item stands in it word for word, the longest common
+    subsequence has SHARE of the item's words, and that with the answer (a column `answer`, or the item's
     `last_words` last words where there is none) ANSWER_SHARE of the answer's.
     With `last_words=0` items without an answer are decided by SHARE alone.
     Items of fewer than SHORT words must stand word for word. Case and
@@ -325,12 +359,16 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     parts = []
     for items in _items(benchmark, item_col, item_text_col, last_words):
         terms = vocabulary(items, {}, 0).terms
-        scan = stored(_scan(docs, id_col, text_col, terms, Gate(items, terms)), "decontamination-scan")
+        groups = _groups(items)
+        scan = stored(_scan(docs, id_col, text_col, terms, Gate(groups, terms)), "decontamination-scan")
         sums = scan.where("words is null").groupBy("term").agg(F.sum("n").alias("n")).collect()
         counts = {r["term"]: r["n"] for r in sums}
-        vocab, spans = vocabulary(items, counts, counts.get(-1, 0)), scan.where("words is not null")
-        searcher = Searcher(items, vocab, latent_space(spans, vocab, items))
-        parts.append(stored(_matches(spans, searcher, kind, item_kind), "benchmark-matches"))
+        for number, group in enumerate(groups):
+            spans = scan.where((F.col("group") == number) & F.col("words").isNotNull())
+            own = {i: counts.get(terms[w], 0) for w, i in vocabulary(group, {}, 0).terms.items()}
+            vocab = vocabulary(group, own, counts.get(-1, 0))
+            searcher = Searcher(group, vocab, latent_space(spans, vocab, group))
+            parts.append(stored(_matches(spans, searcher, kind, item_kind), "benchmark-matches"))
         discard(scan)
     if not parts:
         empty = f"`{id_col}` {kind}, `{item_col}` {item_kind}, common_words int, item_words int, cosine double"

@@ -111,3 +111,25 @@ def test_latent_space_spans_the_leading_directions(spark):
                 dense[i, c] += vocab.idf[c] * (1 if i < len(rows) else np.sqrt(len(rows) / len(items)))
     assert np.allclose(space.T @ space, np.eye(space.shape[1]), atol=1e-4)
     assert np.allclose(dense @ space @ space.T, dense, atol=1e-2)
+
+
+def test_exact_copies_need_no_cosine(spark, make_docs, monkeypatch):
+    draw = random.Random(5)
+    items = [(i, " ".join(draw.choices([f"w{k}" for k in range(3000)], k=5 + i % 20))) for i in range(400)]
+    docs = make_docs([f"{prose(i, 7 + i % 9)} {t.upper()}, {prose(900 + i, 30)}" for i, t in items])
+    monkeypatch.setattr(decontaminate, "LATENT", 2)
+    for words in (50_000, 1_000):
+        monkeypatch.setattr(decontaminate, "GROUP_WORDS", words)
+        found = decontaminate.benchmark_matches(docs, benchmark(spark, items), last_words=0).collect()
+        assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in found}
+
+
+def test_each_group_of_items_has_its_own_parts():
+    items = [decontaminate.Item(i, prose(i, 20).split(), []) for i in range(6)]
+    terms = decontaminate.vocabulary(items, {}, 0).terms
+    vocab = decontaminate.Vocabulary(terms, np.zeros(0))
+    gate = decontaminate.Gate([items[:3], items[3:]], terms)
+    words = [*prose(50, 100).split(), *items[4].words, *prose(51, 100).split(), *items[1].words]
+    spans = gate.spans(vocab.codes(words))
+    assert [g for g, a, b in spans] == [0, 1]
+    assert all(a <= at and at + 20 <= b for (_, a, b), at in zip(spans, (220, 100), strict=True))
