@@ -90,3 +90,14 @@ def test_decontamination_judges_each_row_by_its_own_text(spark, sf_dir, make_doc
     assert out.columns == docs.columns
     kept = {(None, prose(3, 40)), (None, prose(4, 40)), (7, prose(5, 40)), (7, None)}
     assert {(r.doc_id, r.text) for r in out.collect()} == kept and out.count() == 4
+
+
+def test_near_duplicates_judge_each_text_under_an_id(spark, sf_dir, make_docs):
+    texts = [prose(1, 60), prose(2, 60), prose(2, 60), prose(3, 60), prose(1, 60), prose(4, 60), None]
+    docs = make_docs(texts, clashes=False, lang=["en", "fr", "de", "en", "en", "en", "en"]).withColumn(
+        "doc_id", F.when(F.col("doc_id") < 4, F.lit(7)).when(F.col("doc_id") == 4, F.lit(9)))
+    out = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    kept = [(7, prose(1, 60), "en"), (7, prose(2, 60), "de"), (7, prose(3, 60), "en"), (None, prose(4, 60), "en"),
+            (None, None, "en")]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(i, t, k) for i, t, k in kept], key=str)
