@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstream.llm import (
-    ann, binary_output, decontaminate, lang_id, line_dedup, packing, sharding, simhash, substring_dedup, token_counts)
+    ann, binary_output, conversation_trie, decontaminate, lang_id, line_dedup, packing, sharding, simhash, substring_dedup, token_counts)
 from cabstream.llm.common import read_table
 from cabstream.session import work_folder
 
@@ -124,3 +124,50 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"),
                                      limit=CAPACITY)
+
+
+#: The byte table of CRC-32, as a list in SQL, and the unsigned CRC-32 of a list of bytes by it.
+CRC_TABLE = """crc as (select list(v order by i) as crc_table from (select i, list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+  lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) as v from range(256) r(i)))"""
+
+
+def crc_sql(codes: str) -> str:
+    return (f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, crc_table[xor(c & 255, b) + 1]), "
+            "4294967295::bigint), 4294967295)")
+
+
+TRIE_SQL = f"""
+with {CRC_TABLE},
+t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+  coalesce(text, '')) as p, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} as x
+  from conversations where conv_id is not null),
+c as (select conv_id, list(x order by p) as own from t group by conv_id),
+h as (select *, {crc_sql("list_transform(string_split(conv_id::varchar, ''), lambda s: ascii(s)::bigint)")} % 6 as h from c cross join crc),
+r as (select h.conv_id, list_concat(coalesce(b.own, [])[1:h.h], h.own[h.h + 1:]) as turns
+  from h left join c b on b.conv_id = h.conv_id - h.conv_id % 100),
+v as (select conv_id, turns, unnest(generate_series(0, len(turns))) as depth from r),
+k as (select conv_id, depth, case when depth = 0 then [] else turns[1:depth] end as path, len(turns) = depth as ends from v),
+n as (select depth, path, min(conv_id) as conv_id, count(*) as n_convs,
+  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from k group by depth, path),
+f as (select n.*, p.conv_id as parent_conv_id, count(*) over (partition by n.depth, case when n.depth > 1
+  then n.path[1:n.depth - 1] else [] end) as same, case when n.depth > 1 then n.path[1:n.depth - 1] else [] end as up
+  from n left join n p on p.depth = n.depth - 1 and p.path = (case when n.depth > 1 then n.path[1:n.depth - 1] else [] end)),
+g as (select depth - 1 as depth, up as path, count(*) as n_children from f where depth > 0 group by all),
+w as (select f.*, coalesce(g.n_children, 0) as n_children,
+  case when f.depth = 0 then 0 else (n_convs - 1) * length(f.path[f.depth].t) end as saved
+  from f left join g on g.depth = f.depth and g.path = f.path),
+a as (select depth, path, n_children, saved, unnest(generate_series(0, depth)) as e from w),
+s as (select e as depth, case when e = 0 then [] else path[1:e] end as path, count(*) filter (where n_children = 0) as n_leaves,
+  sum(saved)::bigint as saved_tokens from a group by all)
+select w.conv_id, w.depth, w.parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+from w join s on s.depth = w.depth and s.path = w.path"""
+
+
+@query("op13_conversation_trie", TRIE_SQL)
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.ordered_turns(read_table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    rebuilt = conversation_trie.with_shared_starts(
+        turns, base=conv - conv % 100, head=F.crc32(conv.cast("string")) % 6, most=5)
+    return conversation_trie.prefix_trie(*rebuilt)
