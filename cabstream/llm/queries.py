@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstream.llm import (
-    ann, binary_output, conversation_trie, decontaminate, lang_id, line_dedup, packing, sharding, simhash, substring_dedup, token_counts)
+    ann, binary_output, conversation_trie, decontaminate, lang_id, license_scan, line_dedup, packing, sharding, simhash,
+    spelling, substring_dedup, token_counts)
 from cabstream.llm.common import read_table
 from cabstream.session import work_folder
 
@@ -136,6 +137,42 @@ def crc_sql(codes: str) -> str:
             "4294967295::bigint), 4294967295)")
 
 
+@query("op11_license_scan")
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+SPELLING_SQL = rf"""
+with recursive {CRC_TABLE},
+runs as (select coalesce(doc_id::varchar, '') as d, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents where text is not null),
+counted as (select d, run, count(*) as n, hex(encode(d || ':' || run)) as x from runs where length(run) >= 7 group by d, run),
+hashed as (select run, n, {crc_sql("list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::bigint)")} as h
+  from counted cross join crc),
+garbled as (select case when h % 31 = 0 then run[1:h % length(run)] || run[h % length(run) + 2:] else run end as word, n from hashed),
+v as (select word, sum(n)::bigint as n from garbled where length(word) >= 7 group by word having sum(n) >= 2),
+cut as (select word, n, length(word) as l, i, run_without as rest from (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as run_without
+  from (select word, n, unnest(generate_series(1, length(word))) as i from v))),
+pairs as (select distinct a.word, b.word as near, b.n as near_n from cut a join cut b
+    on a.rest = b.rest and a.i = b.i and a.l = b.l and a.word <> b.word
+  union select distinct c.word, v.word, v.n from cut c join v on v.word = c.rest
+  union select distinct v.word, c.word, c.n from cut c join v on v.word = c.rest),
+best as (select word, count(*) as n_near, arg_min(near, (-near_n, near)) as near, max(near_n) as near_n from pairs group by word),
+forms as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * v.n then near end as form,
+  case when near_n >= 10 * v.n then near_n end as form_n from v left join best b on b.word = v.word),
+walk as (select word, word as at from forms union all
+  select w.word, f.form from walk w join forms f on f.word = w.at where f.form is not null),
+roots as (select w.word, w.at as root from walk w join forms f on f.word = w.at where f.form is null)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n from forms f join roots r on r.word = f.word"""
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(read_table(spark, sf_dir, "documents"), min_chars=7, min_count=2, garble=31)
+    return spelling.variants(counts, ratio=10)
+
+
 TRIE_SQL = f"""
 with {CRC_TABLE},
 t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
