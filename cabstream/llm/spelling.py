@@ -90,34 +90,45 @@ def _skip(way: Column, size: Column, prefix: Column, following: Column) -> Colum
     return F.xxhash64(F.lit(1), way, size, prefix, following)
 
 
-def edge_table(words: DataFrame) -> DataFrame:
-    """The tries' edges, one row per key and node: (key, op, node, n_words, low, high).
+def trie_nodes(words: DataFrame) -> DataFrame:
+    """The tries' nodes below the starts: (way, len, depth, below, low, high).
 
-    An edge (op DELETE: reached by the next letter) has the key of its lower
-    node; a pair of edges (op REPLACE) has that of the node above both and of the second letter, any
-    letter standing between; the key of a last edge has no second letter.
-    `node` is the prefix reached, `low` and `high` are the first and last of the words below.
+    `low` and `high` are the first and last (word, n) below a node, of which
+    `low` spells its prefix; `high` is null if there is one word only. `below`
+    is their number, 3 for more than two.
     """
     one = F.struct("word", "n")
     prefixes = spelled(words).select("way", "len", one.alias("one"), "s", F.explode(
         F.sequence(F.col("start") + 1, F.col("len"))).alias("depth"))
-    nodes = prefixes.groupBy("way", "len", F.expr("substring(s, 1, depth)").alias("node")).agg(
-        F.count(F.lit(1)).alias("n_words"), F.min("one").alias("low"), F.max("one").alias("high"))
-    way, size, node, depth = F.col("way"), F.col("len"), F.col("node"), F.length("node")
-    last = depth == size
+    nodes = prefixes.groupBy("way", "len", "depth", F.expr("substring(s, 1, depth)").alias("node")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("one").alias("low"), F.max("one").alias("high"))
+    return nodes.select("way", "len", "depth", F.least("n", F.lit(3)).cast("int").alias("below"), "low",
+                        F.when(F.col("n") > 1, F.col("high")).alias("high"))
+
+
+def edge_table(nodes: DataFrame) -> DataFrame:
+    """The tries' edges, one row per key and node: (key, to, low, high); `to` packs the op, `below` and the depth.
+
+    An edge (op DELETE: reached by the next letter) has the key of its lower
+    node; a pair of edges (op REPLACE) has that of the node above both and of the second letter, any
+    letter standing between; the key of a last edge has no second letter.
+    """
+    way, size, depth, node = F.col("way"), F.col("len"), F.col("depth"), F.expr("substring(s, 1, depth)")
     half = F.floor(size / 2).cast("int")
     inside = depth >= F.when(way == 0, half).otherwise(size - half) + 2
     keys = F.array(
         F.struct(_edge(way, size, node).alias("key"), F.lit(DELETE).alias("op")),
-        F.struct(F.when(inside, _skip(way, size, F.expr("substring(node, 1, length(node) - 2)"), F.expr("right(node, 1)")))
+        F.struct(F.when(inside, _skip(way, size, F.expr("substring(s, 1, depth - 2)"), F.expr("substring(s, depth, 1)")))
                  .alias("key"), F.lit(REPLACE).alias("op")),
-        F.struct(F.when(last, _skip(way, size, F.expr("substring(node, 1, length(node) - 1)"), F.lit(""))).alias("key"),
+        F.struct(F.when(depth == size, _skip(way, size, F.expr("substring(s, 1, depth - 1)"), F.lit(""))).alias("key"),
                  F.lit(REPLACE).alias("op")))
-    return nodes.select(F.inline(keys), "node", "n_words", "low", "high").where("key is not null")
+    rows = nodes.withColumn("s", _spelled("low.word")).select(F.inline(keys), "depth", "below", "low", "high")
+    to = F.col("depth") * 8 + F.col("below") * 2 + F.col("op")
+    return rows.where("key is not null").select("key", to.alias("to"), "low", "high")
 
 
 def _first_states(words: DataFrame) -> DataFrame:
-    """States after one edit: (word, n, way, at, op, key); `at` is the edited position of the spelled word.
+    """States after one edit: (word, n, edit, key); `edit` packs the op, the way and the edited position of the spelled word.
 
     An unedited word is at its own prefixes, so these states need no join. Of a
     run of equal letters only the last can be deleted (in reading order), as any gives the same word.
@@ -130,7 +141,17 @@ def _first_states(words: DataFrame) -> DataFrame:
         F.struct(F.lit(DELETE).alias("op"), F.when(~repeats, _edge(way, size - 1, F.concat(own, following))).alias("key")),
         F.struct(F.lit(REPLACE).alias("op"), _skip(way, size, own, following).alias("key")))
     positions = spelled(words).select("*", F.explode(F.sequence(F.col("start"), F.col("len") - 1)).alias("at"))
-    return positions.select("word", "n", "way", "at", F.inline(states)).where("key is not null")
+    rows = positions.select("word", "n", "way", "at", F.inline(states)).where("key is not null")
+    return rows.select("word", "n", (at * 4 + way * 2 + F.col("op")).alias("edit"), "key")
+
+
+def _unpacked(states: DataFrame) -> DataFrame:
+    """States that have met a node: (word, n, way, at, op, depth, below, low, high)."""
+    edit, to = F.col("edit"), F.col("to")
+    return states.select(
+        "word", "n", F.shiftright(edit, 1).bitwiseAND(F.lit(1)).alias("way"), F.shiftright(edit, 2).alias("at"),
+        edit.bitwiseAND(F.lit(1)).alias("op"), F.shiftright(to, 3).alias("depth"),
+        F.shiftright(to, 1).bitwiseAND(F.lit(3)).alias("below"), "low", "high")
 
 
 def _spelled(word: str) -> Column:
@@ -139,8 +160,8 @@ def _spelled(word: str) -> Column:
 
 def _arrived(states: DataFrame) -> DataFrame:
     """Near words of states whose node has one or two words below: (word, n, near, near_n)."""
-    ends = F.array_distinct(F.array("low", "high"))
-    found = states.where("n_words <= 2").select("word", "n", "way", "at", "op", F.inline(ends).alias("near", "near_n"))
+    ends = F.array_compact(F.array("low", "high"))
+    found = states.where("below <= 2").select("word", "n", "way", "at", "op", F.inline(ends).alias("near", "near_n"))
     rest = "substring(w, 1, at) = substring(v, 1, at) and substring(w, at + 2) = substring(v, at + {})"
     true = F.when(F.col("op") == DELETE, F.expr(rest.format(1))).otherwise(
         F.expr(f"{rest.format(2)} and substring(w, at + 1, 1) < substring(v, at + 1, 1)"))
@@ -160,29 +181,31 @@ def near_words(words: DataFrame, depth: int = DEPTH) -> DataFrame:
     letter; they meet by hashes of what is left without a letter (`long_pairs`), as exactly.
     """
     short = words.where(F.length("word") <= depth)
-    edges = stored(edge_table(short), "trie-edges")
-    links = edges.where(F.col("op") == DELETE).drop("op")
-    step = stored(_first_states(short).join(edges, ["key", "op"]).where(
-        (F.col("op") == DELETE) | (F.expr("substring(node, at + 1, 1)") > F.expr(
-            "if(way = 0, substring(word, at + 1, 1), substring(word, length(word) - at, 1))"))).drop("key"), "trie-states")
-    found, used = [_arrived(step)], []
+    nodes = stored(trie_nodes(short), "trie-nodes")
+    edges = edge_table(nodes)
+    links = edges.where(F.col("to").bitwiseAND(F.lit(1)) == DELETE)
+    bigger = F.expr("substring(v, at + 1, 1) > substring(w, at + 1, 1)")
+    met = _unpacked(_first_states(short).join(edges, "key")).withColumns({"w": _spelled("word"), "v": _spelled("low.word")})
+    # Of a pair of words of one length only the first walks; at the replaced letter all words below a node agree.
+    step = stored(met.where((F.col("op") == DELETE) | bigger).drop("w", "v"), "trie-states")
+    found, used = [_arrived(step)], [step]
     while True:
-        going = step.where("n_words > 2")
+        going = step.where("below > 2").withColumns({"s": _spelled("word"), "node": _spelled("low.word")})
         if going.isEmpty():
             break
         size = F.length("word") - F.when(F.col("op") == DELETE, 1).otherwise(0)
-        seen = F.length("node") + F.when(F.col("op") == DELETE, 2).otherwise(1)
-        child = F.concat("node", F.substring("s", seen, F.lit(1)))
-        wanted = going.withColumn("s", _spelled("word")).select(
-            "word", "n", "way", "at", "op", _edge(F.col("way"), size, child).alias("key"))
-        step = stored(wanted.join(links, "key").drop("key"), "trie-states")
+        seen = F.col("depth") + F.when(F.col("op") == DELETE, 2).otherwise(1)
+        child = F.concat(F.expr("substring(node, 1, depth)"), F.substring("s", seen, F.lit(1)))
+        edit = F.col("at") * 4 + F.col("way") * 2 + F.col("op")
+        wanted = going.select("word", "n", edit.alias("edit"), _edge(F.col("way"), size, child).alias("key"))
+        step = stored(_unpacked(wanted.join(links, "key")), "trie-states")
         found.append(_arrived(step))
         used.append(step)
     pairs = found[0]
     for more in [*found[1:], long_pairs(words, depth)]:
         pairs = pairs.unionAll(more)
     pairs = stored(pairs, "near-words")
-    discard(edges, *used)
+    discard(nodes, *used)
     return pairs.unionAll(pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"),
                                        F.col("word").alias("near"), F.col("n").alias("near_n")))
 
