@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cabstream.llm.common import workers
 from cabstream.llm.tokens import word_ids
@@ -79,14 +80,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
     """Encode all documents, each followed by `end_id`, and write the ids to `path` in ascending order of id_col.
 
     Null texts count as empty; null ids come first; rows with the same id are
-    ordered by text. A range partition makes one shard; a shard is written by
+    ordered by a hash of their text, so that any number of them is spread over
+    shards (but for equal rows). Other columns are not read. A range partition makes one shard; a shard is written by
     one task and committed by Spark, so that a lost executor leaves no part of
     a file. An empty table gives an empty container.
     """
     spark = docs.sparkSession
     ship_package(spark)
     id_field = docs.schema[id_col]
-    arrow_id = {"string": pa.string(), "int": pa.int32()}.get(id_field.dataType.simpleString(), pa.int64())
+    arrow_id = to_arrow_type(id_field.dataType)
     names = ["shard", "segment", "shard_start", "n_ids", "doc_ids", "doc_lengths", "index", "payload"]
     types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(arrow_id), pa.list_(pa.int64()),
              pa.list_(pa.int32()), pa.binary()]
@@ -104,8 +106,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
 
         for batch in batches:
-            for owner, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + end
+            for owner, ids in zip(batch.column(0).to_pylist(), encode.together(batch.column(1)), strict=True):
+                ids += end
                 held.append(ids)
                 owners.append(owner)
                 lengths.append(len(ids) // 4)
@@ -116,7 +118,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
             yield close()
 
     rows = (docs.select(id_col, F.col(text_col).cast("binary").alias("_text"))
-            .repartitionByRange(shards or workers(spark), id_col).sortWithinPartitions(id_col, "_text"))
+            .withColumn("_part", F.xxhash64("_text"))
+            .repartitionByRange(shards or workers(spark), id_col, "_part").sortWithinPartitions(id_col, "_part", "_text")
+            .drop("_part"))
     rows.mapInArrow(encoded, f"shard int, segment int, shard_start long, n_ids long, "
                     f"doc_ids array<{id_field.dataType.simpleString()}>, doc_lengths array<long>, index array<int>, "
                     "payload binary").write.option("compression", "none").parquet(f"{path}/data")

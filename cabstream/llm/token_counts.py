@@ -8,25 +8,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstream.llm.tokens import piece_counts, word_ids
+from cabstream.llm.tokens import byte_batches, piece_counts, word_ids
 from cabstream.session import ship_package
 
 #: Bytes of text that are encoded at a time.
 BATCH_BYTES = 1 << 20
 
-
-def byte_batches(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about `limit` bytes; a longer text is a range of its own."""
-    start, held = 0, 0
-    for i, n in enumerate(sizes):
-        if i > start and held + n > limit:
-            yield start, i
-            start, held = i, 0
-        held += n
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = 4096) -> DataFrame:
     """One row (id_col, n_bytes, n_tokens, over_limit) per row of `docs`.
@@ -44,7 +31,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             count = piece_counts(tokenizer).count
         else:
             encode = word_ids(tokenizer)
-            count = lambda texts: [len(encode(t)) // 4 for t in texts]
+            count = lambda texts: [len(ids) // 4 for ids in encode.many(texts)]
         for batch in batches:
             texts = batch.column(1).to_pylist()
             sizes = [len(t or b"") for t in texts]

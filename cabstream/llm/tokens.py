@@ -6,16 +6,39 @@ import json
 import os
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces remembered by a worker and the longest one that is; together they bound the memory.
 REMEMBERED = 3 << 17
 LONGEST = 48
+#: Bytes of text that are encoded at a time: each distinct piece of a batch once.
+BATCH_BYTES = 1 << 24
 #: Ends of words of a vocabulary, and punctuation that is a token of its own behind a letter or digit.
 WORD_END, TAIL = "</w>", b".,;:!?"
+#: Plain words that are encoded as one text.
+RUN = 500
+#: What a byte-level vocabulary shows for each byte: printable ones as they are, the others as letters from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED) if b != 0x20}
+#: First bytes of U+0300 to U+036F, the combining marks that compose with an ASCII letter among them.
+MARK_BYTES = (b"\xcc", b"\xcd")
+
+
+def byte_batches(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about `limit` bytes; a longer text is a range of its own."""
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > limit:
+            yield start, i
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 class WordIds:
@@ -23,13 +46,14 @@ class WordIds:
 
     Where the tokenizer drops white space and no token can span it, a text is
     cut at ASCII white space, a boundary that can't change any id, and each
-    distinct piece is encoded once; so are a word and the punctuation behind
-    it, another such boundary. Other tokenizers encode whole texts.
+    distinct piece of a batch is encoded once; so are a word and the punctuation
+    behind it, another such boundary. Nothing is remembered from batch to
+    batch. Other tokenizers encode whole texts.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
@@ -43,67 +67,101 @@ class WordIds:
         ends = (i for token, i in self._encoder.get_vocab().items() if token.endswith(WORD_END))
         self._ends = np.zeros(self._encoder.get_vocab_size() + 1, bool)
         self._ends[list(ends)] = True
-        self._known: dict[bytes, bytes] = {}
+        kinds = [s.get("type") for s in (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        self._tells_words = (self._cuts and self._ends.any() and kinds == ["Split", "ByteLevel"]
+                             and all(s.get("type") in ("NFC", "Lowercase") or s.get("pattern") == {"Regex": r"\s+"}
+                                     for s in steps.get("normalizers", [steps])))
+        # For plain words: white space parts them and nothing is left to normalise.
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer, self._plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
 
     def __call__(self, text: bytes | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, one after the other."""
-        if not text:
-            return b""
+        return self.many([text])[0]
+
+    def together(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text of a column, encoded in batches of about BATCH_BYTES."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for i, j in byte_batches(sizes, BATCH_BYTES):
+            yield from self.many(texts.slice(i, j - i).to_pylist())
+
+    def many(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        """Ids of each text. Texts are split and their pieces told apart by Arrow; each distinct piece is looked up once."""
         if not self._cuts:
-            return self._encode([text])[0]
-        if self._folds:  # case doesn't count, but in added tokens
-            folded = text.lower()
-            text = text if any(t in folded for t in self._added) else folded
-        pieces = text.split()
-        ids = list(map(self._known.get, pieces))
-        new = [i for i, found in enumerate(ids) if found is None]
-        if new:
-            learned = self._learn({pieces[i] for i in new})
-            for i in new:
-                ids[i] = learned[pieces[i]]
-        return b"".join(ids)
-
-    def _learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of new pieces, most of which are remembered."""
-        if len(self._known) + len(pieces) > REMEMBERED:
-            self._known.clear()
-        cut = {p: _without_tail(p) for p in pieces}
-        cores = {c for c in cut.values() if c not in self._known}
-        tails = {p[len(c):] for p, c in cut.items() if len(c) < len(p)}
-        base = list(cores | {t for t in tails if t not in self._known})
-        found = dict(zip(base, self._encode(base), strict=True))
-        for p, core in cut.items():
-            if len(core) < len(p):
-                halves = core, p[len(core):]
-                found[p] = b"".join([found[h] if h in found else self._known[h] for h in halves])
-            elif p not in found:
-                found[p] = self._known[p]
-        self._known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST)
-        return found
+            return [self._encode([t])[0] if t else b"" for t in texts]
+        folded = [self._folded(t) if t else b"" for t in texts]
+        starts = np.concatenate([[0], np.cumsum([len(t) for t in folded], dtype=np.int64)])
+        joined = pa.Array.from_buffers(pa.large_string(), len(folded), [None, pa.py_buffer(starts), pa.py_buffer(b"".join(folded))])
+        split = pc.ascii_split_whitespace(joined)
+        pieces = split.values.dictionary_encode()
+        distinct = pieces.dictionary.view(pa.large_binary()).to_pylist()
+        ids = pa.array(self._ids(distinct), pa.large_binary()).take(pieces.indices)
+        if not len(ids):
+            return [b""] * len(texts)
+        _valid, ends, data = ids.buffers()
+        places = np.frombuffer(ends, np.int64)[np.asarray(split.offsets)].tolist()
+        data = memoryview(data)
+        return [bytes(data[i:j]) for i, j in zip(places, places[1:], strict=False)]
+
+    def _folded(self, text: bytes) -> bytes:
+        """The text with A-Z lower-cased where case doesn't count.
+
+        It counts in added tokens, and for letters that a mark follows: only
+        some pairs are composed before the tokenizer folds case, e.g. small h
+        with a line below. Marks that compose with A-Z begin with MARK_BYTES.
+        """
+        if not self._folds or any(b in text for b in MARK_BYTES):
+            return text
+        folded = text.lower()
+        return text if any(t in folded for t in self._added) else folded
+
+    def _ids(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """Ids of distinct pieces; of a word and the punctuation behind it, each on its own."""
+        sizes = [len(_without_tail(p)) for p in pieces]
+        wanted = list({p[:n] for p, n in zip(pieces, sizes, strict=True)} | {p[n:] for p, n in zip(pieces, sizes, strict=True)})
+        found = dict(zip(wanted, self._encode(wanted), strict=True))
+        return [found[p] if n == len(p) else found[p[:n]] + found[p[n:]] for p, n in zip(pieces, sizes, strict=True)]
 
     def _encode(self, pieces: Sequence[bytes]) -> list[bytes]:
-        """Ids of each piece; plain words are encoded as one text and told apart by the tokens that end a word."""
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        out: list[bytes] = [b""] * len(texts)
-        plain = [i for i, t in enumerate(texts) if t.isalpha()] if self._cuts and self._ends.any() else []
-        if plain:
-            joined = " ".join([texts[i] for i in plain])
-            ids = np.array(self._encoder.encode(joined, add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self._ends[ids]) + 1
-            if len(ends) == len(plain) and ends[-1] == len(ids):
+        """Ids of each piece; plain words are encoded many at a time and told apart by the tokens that end a word."""
+        if not self._tells_words:
+            return self._one_by_one(pieces)
+        plain, words, rest = [], [], []
+        for i, p in enumerate(pieces):
+            if p.isalpha() and p.islower():
+                plain.append(i)
+            elif p.isascii() or not (text := p.decode("utf-8", "replace")).isalpha():
+                rest.append(i)
+            else:  # letters; some change when they are composed and lower-cased
+                same = text.lower() == text and unicodedata.is_normalized("NFC", text)
+                (plain if same else words).append(i)
+        out: list[bytes] = [b""] * len(pieces)
+        for which, encoder, shown in ((plain, self._plain, _shown), (words, self._encoder, bytes.decode)):
+            runs = [which[i:i + RUN] for i in range(0, len(which), RUN)]
+            texts = [shown(b" ".join([pieces[i] for i in run])) for run in runs]
+            for run, found in zip(runs, encoder.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, "<u4")
+                ends = np.flatnonzero(self._ends[ids]) + 1
+                if len(ends) != len(run) or ends[-1] != len(ids):  # letters that become several words
+                    rest += run
+                    continue
                 raw, at = ids.tobytes(), 0
-                for i, end in zip(plain, (4 * ends).tolist(), strict=True):
+                for i, end in zip(run, (4 * ends).tolist(), strict=True):
                     out[i] = raw[at:end]
                     at = end
-            else:  # letters that become several words
-                plain = []
-        done = set(plain)
-        rest = [i for i in range(len(texts)) if i not in done]
-        found = self._encoder.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
-        for i, e in zip(rest, found, strict=True):
-            out[i] = np.array(e.ids, "<u4").tobytes()
+        for i, ids in zip(rest, self._one_by_one([pieces[i] for i in rest]), strict=True):
+            out[i] = ids
         return out
 
+    def _one_by_one(self, pieces: Sequence[bytes]) -> list[bytes]:
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        return [np.array(e.ids, "<u4").tobytes() for e in self._encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _shown(text: bytes) -> str:
+    """A text as a byte-level vocabulary shows it."""
+    return text.decode() if text.isascii() else text.decode("latin-1").translate(SHOWN)
+
 
 def _without_tail(piece: bytes) -> bytes:
     """A word without the punctuation behind it, if the word ends in a letter that stays one, or an ASCII digit."""
