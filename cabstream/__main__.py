@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstream import schemas
-from cabstream.operators import forecast
+from cabstream.operators import clean, forecast
+from cabstream.operators.demand import demand_events
 from cabstream.plans import etl
 from cabstream.session import configure
 from cabstream.sources import parsers, readers, sinks, zones
-from cabstream.streaming import jobs
+from cabstream.streaming import jobs, outbox
+from cabstream.streaming.thinning import LiveThinning
 
 BATCH = ("curate", "snap", "zone-demand", "kpis", "features", "train", "forecast")
 STREAM = ("normalize", "demand", "match", "archive")
@@ -33,21 +35,23 @@ def _arguments() -> argparse.Namespace:
     p.add_argument("--gps-topic", default="raw.gps")
     p.add_argument("--request-topic", default="raw.trips")
     p.add_argument("--checkpoint", help="checkpoint folder of a stream")
-    p.add_argument("--work", help="shared folder in which match stages its windows")
+    p.add_argument("--work", help="shared folder of the streams' state, windows and publish notes")
+    p.add_argument("--matching", default="arrival", choices=("arrival", "rounds"),
+                   help="match requests in the order of events, or window by window in rounds")
     p.add_argument("--unmatched", default="unmatched.trips", help="topic of requests that found no vehicle")
-    p.add_argument("--patience", type=int, default=300, help="seconds for which match tries a request again")
+    p.add_argument("--patience", type=int, help="seconds for which a request may wait; 5 in order of events, else 300")
     p.add_argument("--state-partitions", type=int, default=200, help="state partitions, fixed at the first start")
     return p.parse_args()
 
 
 def _run_batch(spark: SparkSession, a: argparse.Namespace) -> None:
     dimension = zones.load_zones(spark, a.zones) if a.zones else zones.zones_df(spark)
-    listed = zones.zone_list(dimension)
+    known = dimension if a.zones else zones.CITY_ZONES
     if a.job == "curate":
-        etl.write_curated(readers.read_trips_csv(spark, a.input), a.output, zones=listed)
+        etl.write_curated(readers.read_trips_csv(spark, a.input), a.output, zones=known)
     elif a.job == "snap":
         refs = readers.read_table(spark, a.references)
-        rows = etl.snap_trajectories(readers.read_trips_csv(spark, a.input), refs, listed)
+        rows = etl.snap_trajectories(readers.read_trips_csv(spark, a.input), refs, known)
         sinks.write_partitioned(rows, a.output)
     elif a.job == "zone-demand":
         etl.write_zone_demand(readers.read_table(spark, a.input), a.output)
@@ -74,10 +78,6 @@ def _run_stream(spark: SparkSession, a: argparse.Namespace) -> None:
         return readers.stream_events(spark, "kafka", {"kafka.bootstrap.servers": a.input,
                                                       "subscribe": name})
 
-    def publish(rows: DataFrame, to: str, key: str) -> None:
-        sinks.to_json_events(rows, key).write.format("kafka").options(
-            **{"kafka.bootstrap.servers": a.input, "topic": to}).save()
-
     if a.job == "archive":
         running = [sinks.archive_events(topic(t), a.output, f"{a.checkpoint}/{t}", t) for t in (a.gps_topic, a.request_topic)]
         for query in running:
@@ -87,21 +87,35 @@ def _run_stream(spark: SparkSession, a: argparse.Namespace) -> None:
         gps = parsers.good_records(parsers.parse_normalized_gps(topic(a.gps_topic)))
         requests = parsers.good_records(parsers.parse_trip_request(topic(a.request_topic)))
 
-        def route(rows: DataFrame, _end: int) -> None:
-            final = rows.filter("not waits").drop("waits")
-            for half, to in zip(sinks.split_matches(final), (a.output, a.unmatched), strict=True):
-                publish(half, to, "trip_id")
-
-        windows = jobs.match_carrying(spark, a.work, patience_s=a.patience)
-        stream = jobs.match_events(gps, requests).writeStream.option("checkpointLocation", a.checkpoint)
-        stream.foreachBatch(jobs.staging(windows, route)).trigger(processingTime="60 seconds").start().awaitTermination()
-        return
-    if a.job == "normalize":
-        rows, key = jobs.normalize_gps_stream(topic(a.gps_topic)), "taxi_id"
+        if a.matching == "arrival":
+            windows = jobs.match_arrivals(spark, a.work, timeout_s=5 if a.patience is None else a.patience)
+        else:
+            windows = jobs.match_carrying(spark, a.work, patience_s=300 if a.patience is None else a.patience)
+        halves = {True: a.output, False: a.unmatched}
+        routes = {to: outbox.topic_route(spark, a.input, to, _half(matched), ["trip_id"]) for matched, to in halves.items()}
+        events = jobs.match_events(gps, requests)
+    elif a.job == "demand":
+        gps = parsers.good_records(parsers.parse_normalized_gps(topic(a.gps_topic)))
+        requests = parsers.good_records(parsers.parse_trip_request(topic(a.request_topic)))
+        windows = jobs.demand_corrected(spark, a.work)
+        key = ["zone_id", "window_start", "op", "version"]
+        routes = {a.output: outbox.topic_route(spark, a.input, a.output, lambda rows: rows, key)}
+        events = demand_events(clean.valid_vehicles(gps), requests).withColumn("epoch_s", F.unix_timestamp("ts"))
     else:
-        rows, key = jobs.demand_stream_from_text(topic(a.gps_topic), topic(a.request_topic)), "zone_id"
-    options = {"kafka.bootstrap.servers": a.input, "topic": a.output}
-    sinks.write_stream(sinks.to_json_events(rows, key), "kafka", a.checkpoint, options).awaitTermination()
+        events = jobs.normalized_gps(topic(a.gps_topic))
+        live = LiveThinning(spark, a.work)
+        routes = {a.output: outbox.topic_route(spark, a.input, a.output, lambda rows: rows, ["taxi_id", "timestamp"])}
+    sent = outbox.Outbox(spark, f"{a.work}/outbox", routes)
+    run = jobs.thinning_live(live, sent) if a.job == "normalize" else jobs.staging(windows, sent)
+    stream = events.writeStream.option("checkpointLocation", a.checkpoint).foreachBatch(run)
+    stream.trigger(processingTime="60 seconds" if a.job == "match" else "30 seconds").start().awaitTermination()
+
+
+def _half(matched: bool):
+    def pick(rows: DataFrame) -> DataFrame:
+        return rows.filter("not waits").drop("waits").filter(F.col("matched") == matched)
+
+    return pick
 
 
 def main() -> None:

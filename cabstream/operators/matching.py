@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cabstream.functions import geo
 from cabstream.functions.labels import is_available, is_uuid
 from cabstream.operators.latest import latest_per_key
 from cabstream.operators.ordered import asof_join
+from cabstream.session import work_folder
 from cabstream.sources.zones import CITY, CITY_ZONES, Zone
 
 MATCH_WINDOW = "5 minutes"
@@ -108,10 +110,12 @@ def match_trips_rounds(requests: DataFrame, vehicles: DataFrame,
     Round r serves the still open requests from the r-th zone of their search
     path: inside (window, zone) open requests are ranked by request time and
     free vehicles by idle time, and equal ranks meet. The number of rounds is
-    that of the longest search path. Requests and vehicles travel as one table
-    and pair up through windows, so each round is one shuffle by (window, zone)
-    and the plan is a chain: nothing is computed twice and no round has to be
-    stored. Groups are bounded by what one zone sees in one window.
+    that of the longest search path.
+
+    A rank is taken in two steps, inside a second and then over the counts of
+    the seconds, so that no task ranks all that a busy zone sees in a window;
+    equal ranks meet in groups of two rows. Each round is stored, and what it
+    has settled takes no part in the next one.
     """
     paths = {z.zone_id: list(dict.fromkeys((z.zone_id, *z.adjacency))) for z in zones}
     rounds = max(len(p) for p in paths.values())
@@ -133,36 +137,59 @@ def match_trips_rounds(requests: DataFrame, vehicles: DataFrame,
         F.lit(None).cast("array<int>").alias("path"), F.lit(None).cast(demand.schema["request"].dataType).alias("request"),
         F.struct(F.col("taxi_id").cast("string").alias("taxi_id"),
                  F.col("last_seen").cast("bigint").alias("last_seen"), "lat", "lon").alias("vehicle"))
-    state = demand.unionByName(supply).withColumns({
-        "done": F.lit(False), "matched_zone": F.lit(None).cast("int"),
-        "matched_round": F.lit(None).cast("int"),
-    })
-
-    carried = ["window_start", "side", "since", "id", "zone", "path", "request"]
+    state, served = demand.unionByName(supply), []
     for number in range(rounds):
-        # Settled rows stay apart, in a group of their own home zone.
-        cell = (f"case when done then -1 - zone when side = 1 then zone "
-                f"else coalesce(get(path, {number}), -1 - zone) end as cell")
-        met = state.selectExpr("*", cell).repartition("window_start", "cell").selectExpr(
-            "*", "row_number() over (partition by window_start, cell, side order by since, id) as rank"
-        ).selectExpr(
-            "*", "max(if(side = 1, vehicle, null)) over (partition by window_start, cell, rank) as near",
-            "count(if(side = 0, 1, null)) over (partition by window_start, cell, rank) as asked")
-        found = "cell >= 0 and side = 0 and near is not null"
-        state = met.selectExpr(
-            *carried, f"if({found}, near, vehicle) as vehicle",
-            f"done or ({found}) or (cell >= 0 and side = 1 and asked > 0) as done",
-            f"if({found}, cell, matched_zone) as matched_zone",
-            f"if({found}, {number}, matched_round) as matched_round")
-
-    served = state.filter("side = 0").select(
+        met = _stored_round(_met(state, number))
+        found = (F.col("side") == 0) & F.col("near").isNotNull()
+        served.append(met.filter(found | ((F.col("side") == 0) & F.col("last"))).select(
+            "window_start", "since", "id", "zone", "request", F.col("near").alias("vehicle"),
+            F.when(F.col("near").isNotNull(), F.col("cell")).alias("matched_zone"), F.lit(number).alias("round")))
+        left = met.filter(F.when(F.col("side") == 0, F.col("near").isNull() & ~F.col("last")).otherwise(F.col("asked") == 0))
+        waiting, free = left.agg(F.count_if(F.col("side") == 0), F.count_if(F.col("side") == 1)).first()
+        state = left.select(*demand.columns)
+        if not waiting or not free:
+            break
+    served.append(state.filter("side = 0").select(
+        "window_start", "since", "id", "zone", "request", "vehicle", F.lit(None).cast("int").alias("matched_zone"),
+        F.lit(rounds).alias("round")))
+    rows = served[0]
+    for more in served[1:]:
+        rows = rows.unionByName(more)
+    matched = F.col("vehicle").isNotNull()
+    rows = rows.select(
         "window_start", F.col("id").alias("trip_id"), F.col("zone").alias("origin_zone"),
-        "request.*", F.col("since").alias("requested_at"),
-        F.coalesce("vehicle.taxi_id", F.lit("")).alias("taxi_id"),
-        F.col("done").alias("matched"), F.coalesce("matched_zone", F.lit(0)).alias("matched_zone"),
-        F.coalesce("matched_round", F.lit(-1)).alias("search_order"),
+        "request.*", F.col("since").alias("requested_at"), F.coalesce("vehicle.taxi_id", F.lit("")).alias("taxi_id"),
+        matched.alias("matched"), F.coalesce("matched_zone", F.lit(0)).alias("matched_zone"),
+        F.when(matched, F.col("round")).otherwise(F.lit(-1)).alias("search_order"),
         F.col("vehicle.lat").alias("lat"), F.col("vehicle.lon").alias("lon"))
-    return with_eta(served, zones, eta_target, speed_kmh).drop("lat", "lon")
+    return with_eta(rows, zones, eta_target, speed_kmh).drop("lat", "lon")
+
+
+def _met(state: DataFrame, number: int) -> DataFrame:
+    """One round: open rows with the vehicle (``near``) or the number of requests (``asked``) of their rank.
+
+    ``last`` marks requests whose search path has no zone after this one.
+    """
+    cell = F.coalesce(F.when(F.col("side") == 1, F.col("zone")).otherwise(F.get("path", F.lit(number))), -1 - F.col("side"))
+    rows = state.withColumn("cell", cell).withColumn("last", F.coalesce(F.size("path") <= number + 1, F.lit(False)))
+    second = Window.partitionBy("window_start", "cell", "side", "since")
+    inside = rows.withColumn("_rank", F.row_number().over(second.orderBy("id")))
+    before = Window.partitionBy("window_start", "cell", "side").orderBy("since").rowsBetween(Window.unboundedPreceding, -1)
+    keys = ["window_start", "cell", "side", "since"]
+    starts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    ranked = inside.join(starts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).withColumn(
+        "rank", F.col("_rank") + F.col("_before"))
+    pair = Window.partitionBy("window_start", "cell", "rank")
+    return ranked.select(
+        "*", F.max(F.when(F.col("side") == 1, F.col("vehicle"))).over(pair).alias("near"),
+        F.count(F.when(F.col("side") == 0, 1)).over(pair).alias("asked")).drop("_rank", "_before", "rank", *[f"_{k}" for k in keys])
+
+
+def _stored_round(met: DataFrame) -> DataFrame:
+    path = work_folder(met.sparkSession, "match-round")
+    met.write.parquet(path)
+    return met.sparkSession.read.schema(met.schema).parquet(path)
 
 
 def final_match_status(records: DataFrame, order: str = "emit_order",

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cabstream.functions import geo
 from cabstream.session import work_folder
 
-REFS_PER_BLOCK = 512
+#: References of one cell at the last level of the index, and the width in km below which no cell is cut.
+REFS_PER_CELL, LEAST_KM = 8, 0.001
 # A degree of latitude is a little over 111 km; the margin absorbs rounding.
 KM_PER_DEGREE = 111.0
 MARGIN = 1.01
@@ -40,23 +41,8 @@ def _cell(lon: Column, columns: Column) -> Column:
     return F.pmod(F.floor((lon + 180) / 360 * columns), columns.cast("bigint")).cast("int")
 
 
-def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id: str,
-                      max_km: float = 0.5, refs_per_block: int = REFS_PER_BLOCK) -> DataFrame:
-    """Move each point to the nearest reference point within ``max_km``, else leave it.
-
-    Both sides carry ``lat``/``lon``; ``point_id`` and ``ref_id`` are unique.
-    The grid's cells are at least ``max_km`` high and wide at every latitude and
-    wrap around the globe, so the point's cell and its neighbours hold every
-    candidate. The references (not the points) are written to the cells around
-    and packed into blocks of bounded size, so a crowded cell becomes several
-    blocks. A point meets blocks, not references, and keeps the best of each
-    block; the blocks of a point are then reduced with partial aggregation.
-    Spark broadcasts the blocks when they are small and splits hot cells of a
-    shuffled join.
-
-    Adds ``snapped_lat``, ``snapped_lon``, ``snapped_ref`` (null when nothing is
-    near) and ``snap_km``; ties go to the smaller ``ref_id``.
-    """
+def _around(max_km: float) -> Column:
+    """The cell of a place (columns lat, lon) and those around it, each once."""
     band = _bands(F.col("lat"), max_km)
 
     def beside(of_band: Column) -> Column:
@@ -65,34 +51,87 @@ def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id:
         return F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.struct(
             of_band.alias("cell_lat"), F.pmod(own + d, columns).alias("cell_lon"))))
 
-    around = F.concat(*[beside(band + d) for d in (-1, 0, 1)])
-    cell_lat, cell_lon = band, _cell(F.col("lon"), _columns(band, max_km))
-    spread = refs.select(F.struct("lat", "lon", F.col(ref_id).alias("ref")).alias("_ref"),
-                         F.inline(around))
-    counts = spread.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = (
-        spread.join(counts, ["cell_lat", "cell_lon"])
-        .withColumn("_block", F.pmod(F.xxhash64("_ref.ref"),
-                                     F.ceil(F.col("_n") / refs_per_block)))
-        .groupBy("cell_lat", "cell_lon", "_block").agg(F.collect_list("_ref").alias("_refs"))
-        .drop("_block")
-    )
-    placed = points.withColumn("cell_lat", cell_lat).withColumn("cell_lon", cell_lon)
-    met = placed.join(blocks, ["cell_lat", "cell_lon"], "left")
-    nearest = F.array_min(F.transform("_refs", lambda r: F.struct(
-        geo.haversine_km(F.col("lat"), F.col("lon"), r["lat"], r["lon"]).alias("km"),
-        r["ref"].alias("ref"), r["lat"].alias("lat"), r["lon"].alias("lon"))))
-    names = [c for c in points.columns if c != point_id]
-    best = met.withColumn("_best", nearest).groupBy(point_id).agg(
-        F.first(F.struct(*names)).alias("_point"), F.min("_best").alias("_best"))
-    near = F.coalesce(F.col("_best.km") <= max_km, F.lit(False))
-    return best.select(
-        point_id, "_point.*",
-        F.when(near, F.col("_best.lat")).otherwise(F.col("_point.lat")).alias("snapped_lat"),
-        F.when(near, F.col("_best.lon")).otherwise(F.col("_point.lon")).alias("snapped_lon"),
-        F.when(near, F.col("_best.ref")).alias("snapped_ref"),
-        F.when(near, F.col("_best.km")).alias("snap_km"),
-    )
+    return F.concat(*[beside(band + d) for d in (-1, 0, 1)])
+
+
+def _own_cells(max_km: float, levels: int) -> Column:
+    """The cell of a place at every level: array of (level, cell_lat, cell_lon), the widest first."""
+    cells = []
+    for level in range(levels):
+        band = _bands(F.col("lat"), max_km / 2 ** level)
+        cells.append(F.struct(F.lit(level).alias("level"), band.alias("cell_lat"),
+                              _cell(F.col("lon"), _columns(band, max_km / 2 ** level)).alias("cell_lon")))
+    return F.array(*cells)
+
+
+def cell_levels(refs: DataFrame, max_km: float, refs_per_cell: int = REFS_PER_CELL) -> int:
+    """Levels of cells needed until none has more than ``refs_per_cell`` references; each halves the cells' width."""
+    most = max(1, math.floor(math.log2(max_km / LEAST_KM)) + 1)
+    counts = refs.select(F.inline(_own_cells(max_km, most))).groupBy("level", "cell_lat", "cell_lon").count()
+    crowded = counts.filter(F.col("count") > refs_per_cell).agg(F.max("level")).first()[0]
+    return 1 if crowded is None else min(crowded + 2, most)
+
+
+def reference_index(refs: DataFrame, ref_id: str, max_km: float, levels: int) -> DataFrame:
+    """Stored rows (level, cell_lat, cell_lon, ref, ref_lat, ref_lon): references in the cells they may be looked for.
+
+    At each level a reference is written to its cell and those around it, so
+    that a place finds every reference within a cell's width in the one cell it is in.
+    Of references at one place only that with the smallest id can be the answer.
+    """
+    spots = refs.groupBy("lat", "lon").agg(F.min(ref_id).alias("ref"))
+    def at_level(level: int) -> Column:
+        return F.transform(_around(max_km / 2 ** level), lambda c: F.struct(
+            F.lit(level).alias("level"), c["cell_lat"].alias("cell_lat"), c["cell_lon"].alias("cell_lon")))
+
+    near = F.concat(*[at_level(level) for level in range(levels)])
+    spread = spots.select("ref", F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"), F.inline(near))
+    path = work_folder(refs.sparkSession, "reference-index")
+    spread.write.parquet(path)
+    return refs.sparkSession.read.schema(spread.schema).parquet(path)
+
+
+def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id: str,
+                      max_km: float = 0.5, levels: int | None = None) -> DataFrame:
+    """Move each point to the nearest reference point within ``max_km``, else leave it.
+
+    Both sides carry ``lat``/``lon``; ``point_id`` is unique. References lie in
+    a hierarchy of cells: the widest are at least ``max_km`` high and wide at
+    every latitude and wrap around the globe, each level halves them, and there
+    are as many levels as the densest area needs (``cell_levels``). A point
+    takes the narrowest level at which anything is near it; the nearest there
+    bounds the distance, and a second look at the narrowest level whose cells
+    are as wide as that bound finds the answer. So a point meets a handful of
+    references whatever their density, and ``max_km`` only says when to give
+    up. All joins are on cells; Spark broadcasts the index if it is small and
+    splits hot cells otherwise.
+
+    Adds ``snapped_lat``, ``snapped_lon``, ``snapped_ref`` (null when nothing is
+    near) and ``snap_km``; ties go to the smaller ``ref_id``. A point or
+    reference without a coordinate is near nothing.
+    """
+    known = refs.dropna(subset=["lat", "lon"])
+    levels = cell_levels(known, max_km) if levels is None else levels
+    index = reference_index(known, ref_id, max_km, levels)
+    cell = ["level", "cell_lat", "cell_lon"]
+    km = geo.haversine_km("lat", "lon", "ref_lat", "ref_lon")
+    own = _own_cells(max_km, levels)
+
+    places = points.select(F.col(point_id).alias("_id"), "lat", "lon").dropna(subset=["lat", "lon"])
+    tried = places.select("_id", "lat", "lon", F.inline(own)).join(index.select(*cell).distinct(), cell)
+    first = tried.groupBy("_id", "lat", "lon").agg(F.max("level").alias("_level"))
+    met = first.select("_id", "lat", "lon", F.inline(F.array(F.get(own, F.col("_level"))))).join(index, cell)
+    bound = met.groupBy("_id", "lat", "lon").agg(F.least(F.min(km), F.lit(float(max_km))).alias("_km"), F.first("level").alias("_level"))
+    wide = F.when(F.col("_km") > 0, F.floor(F.log2(F.lit(float(max_km)) / F.col("_km")))).otherwise(F.col("_level"))
+    again = bound.withColumn(
+        "_level", F.greatest(F.lit(0), F.least(F.col("_level"), wide)).cast("int"))
+    near = again.select("_id", "lat", "lon", "_km", F.inline(F.array(F.get(own, F.col("_level"))))).join(index, cell) \
+        .withColumn("km", km).filter(F.col("km") <= F.col("_km"))
+    best = near.groupBy("_id").agg(F.min(F.struct("km", "ref", "ref_lat", "ref_lon")).alias("_best"))
+    return points.join(best, points[point_id] == best["_id"], "left").select(
+        *points.columns, F.coalesce("_best.ref_lat", "lat").alias("snapped_lat"),
+        F.coalesce("_best.ref_lon", "lon").alias("snapped_lon"), F.col("_best.ref").alias("snapped_ref"),
+        F.col("_best.km").alias("snap_km"))
 
 
 def nearest_in_table(points: DataFrame, refs: DataFrame, ref_id: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabstream.operators import kpi, matching, serving
+from cabstream.operators import arrivals, kpi, matching, serving
 from cabstream.plans.catalog.registry import (
     FREE, city_edges, haversine_sql, normalized_gps, query, r6, valid_requests)
 from cabstream.plans.views import view
@@ -110,6 +110,48 @@ def _(spark, sf):
     return matches(spark, sf)
 
 
+# All events one by one: a step of the recursion is one event, its state the free vehicles and the waiting requests.
+KM_TO_DEST = haversine_sql("v.lat", "v.lon", "z.centroid_lat", "z.centroid_lon")
+IN_ORDER_SQL = f"""with recursive ev as (select row_number() over (order by t, kind, seq, id) as k, * from (
+  select epoch_s as t, 0 as kind, event_id as seq, taxi_id as id, zone_id as zone, {FREE} as free from v_norm
+  union all select requested_at, 1, event_id, trip_id, origin_zone, false from v_requests where origin_zone > 0) e),
+paths as (select zone_id, list(neighbour_id order by search_order) as path from v_edges group by zone_id),
+line as (select ev.*, coalesce(p.path, [zone]) as path from ev left join paths p on p.zone_id = ev.zone),
+sim as (select 0::bigint as k, []::struct(s bigint, id varchar, z int, ev bigint)[] as cars,
+    []::struct(ev bigint, t bigint, z int)[] as waits, []::struct(q bigint, car bigint, z int)[] as got
+  union all select k, list_filter(c1, lambda c: not list_contains(list_transform(pool[1:n], lambda p: p.ev), c.ev)) as cars,
+    case when kind = 0 then list_filter(w1, lambda w: not list_contains(list_transform(asks[1:n], lambda a: a.ev), w.ev))
+      when n = 0 then list_concat(w1, asks) else w1 end as waits,
+    list_transform(range(1, n + 1), lambda i: {{'q': asks[i].ev, 'car': pool[i].ev, 'z': pool[i].z}}) as got
+  from (select *, case when kind = 0 then least(len(pool), len(asks)) else least(len(pool), 1) end as n from (
+    select *, list_sort(list_transform(list_filter(c1, lambda c: list_contains(case when kind = 0 then [zone] else path end, c.z)),
+        lambda c: {{'p': case when kind = 0 then 0 else list_position(path, c.z) end, 's': c.s, 'id': c.id, 'z': c.z, 'ev': c.ev}})) as pool,
+      case when kind = 0 then list_filter(w1, lambda w: list_contains(path, w.z)) else [{{'ev': k, 't': t, 'z': zone}}] end as asks
+    from (select l.k, l.kind, l.t, l.zone, l.path, case when l.kind = 1 then s.cars when l.free then list_append(
+        list_filter(s.cars, lambda c: c.id <> l.id), {{'s': l.t, 'id': l.id, 'z': l.zone, 'ev': l.k}})
+        else list_filter(s.cars, lambda c: c.id <> l.id) end as c1,
+      case when l.kind = 0 then list_filter(s.waits, lambda w: w.t + 5 >= l.t) else s.waits end as w1
+      from sim s join line l on l.k = s.k + 1) a) b) c),
+found as (select k, unnest(got) as g from sim),
+inorder as (select r.trip_id, r.origin_zone, r.destination_zone as dest_zone, r.rider_id, r.call_type, r.requested_at,
+  coalesce(v.taxi_id, '') as taxi_id, f.k is not null as matched, coalesce(f.g.z, 0) as matched_zone,
+  cast(coalesce(list_position(q.path, f.g.z) - 1, -1) as int) as search_order, m.t as matched_at, v.epoch_s as vehicle_s,
+  coalesce(cast(floor({KM_TO_DEST} / 25e0 * 3600 + 0.5e0) as int), 0) as eta_seconds
+  from v_requests r join line q on q.kind = 1 and q.seq = r.event_id left join found f on f.g.q = q.k
+  left join line m on m.k = f.k left join line c on c.k = f.g.car left join v_norm v on v.event_id = c.seq
+  left join v_zones z on z.zone_id = r.destination_zone)"""
+IN_ORDER = ["trip_id", "origin_zone", "dest_zone", "rider_id", "requested_at", "taxi_id", "matched", "matched_zone", "search_order",
+            "matched_at", "vehicle_s", "eta_seconds"]
+
+
+@query("trip_matches_in_order", f"{IN_ORDER_SQL} select * from inorder", MV)
+def _(spark, sf):
+    asked = valid_requests(spark, sf).withColumn("seq", F.col("event_id")).select(
+        "trip_id", "origin_zone", "destination_zone", "rider_id", "call_type", "requested_at", "seq")
+    seen = normalized_gps(spark, sf).withColumn("seq", F.col("event_id"))
+    return arrivals.match_in_order(asked, seen).select(*IN_ORDER, "call_type")
+
+
 @query("unmatched_requests", f"{MATCHES_SQL} select trip_id, origin_zone, requested_at from matches where not matched", MV)
 def _(spark, sf):
     return matching.unmatched_requests(matches(spark, sf)) \

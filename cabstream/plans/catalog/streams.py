@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cabstream.operators import clean
 from cabstream.operators.demand import demand_events
 from cabstream.plans.catalog.demand import GPS_VIEWS, WINDOWS_SQL
-from cabstream.plans.catalog.matches import MATCHES_SQL
+from cabstream.plans.catalog.matches import IN_ORDER, IN_ORDER_SQL, MATCHES_SQL
 from cabstream.plans.catalog.matches import MV as MATCH_VIEWS
 from cabstream.plans.catalog.registry import SQL, query, r6
 from cabstream.plans.views import table, view
@@ -65,6 +65,14 @@ def trip_matches(spark: SparkSession, sf_dir: str, per_batch: int | None = None)
     return staged.results(configure(spark)).drop("fare")
 
 
+def trip_matches_in_order(spark: SparkSession, sf_dir: str, per_batch: int | None = None) -> DataFrame:
+    own, folder = _stream_session(spark), work_folder(spark, "in-order")
+    gps, requests = _streams(own, sf_dir, per_batch)
+    events = jobs.match_events(clean.anonymize_to_centroid(gps), requests, order="event_id")
+    staged = jobs.replay(events, jobs.match_arrivals(own, folder), f"{folder}/checkpoint")
+    return staged.results(configure(spark)).select(*IN_ORDER)
+
+
 def gps_normalized(spark: SparkSession, sf_dir: str, per_batch: int | None = None) -> DataFrame:
     """The whole first job: JSON text to validated, thinned, zone-mapped and anonymised events."""
     own, folder = _stream_session(spark), work_folder(spark, "normalized")
@@ -83,6 +91,7 @@ def gps_normalized(spark: SparkSession, sf_dir: str, per_batch: int | None = Non
 query("stream_demand_windows", WINDOWS_SQL, GPS_VIEWS)(demand_windows)
 query("stream_gps_thinned", SQL["gps_thinned"])(gps_thinned)
 query("stream_trip_matches_rounds", f"{MATCHES_SQL} select * exclude (call_type) from matches", MATCH_VIEWS)(trip_matches)
+query("stream_trip_matches_in_order", f"{IN_ORDER_SQL} select * exclude (call_type) from inorder", MATCH_VIEWS)(trip_matches_in_order)
 query("stream_gps_normalized", f"""select n.event_id, n.taxi_id, n.trip_id, n.epoch_s as timestamp,
   round(n.speed, 6) as speed, n.lat, n.lon, n.zone_id, n.zone_name, n.status, 'casablanca' as city
   from ({SQL['gps_thinned']}) t join v_norm n on n.event_id = t.event_id""", ["v_gps", "v_zones", "v_norm"])(gps_normalized)

@@ -15,6 +15,8 @@ from cabstream.sources.sinks import write_partitioned
 from cabstream.sources.zones import CITY_ZONES, Zone, zones_df
 
 ZONE_COLUMN = "CASA_ORIGIN_ZONE"
+#: The zones of a city as a list, or any number of them as a table.
+Zones = Sequence[Zone] | DataFrame
 
 
 def _calendar(epoch: str) -> dict[str, Column]:
@@ -23,17 +25,34 @@ def _calendar(epoch: str) -> dict[str, Column]:
             "year_month": F.date_format(ts, "yyyy-MM")}
 
 
-def _with_origin_zone(df: DataFrame, path: str, zones: Sequence[Zone]) -> DataFrame:
-    """Origin zone, its name and type from the first point of a remapped trajectory."""
+def _target_box(zones: Zones, dst: geo.Box | None) -> geo.Box:
+    if dst is not None or not isinstance(zones, DataFrame):
+        return dst or geo.zone_box(zones)
+    sides = zones.agg(F.min("centroid_lat") - 0.002, F.max("centroid_lat") + 0.002, F.min("centroid_lon"), F.max("centroid_lon"))
+    return geo.Box(*sides.first())
+
+
+def _with_origin_zone(df: DataFrame, path: str, zones: Zones) -> DataFrame:
+    """Origin zone, its name and type from the first point of a remapped trajectory.
+
+    A list of zones becomes literals; a table of zones, whatever its size, is searched through cells and joined.
+    """
     start = geo.start_point(path)
     first = df.withColumns({"_lon": F.get(start, F.lit(0)), "_lat": F.get(start, F.lit(1))})
-    placed = geo.with_nearest_zone(first, "_lat", "_lon", zones, ZONE_COLUMN).drop("_lon", "_lat")
-    return enrich.enrich_zone(placed, zones_df(df.sparkSession, zones), ZONE_COLUMN, f"{ZONE_COLUMN}_") \
+    if isinstance(zones, DataFrame):
+        table = zones.select("zone_id", "zone_name", "zone_type")
+        centres = zones.select("zone_id", F.col("centroid_lat").alias("lat"), F.col("centroid_lon").alias("lon"))
+        placed = snapping.nearest_in_table(first.withColumnsRenamed({"_lat": "lat", "_lon": "lon"}), centres, "zone_id") \
+            .drop("lat", "lon").withColumn(ZONE_COLUMN, F.coalesce("zone_id", F.lit(0))).drop("zone_id")
+    else:
+        table = zones_df(df.sparkSession, zones)
+        placed = geo.with_nearest_zone(first, "_lat", "_lon", zones, ZONE_COLUMN).drop("_lon", "_lat")
+    return enrich.enrich_zone(placed, table, ZONE_COLUMN, f"{ZONE_COLUMN}_") \
         .withColumnRenamed(f"{ZONE_COLUMN}_name", f"{ZONE_COLUMN}_NAME") \
         .withColumnRenamed(f"{ZONE_COLUMN}_type", f"{ZONE_COLUMN}_TYPE")
 
 
-def curate_trips(raw: DataFrame, zones: Sequence[Zone] = CITY_ZONES, src: geo.Box = geo.SOURCE_BOX,
+def curate_trips(raw: DataFrame, zones: Zones = CITY_ZONES, src: geo.Box = geo.SOURCE_BOX,
                  dst: geo.Box | None = None, order_by: Sequence[str] = ("TIMESTAMP",)) -> DataFrame:
     """Historical trips to curated trips.
 
@@ -49,13 +68,13 @@ def curate_trips(raw: DataFrame, zones: Sequence[Zone] = CITY_ZONES, src: geo.Bo
         **_calendar("TIMESTAMP"),
         "trip_distance_km": geo.polyline_distance_km("_points"),
         "trip_duration_sec": geo.polyline_duration_sec("_listed"),
-        "_mapped": geo.remap_polyline("_points", src, dst or geo.zone_box(zones)),
+        "_mapped": geo.remap_polyline("_points", src, _target_box(zones, dst)),
     })
     zoned = _with_origin_zone(measured, "_mapped", zones)
     return zoned.withColumn("POLYLINE", F.to_json("_mapped")).drop("_listed", "_points", "_mapped")
 
 
-def snap_trajectories(raw: DataFrame, refs: DataFrame, zones: Sequence[Zone] = CITY_ZONES,
+def snap_trajectories(raw: DataFrame, refs: DataFrame, zones: Zones = CITY_ZONES,
                       src: geo.Box = geo.SOURCE_BOX, dst: geo.Box | None = None,
                       max_km: float = 0.5, key: str = "TRIP_ID") -> DataFrame:
     """Remap trajectories, move every point to its nearest reference point, assign the zone.
@@ -67,8 +86,7 @@ def snap_trajectories(raw: DataFrame, refs: DataFrame, zones: Sequence[Zone] = C
     """
     unique = clean.dedup_trips(raw, key)
     trips = clean.non_empty_trajectory(unique, "POLYLINE")
-    mapped = trips.select(key, geo.remap_polyline("usable_points", src,
-                                                  dst or geo.zone_box(zones)).alias("points"))
+    mapped = trips.select(key, geo.remap_polyline("usable_points", src, _target_box(zones, dst)).alias("points"))
     points = trajectory.explode_points(mapped).select(
         key, "pos", F.struct(F.round(F.get("pt", F.lit(1)), 6).alias("lat"),
                              F.round(F.get("pt", F.lit(0)), 6).alias("lon")).alias("spot"))

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cabstream.functions.labels import is_available
 from cabstream.operators import clean
+from cabstream.operators.arrivals import TIMEOUT_S, match_in_order
 from cabstream.operators.demand import demand_events, demand_windows
 from cabstream.operators.latest import latest_per_key
 from cabstream.operators.matching import match_trips_rounds, vehicle_state
@@ -17,8 +18,10 @@ from cabstream.operators.thinning import thin_by_interval
 from cabstream.session import configure, ship_package
 from cabstream.sources import parsers
 from cabstream.sources.zones import CITY, CITY_ZONES, Zone
+from cabstream.streaming.outbox import Outbox
 from cabstream.streaming.processors import ThinningProcessor
-from cabstream.streaming.windows import StagedWindows
+from cabstream.streaming.thinning import LiveThinning
+from cabstream.streaming.windows import CorrectedWindows, StagedWindows
 
 VEHICLE_EVENT, REQUEST_EVENT = 0, 1
 MATCH_WINDOW_S = 300
@@ -59,9 +62,27 @@ def thin_stream(gps: DataFrame, time: str = "timestamp", order: Sequence[str] |
         "Append", "EventTime" if drop_late else "ProcessingTime" if ttl_ms else "None")
 
 
+def normalized_gps(text: DataFrame, zones: Sequence[Zone] = CITY_ZONES, city: str = CITY) -> DataFrame:
+    """Raw GPS JSON (column ``value``) to validated, zone-mapped, anonymised events, not thinned yet."""
+    parsed = clean.validate_gps(parsers.good_records(parsers.parse_gps(text)))
+    return clean.anonymize_to_centroid(parsed, zones, city).select(
+        "taxi_id", "trip_id", "timestamp", "event_time", "lat", "lon", "speed", "status", "city",
+        "zone_id", "zone_name", "late_arrival")
+
+
+def thinning_live(live: LiveThinning, outbox: Outbox) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function of the normalizer: thin a batch of events and publish what isn't published."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        live(batch, batch_id)
+        outbox.publish(live.batches(), live.result)
+
+    return run
+
+
 def normalize_gps_stream(text: DataFrame, zones: Sequence[Zone] = CITY_ZONES, city: str = CITY,
                          interval_s: int = 2, drop_late: bool = False) -> DataFrame:
-    """Raw GPS JSON (column ``value``) to validated, thinned, zone-mapped, anonymised events."""
+    """Raw GPS JSON (column ``value``) to validated, thinned, zone-mapped, anonymised events, as one stateful stream."""
     parsed = parsers.good_records(parsers.parse_gps(text))
     thinned = thin_stream(clean.validate_gps(parsed), interval_s=interval_s, drop_late=drop_late)
     return clean.anonymize_to_centroid(thinned, zones, city).select(
@@ -109,7 +130,7 @@ def match_events(gps: DataFrame, requests: DataFrame, city: str = CITY,
 def _requests(events: DataFrame) -> DataFrame:
     return events.filter(F.col("kind") == REQUEST_EVENT).select(
         F.col("id").alias("trip_id"), F.col("zone").alias("origin_zone"), F.col("dest_zone").alias("destination_zone"),
-        F.col("epoch_s").alias("requested_at"), "rider_id", "fare")
+        F.col("epoch_s").alias("requested_at"), "rider_id", "fare", "seq")
 
 
 def _pings(events: DataFrame) -> DataFrame:
@@ -127,6 +148,19 @@ def demand_replay(spark: SparkSession, folder: str, zones: Sequence[Zone] = CITY
     return StagedWindows(spark, folder, compute, **timing)
 
 
+def demand_corrected(spark: SparkSession, folder: str, zones: Sequence[Zone] = CITY_ZONES, window_s: int = 30,
+                     **timing) -> CorrectedWindows:
+    """Supply/demand windows of a staged stream of ``demand_events``, put right when late rows come.
+
+    Vehicles and requests are sources with a clock each.
+    """
+
+    def compute(events: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        return demand_windows(events, zones=zones)
+
+    return CorrectedWindows(spark, folder, compute, window_s=window_s, **{"source": "is_gps", **timing})
+
+
 def thinning_replay(spark: SparkSession, folder: str, order: Sequence[str] = (), interval_s: int = 2,
                     time: str = "epoch_s", **timing: int) -> StagedWindows:
     """Per-vehicle thinning of a staged stream.
@@ -201,6 +235,40 @@ def match_carrying(spark: SparkSession, folder: str, zones: Sequence[Zone] = CIT
     return StagedWindows(spark, folder, matched, carry, window_s=window_s, lateness_s=lateness_s, stepwise=True)
 
 
+def match_arrivals(spark: SparkSession, folder: str, zones: Sequence[Zone] = CITY_ZONES, timeout_s: int = TIMEOUT_S,
+                   window_s: int = 30, **timing) -> StagedWindows:
+    """Matching in the order of events (``match_in_order``) of a staged stream of ``match_events``.
+
+    However many windows close together, they are one computation; free
+    vehicles and waiting requests are carried on, so where windows are cut
+    doesn't matter. A request that ``waits`` at the end of a result is reported
+    again by the next one. Vehicles and requests are sources with a clock each.
+    """
+    state = ["taxi_id", "zone_id", "epoch_s", "seq", "lat", "lon", "status"]
+    asked = ["trip_id", "origin_zone", "destination_zone", "requested_at", "rider_id", "fare", "seq"]
+
+    def inputs(events: DataFrame, carried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        requests, pings = _requests(events).select(*asked), _pings(events).select(*state)
+        if carried is not None:
+            requests = requests.unionByName(carried.filter("taxi_id is null").select(*asked))
+            pings = pings.unionByName(carried.filter("taxi_id is not null").select(*state))
+        return requests, pings
+
+    def matched(events: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        rows = match_in_order(*inputs(events, carried), zones, timeout_s)
+        return rows.withColumn("waits", ~F.col("matched") & (F.col("requested_at") + timeout_s >= end))
+
+    def carry(result: DataFrame, events: DataFrame, carried: DataFrame | None, end: int) -> DataFrame:
+        _asked, pings = inputs(events, carried)
+        last = latest_per_key(pings, ["taxi_id"], ["epoch_s", "seq", "zone_id"]).filter(is_available("status"))
+        used = result.filter("matched").select("taxi_id", F.col("vehicle_s").alias("epoch_s"), F.col("vehicle_seq").alias("seq"))
+        free = last.join(used, ["taxi_id", "epoch_s", "seq"], "left_anti").select(*state)
+        waiting = result.filter("waits").withColumnRenamed("dest_zone", "destination_zone").select(*asked)
+        return free.unionByName(waiting, allowMissingColumns=True)
+
+    return StagedWindows(spark, folder, matched, carry, window_s=window_s, **{"source": "kind", **timing})
+
+
 def replay(stream: DataFrame, windows: StagedWindows, checkpoint: str, everything: bool = True) -> StagedWindows:
     """Stage all that the source holds now, then close the windows.
 
@@ -212,13 +280,16 @@ def replay(stream: DataFrame, windows: StagedWindows, checkpoint: str, everythin
     return windows
 
 
-def staging(windows: StagedWindows, publish: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function of a running job: stage a batch, close what is due and publish it."""
+def staging(windows: StagedWindows, outbox: Outbox) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function of a running job: stage a batch, close what is due and publish what isn't published.
+
+    What a run that broke off has left, stored but not published, goes out with the next call.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         windows.stage(batch, batch_id)
-        for end in windows.close():
-            publish(windows.spark.read.parquet(f"{windows.folder}/results/upto={end}"), end)
+        windows.close()
+        outbox.publish(windows.ends(), windows.result)
 
     return run
 

@@ -46,12 +46,21 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "In(event_type, [purchase,signup])" in plan
 
 
-def test_matching_is_one_shuffle_per_round(spark, sf_dir):
-    plan = QUERIES["trip_matches"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("REPARTITION_BY_COL") == 6
-    # One more shuffle for the vehicles' last positions, none between the two windows of a round.
-    assert plan.count("Exchange hashpartitioning") == 7
-    assert plan.count("FileScan") == 2
+def test_matching_ranks_no_whole_cell_in_one_task(spark, sf_dir):
+    from cabstream.operators import matching
+    from cabstream.plans.catalog import matches
+
+    asked, cars = matches.window_requests(spark, sf_dir), matches.window_vehicles(spark, sf_dir)
+    seen = []
+    stored = matching._stored_round
+    try:
+        matching._stored_round = lambda met: seen.append(met._jdf.queryExecution().executedPlan().toString()) or stored(met)
+        matching.match_trips_rounds(asked, cars)
+    finally:
+        matching._stored_round = stored
+    assert 1 < len(seen) <= 6
+    ranks = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*?) ASC", seen[0])
+    assert ranks and all("since" in r for r in ranks)
 
 
 def test_zone_lookup_needs_no_join(spark, sf_dir):

@@ -82,8 +82,8 @@ def test_ping_speed_and_status(spark):
     assert out[1].status == "MOVING" and out[2].speed_kmh == 0.0
 
 
-@pytest.mark.parametrize("block", [2, 512])
-def test_snapping_equals_brute_force(spark, block):
+@pytest.mark.parametrize("levels", [1, 3, None])
+def test_snapping_equals_brute_force(spark, levels):
     import random
 
     rnd = random.Random(5)
@@ -94,12 +94,48 @@ def test_snapping_equals_brute_force(spark, block):
     p = spark.createDataFrame(pts, "pid INT, lat DOUBLE, lon DOUBLE")
     r = spark.createDataFrame(refs, "rid INT, lat DOUBLE, lon DOUBLE")
     got = {x.pid: x.snapped_ref for x in
-           snapping.snap_to_reference(p, r, "pid", "rid", 0.7, refs_per_block=block).collect()}
+           snapping.snap_to_reference(p, r, "pid", "rid", 0.7, levels=levels).collect()}
     for pid, lat, lon in pts:
         km, ref = min((haversine(lat, lon, b, c), a) for a, b, c in refs)
         assert got[pid] == (ref if km <= 0.7 else None)
 
 
+def test_a_reference_near_by_hides_none_that_is_nearer(spark):
+    """References about as far apart as max_km: what a narrow cell finds first may be too far, another not."""
+    import random
+
+    rnd = random.Random(12)
+    refs = [(i, 33.5 + rnd.random() * 0.05, -7.6 + rnd.random() * 0.05) for i in range(110)]
+    pts = [(i, 33.5 + rnd.random() * 0.05, -7.6 + rnd.random() * 0.05) for i in range(600)]
+    p = spark.createDataFrame(pts, "pid INT, lat DOUBLE, lon DOUBLE")
+    r = spark.createDataFrame(refs, "rid INT, lat DOUBLE, lon DOUBLE")
+    for levels in (2, 4):
+        got = {x.pid: x.snapped_ref for x in snapping.snap_to_reference(p, r, "pid", "rid", 0.5, levels=levels).collect()}
+        for pid, lat, lon in pts:
+            km, ref = min((haversine(lat, lon, b, c), a) for a, b, c in refs)
+            assert got[pid] == (ref if km <= 0.5 else None)
+
+
+def test_points_meet_few_references_however_dense_they_are(spark):
+    import random
+
+    rnd = random.Random(8)
+    refs = [(i, 33.5 + rnd.random() * 0.002, -7.6 + rnd.random() * 0.002) for i in range(4000)]
+    refs += [(9000 + i, 33.6, -7.5) for i in range(500)]  # one place
+    pts = [(i, 33.499 + rnd.random() * 0.004, -7.601 + rnd.random() * 0.004) for i in range(100)] + [(500, 33.6, -7.5), (501, None, 1.0)]
+    p = spark.createDataFrame(pts, "pid INT, lat DOUBLE, lon DOUBLE")
+    r = spark.createDataFrame(refs, "rid INT, lat DOUBLE, lon DOUBLE")
+    levels = snapping.cell_levels(r.filter("rid < 9000"), 0.5)
+    assert 5 < levels < 12
+    index = snapping.reference_index(r, "rid", 0.5, levels)
+    assert index.filter(f"level = {levels - 1}").groupBy("cell_lat", "cell_lon").count().agg(F.max("count")).first()[0] <= 9 * 8
+    got = {x.pid: x.snapped_ref for x in snapping.snap_to_reference(p, r, "pid", "rid", 0.5).collect()}
+    for pid, lat, lon in pts[:-1]:
+        km, ref = min((haversine(lat, lon, b, c), a) for a, b, c in refs)
+        assert got[pid] == (ref if km <= 0.5 else None)
+    assert got[500] == 9000 and got[501] is None
+
+
 def test_zone_loader(spark, tmp_path):
     path = tmp_path / "zones.csv"
     path.write_text("zone_id,zone_name,zone_type,population_density,centroid_lat,centroid_lon,adjacency_list\n"

@@ -91,3 +91,26 @@ def test_anti_joins(spark):
     assert rows(matching.uncovered_requests(reqs, supply, edges), "trip_id") == [("y",)]
     matches = spark.createDataFrame([("x", True), ("y", False)], "trip_id STRING, matched BOOLEAN")
     assert rows(matching.unmatched_requests(matches), "trip_id") == [("y",)]
+
+
+def test_a_cell_with_all_rows_of_a_window(spark):
+    """Ranks go on from second to second; ties of a second go by id."""
+    import random
+
+    from cabstream.sources.zones import CITY_ZONES
+
+    draw = random.Random(3)
+    asked = [(f"r{i:04d}", 1, 2, draw.randrange(40)) for i in range(600)]
+    cars = [(f"T{i:04d}", draw.choice([1, 1, 1, 2, 3]), draw.randrange(40), 33.5, -7.6) for i in range(500)]
+    w = F.lit("2024-01-01").cast("timestamp")
+    r = spark.createDataFrame(asked, "trip_id STRING, origin_zone INT, destination_zone INT, requested_at LONG").withColumn("window_start", w)
+    v = spark.createDataFrame(cars, "taxi_id STRING, zone_id INT, last_seen LONG, lat DOUBLE, lon DOUBLE").withColumn("window_start", w)
+    got = {x.trip_id: (x.taxi_id, x.matched_zone) for x in matching.match_trips_rounds(r, v).collect()}
+    queue, want = sorted(asked, key=lambda q: (q[3], q[0])), {}
+    for zone in (1, *CITY_ZONES[0].adjacency):
+        idle = sorted((c for c in cars if c[1] == zone), key=lambda c: (c[2], c[0]))
+        for q, c in zip(queue, idle):
+            want[q[0]] = (c[0], zone)
+        queue = queue[len(idle):]
+    want |= {q[0]: ("", 0) for q in queue}
+    assert got == want and len(queue) == 100
