@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from cabstream.functions.geo import zone_attribute
 from cabstream.functions.labels import half_hour_slot, is_available
+from cabstream.operators.ordered import trailing_mean
 from cabstream.sources.zones import CITY, CITY_ZONES, Zone
 
 DEMAND_WINDOW = "30 seconds"
@@ -64,14 +65,18 @@ def slot_demand(trips: DataFrame, zone: str = "zone_id", ts: str = "ts", trip_id
 
 
 def demand_spikes(windows: DataFrame, count: str = "pending_requests", trailing: int = 10,
-                  factor: float = 3.0) -> DataFrame:
+                  factor: float = 3.0, long_zones: bool = False) -> DataFrame:
     """Flag zone windows whose count reaches ``factor`` x the mean of the preceding windows.
 
-    The input is already one row per zone and window, so a zone's rows are few.
+    The input is already one row per zone and window, so a zone's rows are few;
+    where they aren't, ``long_zones`` takes the means from running sums of ranges.
     """
-    before = Window.partitionBy("zone_id").orderBy("window_start").rowsBetween(-trailing, -1)
-    mean = F.avg(count).over(before)
-    return windows.withColumn("trailing_mean", F.coalesce(mean, F.lit(0.0))).withColumn(
+    if long_zones:
+        measured = trailing_mean(windows, ["zone_id"], ["window_start"], count, trailing, "trailing_mean")
+    else:
+        before = Window.partitionBy("zone_id").orderBy("window_start").rowsBetween(-trailing, -1)
+        measured = windows.withColumn("trailing_mean", F.avg(count).over(before))
+    return measured.withColumn("trailing_mean", F.coalesce("trailing_mean", F.lit(0.0))).withColumn(
         "is_spike", (F.col("trailing_mean") > 0) & (F.col(count) >= F.col("trailing_mean") * factor))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from cabstream.operators.demand import slot_demand
 from cabstream.operators.enrich import enrich_weather, enrich_zone_features
+from cabstream.operators.ordered import numbered_sums, rows_back
 
 SLOT = "time_slot_30min"
 SLOTS_PER_DAY, SLOTS_PER_WEEK = 48, 336
@@ -46,15 +47,25 @@ def add_weather_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def add_row_lags(df: DataFrame, value: str = "demand_count") -> DataFrame:
+def add_row_lags(df: DataFrame, value: str = "demand_count", long_zones: bool = False) -> DataFrame:
     """Lags by row count per zone: 48 and 336 rows back, mean of the 336 rows before.
 
-    The input holds one row per zone and slot, so a zone's window is short. The
+    ``long_zones`` cuts the rows of a zone into ranges and looks rows up by
+    their number instead of sorting a zone in one task. Else the input holds one row per zone and slot, so a zone's window is short. The
     mean comes from a running sum and its value 336 rows earlier, which is exact
     for counts and touches each row once; a sliding frame would add up 336 rows
     for every row. The current row never enters its own features; missing
     history is 0.
     """
+    if long_zones:
+        rows = numbered_sums(df, ["zone_id"], [SLOT], F.col(value))
+        near = rows_back(rows, ["zone_id"], SLOTS_PER_DAY, {"demand_lag_1d": value})
+        far = rows_back(rows, ["zone_id"], SLOTS_PER_WEEK, {"demand_lag_7d": value, "_then": "_before"})
+        both = near.join(far.select("zone_id", "_at", "demand_lag_7d", "_then"), ["zone_id", "_at"])
+        many = F.least(F.col("_at") - 1, F.lit(SLOTS_PER_WEEK))
+        mean = F.when(many > 0, (F.col("_before") - F.coalesce("_then", F.lit(0))) / F.nullif(many, F.lit(0)))
+        return both.select(*df.columns, "demand_lag_1d", "demand_lag_7d", mean.alias("rolling_7d_mean")) \
+            .fillna(0, list(LAG_COLUMNS))
     order = Window.partitionBy("zone_id").orderBy(SLOT)
     summed = df.withColumns({
         "demand_lag_1d": F.lag(value, SLOTS_PER_DAY).over(order),

@@ -106,6 +106,48 @@ def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
         .drop("_near", "_carry", "_v", CHUNK)
 
 
+def numbered_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column) -> DataFrame:
+    """Stored rows with ``_at``, their number in the key from 1, and ``_before``, the sum of ``value`` over earlier rows.
+
+    Rows are numbered and summed inside ranges of about equal row counts; counts and sums of the ranges before are
+    carried over from one row per range. Missing values count as 0. ``order`` has to be unique within a key.
+    """
+    base = range_chunks(df.withColumn("_v", F.coalesce(value, F.lit(0))), keys, order)
+    inside = Window.partitionBy(*keys, RANGE).orderBy(*order)
+    earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    rows = base.withColumn("_near_at", F.row_number().over(inside)).withColumn(
+        "_near_sum", F.sum("_v").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    summary = base.groupBy(*keys, RANGE).agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s")).select(
+        *keys, RANGE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"),
+        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_s"))
+    out = rows.join(summary, [*keys, RANGE]).select(
+        *df.columns, (F.col("_near_at") + F.col("_n")).alias("_at"),
+        (F.coalesce("_near_sum", F.lit(0)) + F.col("_s")).alias("_before"))
+    path = work_folder(df.sparkSession, "numbered-sums")
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def rows_back(rows: DataFrame, keys: Sequence[str], back: int, values: dict[str, str]) -> DataFrame:
+    """Add columns of the row ``back`` rows earlier in the key (``new name -> column``) to rows with ``_at``; null at the start.
+
+    A join on the row's number, so no task has to see more of a key than the rows it is dealt.
+    """
+    earlier = rows.select(*keys, (F.col("_at") + back).alias("_at"), *[F.col(c).alias(n) for n, c in values.items()])
+    return rows.join(earlier, [*keys, "_at"], "left")
+
+
+def trailing_mean(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, rows: int, name: str) -> DataFrame:
+    """Add ``name``: the mean of ``value`` over up to ``rows`` rows before, null without any; exact for whole numbers.
+
+    The difference of two running sums over the number of rows between, for keys with histories of any length.
+    """
+    summed = rows_back(numbered_sums(df, keys, order, F.col(value)), keys, rows, {"_then": "_before"})
+    many = F.least(F.col("_at") - 1, F.lit(rows))
+    mean = F.when(many > 0, (F.col("_before") - F.coalesce("_then", F.lit(0))) / many)
+    return summed.select(*df.columns, mean.alias(name))
+
+
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str,
               right_time: str, right_order: Sequence[str], values: Sequence[str],
               name: str = "asof", chunk_seconds: int | None = None) -> DataFrame:

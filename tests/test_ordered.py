@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cabstream.operators import events, thinning
 from cabstream.operators.latest import first_per_key, latest_per_key
 from cabstream.operators.ordered import (
-    RANGE, asof_join, last_known, next_row, previous_row, range_chunks, running_max, time_chunk)
+    RANGE, asof_join, last_known, next_row, numbered_sums, previous_row, range_chunks, running_max, time_chunk, trailing_mean)
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +141,37 @@ def test_row_chunks_stay_small_whatever_the_skew(spark):
             want.add(r.id)
         newest = r.event_s if newest is None else max(newest, r.event_s)
     assert {r.id for r in kept.collect()} == want
+
+
+def test_numbers_sums_and_trailing_means(frame, history):
+    got = {r.i: (r._at, r._before) for r in numbered_sums(frame, ["k"], ["t", "i"], F.col("v")).collect()}
+    means = {r.i: r.m for r in trailing_mean(frame.fillna(0, ["v"]), ["k"], ["t", "i"], "v", 7, "m").collect()}
+    assert len(got) == len(means) == len(history)
+    for rows in ordered(history).values():
+        values = [r[3] or 0 for r in rows]
+        for n, r in enumerate(rows):
+            assert got[r[2]] == (n + 1, sum(values[:n]))
+            last = values[max(0, n - 7):n]
+            assert means[r[2]] == (pytest.approx(sum(last) / len(last)) if last else None)
+
+
+def test_long_zones_give_the_same_lags_and_spikes(spark):
+    from cabstream.operators import demand, features
+
+    rnd = random.Random(2)
+    rows = [(z, 1700000000 + 1800 * i, rnd.randrange(30)) for z in (1, 2, None) for i in range(400 if z else 20) if rnd.random() < 0.95]
+    df = spark.createDataFrame(rows, "zone_id INT, s LONG, demand_count LONG").select(
+        "zone_id", F.timestamp_seconds("s").alias(features.SLOT), "demand_count")
+    known = df.where("zone_id is not null")
+
+    def listed(x):
+        return sorted(tuple(r) for r in x.select("zone_id", features.SLOT, *features.LAG_COLUMNS).collect())
+
+    for a, b in zip(listed(features.add_row_lags(known)), listed(features.add_row_lags(known, long_zones=True)), strict=True):
+        assert a[:4] == b[:4] and a[4] == pytest.approx(b[4])
+    windows = known.select("zone_id", F.col(features.SLOT).alias("window_start"), F.col("demand_count").alias("pending_requests"))
+    both = [sorted(tuple(r) for r in demand.demand_spikes(windows, factor=1.5, long_zones=on).select(
+        "zone_id", "window_start", "is_spike").collect()) for on in (False, True)]
+    assert both[0] == both[1] and any(r[2] for r in both[0])
+    plan = demand.demand_spikes(windows, long_zones=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
