@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -42,6 +45,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """At the end of a task, return what a Python worker has freed to the system: workers live on, idle, beside the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def workers(spark: SparkSession) -> int:
     """Tasks that are worth having for one shuffle."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
@@ -72,15 +83,16 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while (mark := _fingerprint(now)) != before:
         before = mark
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Minima are stored before they meet the edges again, so that Spark can split the edges of a hub.
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star-centres")
         large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
         large = stored(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "star-centres")
         small = (large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(least.select("u", F.col("m").alias("v"))).distinct())
         small = stored(small, "small-star")
-        discard(now, large)
+        discard(now, large, low, least)
         now = small
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabstream.llm.common import ASCII_LOWER, connected_components, discard, stored
+from cabstream.llm.common import ASCII_LOWER, connected_components, discard, give_back, stored
 from cabstream.session import ship_package
 
 SEED = 42
@@ -44,6 +44,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], [id_col, "fp"])
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).cast("binary").alias("_text")).mapInArrow(
@@ -80,26 +81,37 @@ def pivots() -> list[int]:
     return [draw.getrandbits(BITS) - (1 << (BITS - 1)) for _ in range(PIVOTS)]
 
 
-def block_masks(max_bits: int) -> list[int]:
-    """Disjoint bit blocks: two fingerprints at most `max_bits` apart agree on two of them at least."""
+def block_count(fingerprints: int, max_bits: int) -> int:
+    """Bit blocks to cut fingerprints into: as few as keep the expected bucket below SMALL_BUCKET.
+
+    Of b blocks b - max_bits agree, so keys have 64 (b - max_bits) / b bits; any number of blocks loses no pair.
+    """
     count = max(max_bits + 2, 5)
+    while fingerprints / 2 ** (BITS * (count - max_bits) / count) > SMALL_BUCKET and count < max_bits + 6:
+        count += 1
+    return count
+
+
+def block_masks(count: int) -> list[int]:
+    """Disjoint bit blocks of about one size."""
     edges = [BITS * i // count for i in range(count + 1)]
     masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
-def pivot_table(nodes: DataFrame, max_bits: int) -> DataFrame:
+def pivot_table(nodes: DataFrame, max_bits: int, count: int) -> DataFrame:
     """Add `far` (whole distances to the first pivots, a byte each) and `keys` to distinct fingerprints `fp`.
 
-    The distance to a pivot is the sum of the distances within the bit blocks.
-    Where two fingerprints agree on a block, all their coordinates of that
-    block are equal; so pairs of blocks are bucketed by their coordinates.
+    The distance to a pivot is the sum of the distances within the `count` bit
+    blocks. Where two fingerprints agree on a block, all their coordinates of
+    that block are equal. Fingerprints at most `max_bits` apart agree on all but
+    that many blocks; each choice of so many blocks is bucketed by their coordinates.
     """
     fp, points = F.col("fp"), pivots()
     far = sum((F.shiftleft(F.bit_count(fp.bitwiseXOR(F.lit(p))).cast("long"), 8 * i)
                for i, p in enumerate(points[:FILTER_PIVOTS])), F.lit(0).cast("long"))
     near = []
-    for mask in block_masks(max_bits):
+    for mask in block_masks(count):
         packed = F.lit(0).cast("long")
         for i, p in enumerate(points):
             part = F.bit_count(fp.bitwiseXOR(F.lit(p)).bitwiseAND(F.lit(mask))).cast("long")
@@ -107,7 +119,8 @@ def pivot_table(nodes: DataFrame, max_bits: int) -> DataFrame:
         near.append(packed)
     table = stored(nodes.select("fp", far.alias("far"), *[c.alias(f"near{i}") for i, c in enumerate(near)]),
                    "pivot-table")
-    keys = [F.xxhash64(F.lit(i * BITS + j), f"near{i}", f"near{j}") for i, j in combinations(range(len(near)), 2)]
+    keys = [F.xxhash64(F.lit(sum(1 << i for i in chosen)), *[f"near{i}" for i in chosen])
+            for chosen in combinations(range(count), count - max_bits)]
     return table.select("fp", "far", F.array(*keys).alias("keys"))
 
 
@@ -161,7 +174,8 @@ def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     gives a spanning forest. No pair of a bucket is left unexamined.
     """
     ship_package(nodes.sparkSession)
-    keyed = pivot_table(nodes, max_bits).select("fp", "far", F.explode("keys").alias("key"))
+    table = pivot_table(nodes, max_bits, block_count(nodes.count(), max_bits))
+    keyed = table.select("fp", "far", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(keyed.join(sizes, "key"), "pivot-buckets")
     small = shared.where(F.col("n") <= SMALL_BUCKET)

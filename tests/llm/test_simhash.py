@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -90,3 +91,15 @@ def test_components_of_long_chains_and_hot_nodes(spark):
     edges = spark.createDataFrame(chain + star + [(5, 5), (None, 3), (7, None), (0, 1)], "a long, b long")
     got = {r.node: r.root for r in connected_components(edges, "a", "b").collect()}
     assert got == {**{i: 0 for i in range(301)}, **{1000 + i: 1000 for i in range(500)}}
+
+
+def test_any_number_of_blocks_finds_every_pair(spark, monkeypatch):
+    draw = random.Random(17)
+    base = [draw.getrandbits(64) - (1 << 63) for _ in range(60)]
+    near = [f ^ (1 << draw.randrange(63)) ^ (1 << draw.randrange(63)) ^ (1 << draw.randrange(63)) for f in base]
+    nodes = spark.createDataFrame([(f,) for f in {*base, *near}], "fp long")
+    assert [simhash.block_count(n, 4) for n in (10, 10**7, 10**9, 10**10)] == [6, 6, 7, 8]
+    for count in (6, 7, 8):
+        monkeypatch.setattr(simhash, "block_count", lambda n, bits, c=count: c)
+        found = {(min(r.a, r.b), max(r.a, r.b)) for r in simhash.links(nodes, 4).collect()}
+        assert {(min(a, b), max(a, b)) for a, b in zip(base, near, strict=True) if a != b} <= found
