@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstream.llm.common import SPACE, ascii_lower, stored
+from cabstream.llm.common import SPACE, ascii_lower, discard, stored
 
 KEY = ["h1", "h2"]
 
@@ -88,11 +88,11 @@ class LineRuns:
         return name
 
 
-def document_counts(docs: DataFrame, text_col: str = "text", min_chars: int = 1) -> DataFrame:
-    """Rows (h1, h2, n): the number of rows of `docs` that hold a line key of at least `min_chars` code points."""
+def document_counts(docs: DataFrame, batch: Column, text_col: str = "text", min_chars: int = 1) -> DataFrame:
+    """Rows (batch, h1, h2, n): of each batch the rows of `docs` that hold a line key of at least `min_chars` code points."""
     keys = F.array_distinct(line_keys(split_lines(F.col(text_col))))
-    found = docs.select(F.explode(keys).alias("key")).where(F.length("key") >= min_chars)
-    return found.select(*hashes(F.col("key"))).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+    found = docs.select(batch.alias("batch"), F.explode(keys).alias("key")).where(F.length("key") >= min_chars)
+    return found.select("batch", *hashes(F.col("key"))).groupBy("batch", *KEY).agg(F.count(F.lit(1)).alias("n"))
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
@@ -105,15 +105,17 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     they are, joined by a line feed. A null or empty text is one empty line; a
     text whose lines all go becomes empty. Rows are counted in `batches` dealt
     by a hash of the id, null ids included, through `LineRuns`. An input column
-    called kept_text, n_lines or n_dropped is replaced.
+    called kept_text, n_lines or n_dropped is replaced. An empty table gives no rows.
 
     What goes from a text depends on the text alone, so dropped positions are
     found and joined per text hash: copies, however many, share one row.
     """
     runs = LineRuns(docs.sparkSession, min_docs, fanout)
+    batch = F.pmod(F.xxhash64(id_col), F.lit(batches)).cast("int")
+    counts = stored(document_counts(docs, batch, text_col, min_chars), "line-counts")
     for i in range(batches):
-        batch = docs.where(F.pmod(F.xxhash64(id_col), F.lit(batches)) == i)
-        runs.add(document_counts(batch, text_col, min_chars))
+        runs.add(counts.where(F.col("batch") == i).drop("batch"))
+    discard(counts)
     repeated = stored(runs.counts().where(F.col("n") >= min_docs).select(*KEY), "repeated-lines")
     runs.drop()
 
@@ -123,6 +125,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lines = lines.where(F.length("__key") >= min_chars).select("__t1", "__t2", "__at", *hashes(F.col("__key")))
     dropped = (lines.join(repeated, KEY, "left_semi").groupBy("__t1", "__t2")
                .agg(F.collect_set("__at").alias("__dropped")))
+    # Stored, so that Spark can split the rows of a text that has very many copies.
+    dropped = stored(dropped, "dropped-lines")
 
     rows = docs.drop("kept_text", "n_lines", "n_dropped").select("*", *marks)
     parts, gone = split_lines(F.col(text_col)), F.coalesce("__dropped", F.array().cast("array<int>"))
