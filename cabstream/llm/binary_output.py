@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cabstream.llm.common import workers
+from cabstream.llm.common import give_back, workers
 from cabstream.llm.tokens import word_ids
 from cabstream.session import ship_package
 
@@ -116,6 +116,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
                     segment, before, held, owners, lengths = segment + 1, before + full, [], [], []
         if owners:
             yield close()
+        give_back()
 
     rows = (docs.select(id_col, F.col(text_col).cast("binary").alias("_text"))
             .withColumn("_part", F.xxhash64("_text"))

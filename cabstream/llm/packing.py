@@ -6,6 +6,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstream.llm.common import numbered, stored, workers
+from cabstream.llm.common import give_back, numbered, stored, workers
 from cabstream.llm.tokens import word_ids
 from cabstream.session import ship_package
 
@@ -47,11 +48,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, step, end = word_ids(tokenizer), 4 * capacity, np.array([end_id], "<u4").tobytes()
         for whole in batches:
+            found = encode.together(whole.column(1))
             for at in range(0, len(whole), ROWS):
                 batch = whole.slice(at, ROWS)
                 rows, pieces = [], []
-                for i, text in enumerate(batch.column(1)):
-                    ids = encode(text.as_py()) + end
+                for i, encoded in enumerate(islice(found, len(batch))):
+                    ids = encoded + end
                     parts = [ids[j:j + step] for j in range(0, len(ids), step)]
                     rows += [(i, k) for k in range(len(parts))]
                     pieces += parts
@@ -63,6 +65,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 if with_ids:
                     columns.append(pa.array([np.frombuffer(p, "<i4") for p in pieces], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).cast("binary").alias("_text")).mapInArrow(

@@ -111,6 +111,34 @@ def test_plan_places_every_piece_once_without_gaps(counts, capacity):
     assert max(-(-total // capacity), large) <= len(bins) <= max(1.5 * total / capacity + 1, large + 2 * total / capacity)
 
 
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 12), max_size=20), st.integers(60, 90))
+@settings(max_examples=100, deadline=None)
+def test_plan_equals_packing_piece_by_piece(counts, capacity):
+    """Large pieces: the longest left with the longest that fits; small ones: longest first into the smallest gap."""
+    large = sorted((n for n, c in counts.items() if 3 * n > capacity for _ in range(c)), reverse=True)
+    bins = []
+    while large:
+        first = large.pop(0)
+        mate = next((n for n in large if first + n <= capacity), None)
+        if mate is not None:
+            large.remove(mate)
+        bins.append([first] + [mate] * (mate is not None))
+    for n in sorted((n for n, c in counts.items() if 3 * n <= capacity for _ in range(c)), reverse=True):
+        fits = [b for b in bins if sum(b) + n <= capacity]
+        best = max(fits, key=sum, default=None)
+        if best is None:
+            bins.append([n])
+        else:
+            best.append(n)
+    made = defaultdict(list)
+    slots = packing.packing_plan(counts, capacity)
+    for s in slots:
+        after = [x.rank for x in slots if x.length == s.length and x.rank > s.rank]
+        for rank in range(s.rank, min(after, default=counts[s.length])):
+            made[s.first + (rank - s.rank) % s.bins].append(s.length)
+    assert len(made) == len(bins) and sorted(map(sum, made.values())) == sorted(map(sum, bins))
+
+
 def test_packing_of_awkward_documents(make_docs, awkward, words):
     packed = packing.packed_documents(make_docs(awkward), WORDS, capacity=512, with_ids=True)
     rows = packed.collect()
