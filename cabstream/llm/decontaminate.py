@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cabstream.llm.common import discard, stored
 from cabstream.session import ship_package
@@ -26,8 +28,8 @@ STEP, PASSAGE = 8, 32
 LATENT, SKETCH = 96, 112
 #: Cosine of a candidate; share of an item's words, and of its answer's, in the common subsequence of a match.
 COSINE, SHARE, ANSWER_SHARE = 0.4, 0.75, 0.6
-#: Items with fewer words match only word for word. Words at an item's end that may stand for a missing answer.
-SHORT, ANSWER_WORDS = 8, 5
+#: Items with fewer words match only word for word.
+SHORT = 8
 #: Words of an item, beside those that a match may miss, that let a part of a document pass the gate.
 HITS = 6
 SEED = 3
@@ -157,7 +159,8 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int], ga
     The counts say in how many passages of a task's documents each term is
     found; at term -1 stands the number of passages. They have no words.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    kinds = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("words", T.StringType()),
+                          *(T.StructField(n, T.LongType()) for n in ("group", "term", "n"))])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("_text"))
     names = ["id", "words", "group", "term", "n"]
 
@@ -188,7 +191,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int], ga
                                               pa.nulls(len(term), pa.int64()), term,
                                               pa.array(np.append(counts[found], passages))], names)
 
-    return rows.mapInArrow(scanned, f"id {kind}, words string, `group` long, term long, n long")
+    return rows.mapInArrow(scanned, kinds)
 
 
 def _sums(rows: np.ndarray, where: np.ndarray, n: int) -> np.ndarray:
@@ -318,7 +321,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
 
 
-def _items(benchmark: DataFrame, item_col: str, text_col: str, last_words: int) -> Iterator[list[Item]]:
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[Item]]:
     """Blocks of items with words; the number of blocks follows the size of the benchmark."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text"),
@@ -328,7 +331,7 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str, last_words: int)
     for i in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i).collect()
         made = [(r["item"], words_of(r["text"]), words_of(r["answer"])) for r in part]
-        block = [Item(item, words, answer or words[max(0, len(words) - last_words):]) for item, words, answer in made if words]
+        block = [Item(item, words, answer) for item, words, answer in made if words]
         if block:
             yield sorted(block, key=lambda it: (str(it.item_id), it.words))
 
@@ -340,24 +343,25 @@ def _groups(items: list[Item]) -> list[list[Item]]:
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      item_col: str = "item_id", item_text_col: str = "text",
-                      last_words: int = ANSWER_WORDS) -> DataFrame:
+                      item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Rows (id_col, item_col, common_words, item_words, cosine): which items a document holds.
 
     A window of a document holds an item if its cosine in the latent space is
     at least COSINE or the item stands in it word for word, the longest common
-    subsequence has SHARE of the item's words, and that with the answer (a column `answer`, or the item's
-    `last_words` last words where there is none) ANSWER_SHARE of the answer's.
-    With `last_words=0` items without an answer are decided by SHARE alone.
+    subsequence has SHARE of the item's words, and that with the answer (a column
+    `answer`) ANSWER_SHARE of the answer's. Items without an answer are decided by SHARE alone.
     Items of fewer than SHORT words must stand word for word. Case and
     punctuation don't count. Null and empty texts and items match nothing;
     null ids are kept as null; repeated rows of an id are one. One row per
-    document and item, that of the best window. Every document is read whole.
+    document and item, that of the best window (ties: the higher cosine). Every
+    document is read whole. Other columns are not read; empty tables give no rows.
     """
     ship_package(docs.sparkSession)
-    kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
+    own_id, item_id = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
+    rest = [("common", T.IntegerType()), ("n", T.IntegerType()), ("cosine", T.DoubleType())]
+    kinds = T.StructType([T.StructField(n, t) for n, t in [("id", own_id), ("item", item_id), *rest]])
     parts = []
-    for items in _items(benchmark, item_col, item_text_col, last_words):
+    for items in _items(benchmark, item_col, item_text_col):
         terms = vocabulary(items, {}, 0).terms
         groups = _groups(items)
         scan = stored(_scan(docs, id_col, text_col, terms, Gate(groups, terms)), "decontamination-scan")
@@ -368,10 +372,11 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
             own = {i: counts.get(terms[w], 0) for w, i in vocabulary(group, {}, 0).terms.items()}
             vocab = vocabulary(group, own, counts.get(-1, 0))
             searcher = Searcher(group, vocab, latent_space(spans, vocab, group))
-            parts.append(stored(_matches(spans, searcher, kind, item_kind), "benchmark-matches"))
+            parts.append(stored(_matches(spans, searcher, kinds), "benchmark-matches"))
         discard(scan)
     if not parts:
-        empty = f"`{id_col}` {kind}, `{item_col}` {item_kind}, common_words int, item_words int, cosine double"
+        names = [id_col, item_col, "common_words", "item_words", "cosine"]
+        empty = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, kinds, strict=True)])
         return docs.sparkSession.createDataFrame([], empty)
     found = parts[0]
     for part in parts[1:]:
@@ -382,9 +387,10 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                        F.round("best.cosine", 3).alias("cosine"))
 
 
-def _matches(spans: DataFrame, searcher: Searcher, kind: str, item_kind: str) -> DataFrame:
+def _matches(spans: DataFrame, searcher: Searcher, kinds: T.StructType) -> DataFrame:
+    item_type = to_arrow_type(kinds["item"].dataType)
+
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
         for batch in batches:
             rows = [(i, *found) for i, text in enumerate(batch.column(1)) for found in searcher.search(text.as_py().split())]
             yield pa.RecordBatch.from_arrays(
@@ -393,5 +399,4 @@ def _matches(spans: DataFrame, searcher: Searcher, kind: str, item_kind: str) ->
                  pa.array([r[5] for r in rows], pa.int32()), pa.array([r[4] for r in rows], pa.float64())],
                 ["id", "item", "common", "n", "cosine"])
 
-    return spans.select("id", "words").mapInArrow(
-        searched, f"id {kind}, item {item_kind}, common int, n int, cosine double")
+    return spans.select("id", "words").mapInArrow(searched, kinds)

@@ -10,18 +10,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from cabstream.llm.common import give_back
 from cabstream.session import ship_package
 
-#: Bounds of the training sample: languages, documents over all languages, words of a document.
-LANGUAGES, SAMPLE_DOCS, SAMPLE_WORDS = 64, 1200, 200
+#: Bounds of the training sample: documents over all languages, words of a document. Every language has one document at least.
+SAMPLE_DOCS, SAMPLE_WORDS = 1200, 200
 #: Units per direction, training steps, words per step, step size.
 UNITS, STEPS, BATCH, RATE = 16, 500, 256, 0.01
 #: Longest run of bytes that is one sequence; longer words are cut between characters.
 LONGEST = 32
 #: Words that a worker remembers, words that it labels at a time, bytes of a text that it splits at a time.
 REMEMBERED, TOGETHER, BLOCK = 1 << 18, 1 << 17, 1 << 20
+#: Words that run through the network side by side.
+AT_ONCE = 256
 UNDECIDED = "und"
 _SPACE = re.compile(rb"[ \t-\r]")
 
@@ -85,8 +89,8 @@ class Model:
         """Probabilities summed over the positions of each word (rows, languages)."""
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         sums = np.zeros((len(words), len(self.languages)))
-        for at in range(0, len(order) if self.languages else 0, 4096):
-            part = order[at:at + 4096]
+        for at in range(0, len(order) if self.languages else 0, AT_ONCE):
+            part = order[at:at + AT_ONCE]
             codes, lengths = _codes([words[i] for i in part])
             chances = _softmax(self._run(codes, lengths)[0])
             real = np.arange(codes.shape[0])[:, None] < lengths
@@ -270,21 +274,22 @@ def training_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    lang_col: str = "lang") -> dict[str, list[bytes]]:
     """A bounded sample of words by language from documents that aren't held out.
 
-    It takes the LANGUAGES most frequent labels, SAMPLE_DOCS documents dealt
-    over them in the order of a hash of their id, and of each document up to
-    SAMPLE_WORDS consecutive words from a place that the hash chooses.
+    Every label that occurs is learned. SAMPLE_DOCS documents are dealt over
+    the labels in the order of a hash of their id, one for each where there are more
+    labels; of each document up to SAMPLE_WORDS consecutive words from a place
+    that the hash chooses are taken. Ties go to the smaller id; repeated rows
+    may be drawn together. A table without labels gives an empty sample.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
                         & ~held_out(docs, id_col)).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    common = [r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    each = SAMPLE_DOCS // max(1, len(common))
+    each = max(1, SAMPLE_DOCS // max(1, usable.agg(F.count_distinct("lang")).first()[0]))
     draw = F.xxhash64("id")
-    chosen = (usable.where(F.col("lang").isin(common)).select("id", "lang")
+    chosen = (usable.select("id", "lang")
               .withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(draw, "id"))).where(F.col("n") <= each))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    # At most SAMPLE_DOCS ids, so they go to the texts and not the other way round.
-    taken = usable.join(F.broadcast(chosen.select("id")), "id", "left_semi").select("id", "lang", words.alias("w"))
+    # About SAMPLE_DOCS ids, so they go to the texts and not the other way round.
+    taken = usable.join(F.broadcast(chosen.select("id", "lang")), ["id", "lang"], "left_semi").select("id", "lang", words.alias("w"))
     start = F.pmod(draw, F.greatest(F.size("w") - SAMPLE_WORDS, F.lit(0)) + 1).cast("int") + 1
     rows = taken.select("lang", "id", F.slice("w", start, SAMPLE_WORDS).alias("w")).collect()
     found: dict[str, list[bytes]] = {}
@@ -298,30 +303,40 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: Sequen
 
     Every byte position of the whole text is labelled; words are the network's
     sequences. The score is the mean probability of the predicted language over
-    all positions. Null and empty texts and texts without a letter get `und`
-    and 0. Only the text decides; kept columns called lang_pred or score are
-    replaced. Repeated rows are labelled alike.
+    all positions; ties go to the first language in code-point order. Null and
+    empty texts and texts without a letter get `und` and 0. Only the text
+    decides; kept columns called lang_pred or score are replaced. Repeated rows
+    are labelled alike; an empty table gives no rows.
     """
     ship_package(docs.sparkSession)
     keep = [c for c in keep if c not in ("lang_pred", "score")]
+    apart = text_col not in keep or docs.schema[text_col].dataType != T.StringType()  # a text that is kept goes to Python once
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model)
         for whole in batches:
             for at in range(0, len(whole), 1024):
                 batch = whole.slice(at, 1024)
-                found = labeller.label(batch.column(len(keep)).to_pylist())
+                texts = batch.column(len(keep) if apart else keep.index(text_col))
+                found = labeller.label(texts.cast(pa.binary()).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array([x for x, _ in found], pa.string()),
+                    [*batch.columns[:len(keep)], pa.array([x for x, _ in found], pa.string()),
                      pa.array([x for _, x in found], pa.float64())], [*keep, "lang_pred", "score"])
+        del labeller
+        give_back()
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return docs.select(*keep, F.col(text_col).cast("binary").alias("_text")).mapInArrow(
-        labelled, f"{kinds}lang_pred string, score double")
+    kinds = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
+                          T.StructField("score", T.DoubleType())])
+    return docs.select(*keep, *([F.col(text_col).cast("string").alias("_text")] if apart else [])).mapInArrow(labelled, kinds)
 
 
 def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows (id_col, held_out, lang_pred, score): train on documents that aren't held out, label all."""
+    """Rows (id_col, held_out, lang_pred, score): train on documents that aren't held out, label all.
+
+    Without labels every text is `und` with score 0. See `training_words` and
+    `identify` for nulls, ties, repeated rows and empty tables; other columns
+    are not read.
+    """
     model = train(training_words(docs, id_col, text_col, lang_col))
     found = identify(docs, model, text_col, [id_col])
     return found.select(id_col, held_out(found, id_col).alias("held_out"), "lang_pred", "score")

@@ -66,7 +66,8 @@ def uniform_shards(df: DataFrame, shards: int, key: list[str], seed: int = 0) ->
     Every arrangement of the rows is as likely as any other, and shard sizes
     differ by one at most. Rows are dealt to virtual partitions and permuted
     there by a hash of `key` and the seed, so that a repeated task decides
-    alike; rows equal in all of `key` are interchangeable. Only the sizes of
+    alike; rows equal in all of `key` are interchangeable and are permuted in
+    one part, so let `key` tell rows of a table with very many copies apart. Only the sizes of
     the partitions, a fixed number per shuffle task, come to the driver, where
     the matrix is drawn. In its shard a row's slot follows a second
     permutation, ranked in many parts. An empty table gives no rows. Input

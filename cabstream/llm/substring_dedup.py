@@ -242,7 +242,8 @@ def _by_window(hot: DataFrame) -> DataFrame:
     single = hot.select("id", "t", "lo", "anchor", "u", F.posexplode("windows").alias("at", "w")).select(
         "anchor", "u", "at", F.col("w")[0].alias("w1"), F.col("w")[1].alias("w2"),
         F.struct("id", "t", (F.col("lo") + F.col("at")).alias("start")).alias("place"))
-    first = single.groupBy("w1", "w2").agg(F.min("place").alias("first"))
+    # Stored, so that Spark can split the places of a common window.
+    first = stored(single.groupBy("w1", "w2").agg(F.min("place").alias("first")), "first-windows")
     bit = F.when(F.col("place") == F.col("first"), 0).otherwise(F.expr("shiftleft(1L, at)"))
     return single.join(first, ["w1", "w2"]).groupBy("anchor", "u").agg(F.bit_or(bit).alias("mask"))
 
@@ -307,7 +308,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     earlier is removed; windows are judged on the input. The kept words are
     joined by one space. Documents of fewer words than a window stay whole.
     Rows equal in id and text are one document and get the same result each.
-    Columns other than the two named are not read.
+    Columns other than the two named are not read; an empty table gives no rows.
     """
     rows = _keyed(docs, id_col, text_col)
     joined = _join_rows(rows, stored(repeats(docs, window, id_col, text_col), "repeats"), "left")

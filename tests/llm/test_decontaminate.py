@@ -55,7 +55,7 @@ def test_share_and_answer_are_asked_for(spark, make_docs):
     half = " ".join(words[:15]) + " " + prose(2, 15)
     unanswered = " ".join(words[:25]) + " " + prose(3, 5)
     docs = make_docs([half, unanswered, item] + [prose(10 + i, 60) for i in range(20)])
-    assert matches(docs, benchmark(spark, [(0, item)])) == {(2, 0)}
+    assert matches(docs, benchmark(spark, [(0, item)])) == {(1, 0), (2, 0)}
     with_answer = spark.createDataFrame([(0, item, "zebra crossing")], "item_id long, text string, answer string")
     assert matches(docs, with_answer) == set()
     told = make_docs([item, f"{item} zebra crossing"])
@@ -67,11 +67,11 @@ def test_items_without_an_answer_are_decided_by_the_share(spark, make_docs, tmp_
     words = item.split()
     cut, half = " ".join(words[:25]) + " " + prose(3, 5), " ".join(words[:15]) + " " + prose(2, 15)
     docs, bench = make_docs([half, cut, item] + [prose(10 + i, 60) for i in range(20)]), benchmark(spark, [(0, item)])
-    found = decontaminate.benchmark_matches(docs, bench, last_words=0).collect()
+    found = decontaminate.benchmark_matches(docs, bench).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(1, 0), (2, 0)}
     answers = [(0, item, None), (1, item, " ?"), (2, item, "zebra crossing")]
     answered = spark.createDataFrame(answers, "item_id long, text string, answer string")
-    found = decontaminate.benchmark_matches(docs, answered, last_words=0).collect()
+    found = decontaminate.benchmark_matches(docs, answered).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(d, i) for d in (1, 2) for i in (0, 1)}
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     bench.write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -120,7 +120,7 @@ def test_exact_copies_need_no_cosine(spark, make_docs, monkeypatch):
     monkeypatch.setattr(decontaminate, "LATENT", 2)
     for words in (50_000, 1_000):
         monkeypatch.setattr(decontaminate, "GROUP_WORDS", words)
-        found = decontaminate.benchmark_matches(docs, benchmark(spark, items), last_words=0).collect()
+        found = decontaminate.benchmark_matches(docs, benchmark(spark, items)).collect()
         assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in found}
 
 
@@ -133,3 +133,26 @@ def test_each_group_of_items_has_its_own_parts():
     spans = gate.spans(vocab.codes(words))
     assert [g for g, a, b in spans] == [0, 1]
     assert all(a <= at and at + 20 <= b for (_, a, b), at in zip(spans, (220, 100), strict=True))
+
+
+def test_matches_equal_a_search_of_every_window(spark, make_docs):
+    """No gate and no cosine: every window of every document against every item."""
+    draw = random.Random(21)
+    items = [(i, prose(500 + i, draw.choice([9, 14, 25, 40, 60]))) for i in range(25)]
+    texts = [prose(i, draw.choice([5, 60, 300])) for i in range(30)] + [None, "", items[0][1][:9]]
+    for _i, item in items:
+        words = item.split()
+        for share in (0.0, 0.1, 0.2, 0.3, 0.5):
+            changed = [w if draw.random() >= share else prose(draw.randrange(10**6), 1) for w in words]
+            kept = [w for w in changed if draw.random() >= share / 4]
+            texts.append(f"{prose(draw.randrange(9999), draw.randrange(60))} {' '.join(kept)} {prose(draw.randrange(9999), 30)}")
+    made = [decontaminate.Item(i, decontaminate.words_of(t), []) for i, t in items]
+    want = set()
+    for d, text in enumerate(texts):
+        words = decontaminate.words_of(text)
+        for item in made:
+            starts = range(0, max(1, len(words)), decontaminate.STEP)
+            if any(item.match(words[s:s + item.window]) for s in starts):
+                want.add((d, item.item_id))
+    got = matches(make_docs(texts), benchmark(spark, items))
+    assert got <= want and len(got) >= 0.98 * len(want) and len(want) > 60

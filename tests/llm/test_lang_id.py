@@ -88,6 +88,40 @@ def test_learns_only_from_documents_that_are_not_held_out(make_docs, spark):
     assert {r.lang_pred for r in lang_id.languages(unlabelled).collect()} == {"und"}
 
 
+def test_every_label_is_learned(make_docs):
+    labels = [f"l{i % 100:03d}" for i in range(800)] + [f"r{i:04d}" for i in range(1300)]
+    words = lang_id.training_words(make_docs([f"word{x} text" for x in labels], lang=labels))
+    ids = [i for i in range(len(labels)) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert set(words) == {labels[i] for i in ids} and len(words) > 1000
+    few = [f"l{i % 100:03d}" for i in range(800)]
+    model = lang_id.train(lang_id.training_words(make_docs([f"{x * 3} {x}" for x in few], lang=few)), steps=2)
+    assert len(model.languages) == 100 and model.label([b"l001"]).shape == (1, 100)
+
+
+def test_label_equals_a_plain_pass_over_the_bytes(model):
+    """One byte after the other, one word at a time, in double precision."""
+    def steps(direction, codes):
+        inputs, hidden, bias = (w.astype(np.float64) for w in direction.weights())
+        units, state, out = hidden.shape[0], np.zeros(hidden.shape[0]), []
+        for code in codes:
+            mixed, given = state @ hidden + bias, inputs[code]
+            update, reset = (1 / (1 + np.exp(-(mixed[a:a + units] + given[a:a + units]))) for a in (0, units))
+            new = np.tanh(given[2 * units:] + reset * mixed[2 * units:])
+            state = update * state + (1 - update) * new
+            out.append(state)
+        return out
+
+    words = [b"a", "kalomi", "straße", "x" * 31, "éà字", "b", "kalomi"]
+    words = [w if isinstance(w, bytes) else w.encode() for w in words]
+    for word, sums in zip(words, model.label(words), strict=True):
+        ahead, back = steps(model.ahead, word), steps(model.back, word[::-1])[::-1]
+        want = 0
+        for a, b in zip(ahead, back, strict=True):
+            scores = np.concatenate([a, b]) @ model.output.astype(np.float64) + model.offset
+            want = want + np.exp(scores) / np.exp(scores).sum()
+        assert np.allclose(sums, want, atol=1e-4)
+
+
 def test_held_out_accuracy(spark, sf_dir):
     got = queries.QUERIES["op8_language_id"](spark, sf_dir)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")

@@ -21,11 +21,11 @@ from .test_lines_and_shards import direct as direct_lines  # noqa: E402
 from .test_simhash import direct_components, direct_fingerprint  # noqa: E402
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
@@ -71,13 +71,17 @@ def test_stages_on_the_corpus(spark, sf_dir):
 
 def test_stages_take_awkward_rows(spark, sf_dir, make_docs, awkward):
     texts = [*awkward, *[prose(100 + i, 40) for i in range(10)]]
-    docs = make_docs(texts, clashes=False, lang=["en", "de"] * (len(texts) // 2)).withColumns(
-        {"source": F.lit(None).cast("string"), "n_chars": F.length("text").cast("long")})
+    docs = make_docs(texts, lang=["en", "de"] * (len(texts) // 2)).withColumns(
+        {"source": F.lit(None).cast("string"), "n_chars": F.length("text").cast("long"), "n_dropped": F.lit(-3),
+         "tags": F.create_map(F.lit("k"), F.col("doc_id")), "odd name": F.lit(2), "_text": F.lit("x")})
     nameless = docs.withColumn("doc_id", F.when(F.col("doc_id") > 5, F.col("doc_id")))
     for table in (docs.unionAll(docs.limit(9)), nameless, docs.limit(0)):
         for _name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, table, sf_dir)
             assert out.columns == docs.columns and out.count() <= table.count()
+            assert all(r["score"] == 1 and r["n_lines"] == 1 and r["n_dropped"] == -3 and r["_text"] == "x"
+                       and r["kept_text"] == 1 and r["tags"] == {"k": r["doc_id"]} or table is nameless
+                       for r in out.collect())
         corpus_pipeline.STAGES[-1][1](spark, table, sf_dir).count()
 
 
@@ -101,3 +105,21 @@ def test_near_duplicates_judge_each_text_under_an_id(spark, sf_dir, make_docs):
     kept = [(7, prose(1, 60), "en"), (7, prose(2, 60), "de"), (7, prose(3, 60), "en"), (None, prose(4, 60), "en"),
             (None, None, "en")]
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(i, t, k) for i, t, k in kept], key=str)
+
+
+def test_languages_are_rejected_relative_to_their_number(spark, sf_dir, make_docs):
+    texts = [prose(i, 30) for i in range(40)] + ["", None, "12 34"]
+    for labels, kept in ((["aa"] * 43, 40), ([None] * 43, 40)):
+        assert corpus_pipeline.language_id(spark, make_docs(texts, lang=labels), sf_dir).count() == kept
+
+
+@pytest.mark.parametrize("kind", ["smallint", "string", "decimal(9,0)", "date"])
+def test_benchmark_ids_of_any_type(spark, make_docs, kind):
+    from cabstream.llm import decontaminate
+
+    item = prose(1, 30)
+    ids = F.col("item_id").cast(kind) if kind != "date" else F.date_add(F.lit("2024-01-01").cast("date"), F.col("item_id").cast("int"))
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string").withColumn("item_id", ids)
+    found = decontaminate.benchmark_matches(make_docs([prose(2, 50), f"{prose(3, 9)} {item}"]), bench).collect()
+    assert [(r.doc_id, r.item_id) for r in found] == [(1, bench.first().item_id)]
+    assert decontaminate.benchmark_matches(make_docs([prose(2, 9)]), bench.limit(0)).count() == 0
