@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the
 local cores. Every query runs to a no-op sink, once to warm the JVM and then
-BENCH_RUNS times (default 1); the fastest timed run counts.
+BENCH_RUNS times (default 3); the fastest timed run counts.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def run(query, spark: SparkSession, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("cabstream-bench")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
