@@ -11,7 +11,7 @@ from cabstream import schemas
 from cabstream.operators import clean, forecast
 from cabstream.operators.demand import demand_events
 from cabstream.plans import etl
-from cabstream.session import configure
+from cabstream.session import configure, drop_work
 from cabstream.sources import parsers, readers, sinks, zones
 from cabstream.streaming import jobs, outbox
 from cabstream.streaming.thinning import LiveThinning
@@ -122,7 +122,10 @@ def main() -> None:
     a = _arguments()
     spark = SparkSession.builder.appName(f"cabstream-{a.job}").getOrCreate()
     if a.job in BATCH:
-        _run_batch(configure(spark), a)
+        try:
+            _run_batch(configure(spark), a)
+        finally:
+            drop_work(spark)
     else:
         _run_stream(jobs.configure_streaming(spark, a.state_partitions), a)
 

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabstream.operators.demand import demand_windows
-from cabstream.operators.ordered import RANGE, last_known, next_row, previous_row, range_chunks, running_max, time_chunk
+from cabstream.operators.ordered import (
+    RANGE, even_chunks, last_known, next_row, previous_row, range_chunks, running_max, time_chunk)
 
 
 def drop_late(df: DataFrame, max_delay: int = 180, event_time: str = "event_s",
@@ -17,12 +19,17 @@ def drop_late(df: DataFrame, max_delay: int = 180, event_time: str = "event_s",
     """Drop events more than ``max_delay`` seconds behind the newest event seen before them.
 
     Times are epoch seconds. Without ``source`` columns there is one clock for
-    the whole table; it is still computed chunk by chunk, cut by row count. A
-    ``chunk`` of one's own, any number that grows with the arrival order (e.g.
-    the broker offset divided by 100,000), saves storing the rows once.
+    the whole table; it is still computed chunk by chunk. Chunks are equal steps
+    of the first arrival column where no step has too many rows; after a bulk
+    load they are cut by row count, which stores the rows once. A ``chunk`` of
+    one's own is any number that grows with the arrival order (e.g. the broker
+    offset divided by 100,000).
     """
     keys = list(source) or ["_all"]
     rows = df if source else df.withColumn("_all", F.lit(0))
+    whole = isinstance(df.schema[arrival_order[0]].dataType, T.IntegralType)
+    if chunk is None and whole:
+        chunk = even_chunks(df, arrival_order[0])
     if chunk is None:
         rows, chunk = range_chunks(rows, keys, list(arrival_order)), F.col(RANGE)
     seen = running_max(rows, keys, list(arrival_order), chunk, F.col(event_time), "_newest")

@@ -44,6 +44,21 @@ def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     return spark.read.schema(cut.schema).parquet(path)
 
 
+def even_chunks(df: DataFrame, column: str, chunks: int | None = None, least: int = 100_000) -> Column | None:
+    """A chunk number that cuts a whole-number column into equal steps, or None if one step would hold too many rows.
+
+    Two small aggregations look at the column first: its ends, then the rows of
+    each step. Up to four times the mean, or ``least`` rows, are fine for one task.
+    """
+    number = chunks or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low, high, rows = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
+    if low is None:
+        return F.lit(0)
+    step = F.floor((F.col(column) - low) / max(1, -(-(high - low + 1) // number)))
+    fullest = df.groupBy(step.alias("s")).count().agg(F.max("count")).first()[0]
+    return F.coalesce(step, F.lit(-1)) if fullest <= max(least, 4 * rows // number) else None
+
+
 def _with_carry(rows: DataFrame, summary: DataFrame, keys: Sequence[str],
                 carry: Column) -> DataFrame:
     carried = summary.select(*keys, CHUNK, carry.alias("_carry"))

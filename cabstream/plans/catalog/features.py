@@ -178,3 +178,20 @@ def _(spark, sf):
     model = forecast.demand_estimator().fit(forecast.as_model_input(train))
     at = F.lit("2024-01-05 09:00:00").cast("timestamp")
     return forecast.forecast_zones(rows, model, at, city_zones(spark))
+
+
+@query("model_evaluation")
+def _(spark, sf):
+    """The fitted model on the months after the cut: overall and per zone against the seven-day lag, and its inputs' weights."""
+    train, test = features.temporal_split(matrix(spark, sf), SPLIT_MONTH)
+    model = forecast.demand_estimator().fit(forecast.as_model_input(train))
+    scored = model.transform(forecast.as_model_input(test))
+
+    def told(df, kind: str, name, *values: str):
+        return df.select(F.lit(kind).alias("kind"), name.cast("string").alias("name"), F.inline(F.array(*[
+            F.struct(F.lit(v).alias("metric"), F.round(F.col(v).cast("double"), 6).alias("value")) for v in values])))
+
+    overall = told(forecast.forecast_metrics(scored), "all", F.lit(""), "rows", "rmse", "mae", "baseline_rmse", "beats_baseline")
+    zones = told(forecast.zone_metrics(scored), "zone", F.col("zone_id").cast("int"), "model_rmse", "baseline_rmse")
+    inputs = told(forecast.feature_importances(model, spark), "input", F.col("feature"), "importance")
+    return overall.unionByName(zones).unionByName(inputs)

@@ -29,11 +29,33 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder, seen by every executor, for data that must outlive one.
 
     Clusters name a shared folder in ``spark.checkpoint.dir``. Where it is unset
-    the warehouse is used, which executors have to share as well. A folder of
-    one machine is never taken.
+    the warehouse is used, which executors have to share as well; a warehouse
+    on a local disk will do only where driver and executors are one machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+            raise ValueError("executors may not see the warehouse; name a shared folder in spark.checkpoint.dir")
+        shared = f"{warehouse}/_work"
+    path = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made(spark).append(path)
+    return path
+
+
+def _made(spark: SparkSession) -> list[str]:
+    context = spark.sparkContext
+    if not hasattr(context, "_cabstream_folders"):
+        context._cabstream_folders = []
+    return context._cabstream_folders
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Delete all folders that ``work_folder`` has given out here, once no result is read any more that lies in them."""
+    folders = _made(spark)
+    while folders:
+        files, where = hadoop_path(spark, folders.pop())
+        files.delete(where, True)
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -175,3 +175,38 @@ def test_long_zones_give_the_same_lags_and_spikes(spark):
     assert both[0] == both[1] and any(r[2] for r in both[0])
     plan = demand.demand_spikes(windows, long_zones=True)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_late_events_after_a_bulk_load(spark):
+    """Even steps of the arrival time where that will do, ranges of rows where one second holds most of them."""
+    from cabstream.operators.ordered import even_chunks
+
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice([500, rnd.randrange(1000)]), rnd.randrange(2000)) for i in range(900)]
+    df = spark.createDataFrame(rows, "event_id LONG, ingest_s LONG, event_s LONG")
+    newest, want = None, set()
+    for i, _arrived, t in sorted(rows, key=lambda r: (r[1], r[0])):
+        if newest is None or t >= newest - 180:
+            want.add(i)
+        newest = t if newest is None else max(newest, t)
+    kept = events.drop_late(df, 180, "event_s", ["ingest_s", "event_id"])
+    assert {r.event_id for r in kept.collect()} == want
+    assert even_chunks(df, "ingest_s") is not None and even_chunks(df, "ingest_s", chunks=100, least=50) is None
+    ranged = events.drop_late(df, 180, "event_s", ["ingest_s", "event_id"], chunk=F.floor(F.col("ingest_s") / 7))
+    assert {r.event_id for r in ranged.collect()} == want
+    assert events.drop_late(df.limit(0), 180, "event_s", ["ingest_s", "event_id"]).count() == 0
+
+
+def test_work_folders_can_be_dropped(spark, tmp_path):
+    from cabstream.session import drop_work, work_folder
+
+    path = work_folder(spark, "test")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    context, held = spark.sparkContext, spark.sparkContext._cabstream_folders
+    context._cabstream_folders = [path]
+    drop_work(spark)
+    assert context._cabstream_folders == []
+    context._cabstream_folders = held
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
