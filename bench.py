@@ -14,6 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from cabstream.plans.catalog import QUERIES
+from cabstream.session import drop_work
 
 HEADLINE = (
     "gps_valid", "gps_anonymized", "gps_json_parsed", "gps_thinned", "demand_windows", "trips_deduplicated",
@@ -46,6 +47,7 @@ def main() -> None:
     seconds = {}
     for name in HEADLINE:
         run(QUERIES[name], spark, sf_dir)
+        drop_work(spark)
         seconds[name] = round(min(run(QUERIES[name], spark, sf_dir) for _ in range(runs)), 3)
     spark.stop()
     print(json.dumps({
