@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cabstream.llm.common import discard, stored
+from cabstream.llm.common import discard, give_back, stored
 from cabstream.session import ship_package
 
 #: Items are matched in blocks of about so many words, so that what a task holds is bounded. A block's items are
@@ -190,6 +190,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, terms: dict[str, int], ga
             yield pa.RecordBatch.from_arrays([pa.nulls(len(term), kind_of_id), pa.nulls(len(term), pa.string()),
                                               pa.nulls(len(term), pa.int64()), term,
                                               pa.array(np.append(counts[found], passages))], names)
+        give_back()
 
     return rows.mapInArrow(scanned, kinds)
 
@@ -398,5 +399,6 @@ def _matches(spans: DataFrame, searcher: Searcher, kinds: T.StructType) -> DataF
                  pa.array([r[1] for r in rows], item_type), pa.array([r[3] for r in rows], pa.int32()),
                  pa.array([r[5] for r in rows], pa.int32()), pa.array([r[4] for r in rows], pa.float64())],
                 ["id", "item", "common", "n", "cosine"])
+        give_back()
 
     return spans.select("id", "words").mapInArrow(searched, kinds)

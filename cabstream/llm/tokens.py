@@ -13,11 +13,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from cabstream.llm.common import give_back
+
 #: Pieces remembered by a worker and the longest one that is; together they bound the memory.
 REMEMBERED = 3 << 17
 LONGEST = 48
 #: Bytes of text that are encoded at a time: each distinct piece of a batch once.
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 3 << 22
 #: Ends of words of a vocabulary, and punctuation that is a token of its own behind a letter or digit.
 WORD_END, TAIL = "</w>", b".,;:!?"
 #: Plain words that are encoded as one text.
@@ -72,8 +74,10 @@ class WordIds:
                              and all(s.get("type") in ("NFC", "Lowercase") or s.get("pattern") == {"Regex": r"\s+"}
                                      for s in steps.get("normalizers", [steps])))
         # For plain words: white space parts them and nothing is left to normalise.
-        self._plain = Tokenizer.from_file(path)
-        self._plain.normalizer, self._plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        self._plain = Tokenizer(self._encoder.model)
+        self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        del parts, ends
+        give_back()  # reading the file takes more memory than what is kept of it
 
     def __call__(self, text: bytes | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, one after the other."""
@@ -91,15 +95,18 @@ class WordIds:
             return [self._encode([t])[0] if t else b"" for t in texts]
         folded = [self._folded(t) if t else b"" for t in texts]
         starts = np.concatenate([[0], np.cumsum([len(t) for t in folded], dtype=np.int64)])
-        joined = pa.Array.from_buffers(pa.large_string(), len(folded), [None, pa.py_buffer(starts), pa.py_buffer(b"".join(folded))])
-        split = pc.ascii_split_whitespace(joined)
-        pieces = split.values.dictionary_encode()
-        distinct = pieces.dictionary.view(pa.large_binary()).to_pylist()
-        ids = pa.array(self._ids(distinct), pa.large_binary()).take(pieces.indices)
+        split = pc.ascii_split_whitespace(pa.Array.from_buffers(
+            pa.large_string(), len(folded), [None, pa.py_buffer(starts), pa.py_buffer(b"".join(folded))]))
+        del folded
+        pieces, bounds = split.values.dictionary_encode(), np.array(split.offsets)
+        del split
+        found = self._ids(pieces.dictionary.view(pa.large_binary()).to_pylist())
+        ids = pa.array(found, pa.large_binary()).take(pieces.indices)
+        del found, pieces
         if not len(ids):
             return [b""] * len(texts)
         _valid, ends, data = ids.buffers()
-        places = np.frombuffer(ends, np.int64)[np.asarray(split.offsets)].tolist()
+        places = np.frombuffer(ends, np.int64)[bounds].tolist()
         data = memoryview(data)
         return [bytes(data[i:j]) for i, j in zip(places, places[1:], strict=False)]
 
@@ -118,7 +125,8 @@ class WordIds:
     def _ids(self, pieces: Sequence[bytes]) -> list[bytes]:
         """Ids of distinct pieces; of a word and the punctuation behind it, each on its own."""
         sizes = [len(_without_tail(p)) for p in pieces]
-        wanted = list({p[:n] for p, n in zip(pieces, sizes, strict=True)} | {p[n:] for p, n in zip(pieces, sizes, strict=True)})
+        wanted = {p[:n] for p, n in zip(pieces, sizes, strict=True)}
+        wanted = list(wanted.union([p[n:] for p, n in zip(pieces, sizes, strict=True) if n < len(p)]))
         found = dict(zip(wanted, self._encode(wanted), strict=True))
         return [found[p] if n == len(p) else found[p[:n]] + found[p[n:]] for p, n in zip(pieces, sizes, strict=True)]
 
