@@ -1,8 +1,8 @@
 """All registered queries and their reference SQL."""
 
 from cabstream.plans.catalog import (
-    cleaning, curated, demand, features, geospatial, kpis, matches, streams)
+    cleaning, curated, demand, features, geospatial, kpis, matches, storage, streams)
 from cabstream.plans.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL", "cleaning", "curated", "demand", "features", "geospatial", "kpis",
-           "matches", "streams"]
+           "matches", "storage", "streams"]
