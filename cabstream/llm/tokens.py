@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -19,14 +20,15 @@ from cabstream.llm.common import give_back
 REMEMBERED = 3 << 17
 LONGEST = 48
 #: Bytes of text that are encoded at a time: each distinct piece of a batch once.
-BATCH_BYTES = 3 << 22
+BATCH_BYTES = 10 << 20
 #: Ends of words of a vocabulary, and punctuation that is a token of its own behind a letter or digit.
 WORD_END, TAIL = "</w>", b".,;:!?"
 #: Plain words that are encoded as one text.
 RUN = 500
 #: What a byte-level vocabulary shows for each byte: printable ones as they are, the others as letters from U+0100 on.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED) if b != 0x20}
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED) if b != 0x20}
+SHOWN = "".join(chr(_SHOWN.get(b, b)) for b in range(256))
 #: First bytes of U+0300 to U+036F, the combining marks that compose with an ASCII letter among them.
 MARK_BYTES = (b"\xcc", b"\xcd")
 
@@ -92,17 +94,19 @@ class WordIds:
     def many(self, texts: Sequence[bytes | None]) -> list[bytes]:
         """Ids of each text. Texts are split and their pieces told apart by Arrow; each distinct piece is looked up once."""
         if not self._cuts:
-            return [self._encode([t])[0] if t else b"" for t in texts]
-        folded = [self._folded(t) if t else b"" for t in texts]
-        starts = np.concatenate([[0], np.cumsum([len(t) for t in folded], dtype=np.int64)])
-        split = pc.ascii_split_whitespace(pa.Array.from_buffers(
-            pa.large_string(), len(folded), [None, pa.py_buffer(starts), pa.py_buffer(b"".join(folded))]))
+            whole = self._one_by_one(pa.array([(t or b"").decode("utf-8", "replace") for t in texts], pa.large_string()))
+            return whole.to_pylist()
+        folded = pa.array([self._folded(t) if t else b"" for t in texts], pa.large_binary()).view(pa.large_string())
+        try:
+            folded.validate(full=True)
+        except pa.ArrowInvalid:  # no UTF-8
+            folded = pa.array([self._folded((t or b"").decode("utf-8", "replace").encode()) for t in texts], pa.large_string())
+        split = pc.ascii_split_whitespace(folded)
         del folded
         pieces, bounds = split.values.dictionary_encode(), np.array(split.offsets)
         del split
-        found = self._ids(pieces.dictionary.view(pa.large_binary()).to_pylist())
-        ids = pa.array(found, pa.large_binary()).take(pieces.indices)
-        del found, pieces
+        ids = self._ids(pieces.dictionary).take(pieces.indices)
+        del pieces
         if not len(ids):
             return [b""] * len(texts)
         _valid, ends, data = ids.buffers()
@@ -122,62 +126,78 @@ class WordIds:
         folded = text.lower()
         return text if any(t in folded for t in self._added) else folded
 
-    def _ids(self, pieces: Sequence[bytes]) -> list[bytes]:
+    def _ids(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
         """Ids of distinct pieces; of a word and the punctuation behind it, each on its own."""
-        sizes = [len(_without_tail(p)) for p in pieces]
-        wanted = {p[:n] for p, n in zip(pieces, sizes, strict=True)}
-        wanted = list(wanted.union([p[n:] for p, n in zip(pieces, sizes, strict=True) if n < len(p)]))
-        found = dict(zip(wanted, self._encode(wanted), strict=True))
-        return [found[p] if n == len(p) else found[p[:n]] + found[p[n:]] for p, n in zip(pieces, sizes, strict=True)]
-
-    def _encode(self, pieces: Sequence[bytes]) -> list[bytes]:
-        """Ids of each piece; plain words are encoded many at a time and told apart by the tokens that end a word."""
+        cores, ends = _without_tails(pieces)
+        tails = pa.array([p[n:] for p, n in zip(pieces.filter(ends["cut"]).to_pylist(), ends["chars"], strict=True)], pa.large_string())
+        parts = pa.concat_arrays([cores, tails]).dictionary_encode()
+        ids = self._encode(parts.dictionary).take(parts.indices)
+        behind = np.full(len(pieces), -1)
+        behind[np.flatnonzero(ends["cut"])] = len(pieces) + np.arange(len(tails))
+        empty = pa.array([b""], pa.large_binary())
+        tail_ids = pa.concat_arrays([ids, empty]).take(pa.array(np.where(behind < 0, len(ids), behind)))
+        return pc.binary_join_element_wise(ids.slice(0, len(pieces)), tail_ids, empty[0])
+
+    def _encode(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of each piece; words are encoded many at a time and told apart by the tokens that end a word."""
         if not self._tells_words:
             return self._one_by_one(pieces)
-        plain, words, rest = [], [], []
-        for i, p in enumerate(pieces):
-            if p.isalpha() and p.islower():
-                plain.append(i)
-            elif p.isascii() or not (text := p.decode("utf-8", "replace")).isalpha():
-                rest.append(i)
-            else:  # letters; some change when they are composed and lower-cased
-                same = text.lower() == text and unicodedata.is_normalized("NFC", text)
-                (plain if same else words).append(i)
-        out: list[bytes] = [b""] * len(pieces)
-        for which, encoder, shown in ((plain, self._plain, _shown), (words, self._encoder, bytes.decode)):
+        plain = np.asarray(pc.and_(pc.ascii_is_alpha(pieces), pc.ascii_is_lower(pieces)))
+        other = np.flatnonzero(~np.asarray(pc.string_is_ascii(pieces)))
+        kind = np.where(plain, 1, 0)  # 1: letters that stay as they are, 2: letters that are composed or lower-cased first
+        kind[other] = [_letters(p) for p in pieces.take(pa.array(other)).to_pylist()]
+        order, found = [], []
+        for number, encoder in ((1, self._plain), (2, self._encoder)):
+            which = np.flatnonzero(kind == number)
             runs = [which[i:i + RUN] for i in range(0, len(which), RUN)]
-            texts = [shown(b" ".join([pieces[i] for i in run])) for run in runs]
-            for run, found in zip(runs, encoder.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                ids = np.array(found.ids, "<u4")
+            texts = [" ".join(pieces.take(pa.array(run)).to_pylist()) for run in runs]
+            if number == 1:
+                texts = [t if t.isascii() else codecs.charmap_decode(t.encode(), "strict", SHOWN)[0] for t in texts]
+            for run, told in zip(runs, encoder.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(told.ids, "<u4")
                 ends = np.flatnonzero(self._ends[ids]) + 1
                 if len(ends) != len(run) or ends[-1] != len(ids):  # letters that become several words
-                    rest += run
+                    kind[run] = 0
                     continue
-                raw, at = ids.tobytes(), 0
-                for i, end in zip(run, (4 * ends).tolist(), strict=True):
-                    out[i] = raw[at:end]
-                    at = end
-        for i, ids in zip(rest, self._one_by_one([pieces[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
-
-    def _one_by_one(self, pieces: Sequence[bytes]) -> list[bytes]:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        return [np.array(e.ids, "<u4").tobytes() for e in self._encoder.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-def _shown(text: bytes) -> str:
-    """A text as a byte-level vocabulary shows it."""
-    return text.decode() if text.isascii() else text.decode("latin-1").translate(SHOWN)
-
-
-def _without_tail(piece: bytes) -> bytes:
-    """A word without the punctuation behind it, if the word ends in a letter that stays one, or an ASCII digit."""
-    core = piece.rstrip(TAIL)
-    if not core or core[-1:].isalnum():
-        return core or piece
-    last = core.decode("utf-8", "replace")[-1]
-    return core if last > "\x7f" and unicodedata.normalize("NFC", last).lower().isalpha() else piece
+                order.append(run)
+                starts = pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int64))
+                found.append(pa.Array.from_buffers(pa.large_binary(), len(run), [None, starts, pa.py_buffer(ids.tobytes())]))
+        rest = np.flatnonzero(kind == 0)
+        order.append(rest)
+        found.append(self._one_by_one(pieces.take(pa.array(rest))))
+        place = np.empty(len(pieces), np.int64)
+        place[np.concatenate(order)] = np.arange(len(pieces))
+        return pa.concat_arrays(found).take(pa.array(place))
+
+    def _one_by_one(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        found = self._encoder.encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)
+        return pa.array([np.array(e.ids, "<u4").tobytes() for e in found], pa.large_binary())
+
+
+def _letters(piece: str) -> int:
+    """0: not all letters; 1: letters that composing and lower-casing leave as they are; 2: other letters."""
+    if not piece.isalpha():
+        return 0
+    return 1 if piece.lower() == piece and unicodedata.is_normalized("NFC", piece) else 2
+
+
+def _without_tails(pieces: pa.LargeStringArray) -> tuple[pa.LargeStringArray, dict]:
+    """Pieces without the punctuation behind them where it parts from the word (`cut`), and their characters then.
+
+    It does if the word ends in an ASCII letter or digit, or in another letter that stays one.
+    """
+    cores = pc.ascii_rtrim(pieces, characters=TAIL.decode())
+    sizes, whole = np.asarray(pc.binary_length(cores)), np.asarray(pc.binary_length(pieces))
+    _valid, offsets, data = cores.buffers()
+    ends = np.frombuffer(offsets, np.int64)[cores.offset + 1:cores.offset + 1 + len(cores)]
+    codes = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
+    last = np.where(sizes > 0, codes[np.maximum(ends - 1, 0)], 0)
+    alnum = (last >= 48) & (last <= 57) | (last >= 65) & (last <= 90) | (last >= 97) & (last <= 122)
+    cut = (sizes < whole) & (sizes > 0) & (alnum | (last >= 128))
+    unsure = np.flatnonzero(cut & (last >= 128))
+    cut[unsure] = [unicodedata.normalize("NFC", c[-1]).lower().isalpha() for c in cores.take(pa.array(unsure)).to_pylist()]
+    kept = pc.if_else(pa.array(cut), cores, pieces)
+    return kept, {"cut": pa.array(cut), "chars": pc.utf8_length(cores.filter(pa.array(cut))).to_pylist()}
 
 
 def _drops_space(parts: dict) -> bool:

@@ -72,6 +72,13 @@ def test_random_texts_with_marks_give_the_library_s_tokens(words):
         assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [ids_of(words, t) for t in texts[at:at + 50]]
 
 
+def test_bytes_that_are_no_text_count_as_replaced(words):
+    encode, raw = tokens.WordIds(WORDS), [b"Good text.", b"bad \xff\xfe bytes\xc3", b"", None, "é\u0301 ok".encode(), b"\xe2\x82 cut"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encode.many(raw)]
+    assert got == [ids_of(words, (t or b"").decode("utf-8", "replace")) for t in raw]
+    assert encode.many([]) == [] and encode.many([b"", None]) == [b"", b""]
+
+
 def test_memory_of_pieces_is_bounded(pieces, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 5)
     count = tokens.PieceCounts(PIECES)
