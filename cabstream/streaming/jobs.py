@@ -1,4 +1,4 @@
-"""The three stream jobs, and running a stream over what is there now."""
+"""The stream jobs, and running a stream over what is there now."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""The keyed stateful processor of the live thinning job, the only per-row Python of its kind.
+"""The keyed stateful processor of `jobs.thin_stream`, the only per-row Python of its kind; the live job does without it.
 
 Each call handles one key's rows of one micro-batch, whose size the source
 options bound (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``). Rows arrive
