@@ -139,5 +139,6 @@ def test_rows_that_are_no_events_repeated_rows_and_empty_tables(spark):
     used = [(r.taxi_id, r.vehicle_s, r.vehicle_seq) for r in twice if r.matched]
     assert len(used) == len(set(used))
     assert arrivals.match_in_order(requests.limit(0), seen, ZONES).count() == 0
+    assert arrivals.match_in_order(requests.limit(0), seen.limit(0), ZONES).count() == 0
     alone = arrivals.match_in_order(requests, seen.limit(0), CITY_ZONES)
     assert rows(alone.select("matched").distinct()) == [(False,)]
