@@ -264,12 +264,14 @@ def repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col:
     # Stored, so that both sides of the join are shuffled for it and a hot anchor's partition can be split.
     uses = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("uses"))
     shared = stored(uses.where("uses > 1").select("anchor"), "shared-anchors")
-    hits = stored(found.join(shared, "anchor").distinct(), "shared-units")
+    # Dealt by all columns before equal rows are dropped: by the anchor alone they would have to stay in the join's task.
+    hits = found.join(shared, "anchor")
+    hits = stored(hits.repartition(*hits.columns).distinct(), "shared-units")
     discard(found, shared)
     release(docs.sparkSession)
     firsts = hits.groupBy("anchor", "u").agg(F.min(F.struct("id", "t", "lo", "n")).alias("first"))
     firsts = stored(firsts, "first-units")
-    several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
+    several = stored(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1"), "several-contents")
     wanted = firsts.join(several, "anchor").select("first.*", "anchor", "u", (F.col("contents") > HOT).alias("hot"))
     texts = stored(_with_words(rows, wanted, window), "unit-words")
     words = texts.where("not hot").agg(F.sum(F.col("n") + window)).first()[0] or 0

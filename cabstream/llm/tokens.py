@@ -20,7 +20,7 @@ from cabstream.llm.common import give_back
 REMEMBERED = 3 << 17
 LONGEST = 48
 #: Bytes of text that are encoded at a time: each distinct piece of a batch once.
-BATCH_BYTES = 10 << 20
+BATCH_BYTES = 6 << 20
 #: Ends of words of a vocabulary, and punctuation that is a token of its own behind a letter or digit.
 WORD_END, TAIL = "</w>", b".,;:!?"
 #: Plain words that are encoded as one text.
