@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabstream.llm.common import ASCII_LOWER, connected_components, discard, give_back, stored
+from cabstream.llm.common import ASCII_LOWER, connected_components, give_back, stored
 from cabstream.session import ship_package
 
 SEED = 42
