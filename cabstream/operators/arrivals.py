@@ -6,24 +6,28 @@ the oldest waiting request that the zone is near to. After the timeout it is
 unmatched. Each event depends on all events before it, so taken literally one
 task would have to replay a whole city.
 
-Here the time line is cut into slices of a bounded number of events, and all
-slices are replayed at once. What a slice has to know of earlier ones is
-little: which of the vehicles that were free before it began, and of the
-requests that waited then, have been used or served meanwhile. The first round
-assumes that none has; slices for which that turns out otherwise are replayed,
-until nothing changes. The first slice that a round gets wrong has only right
-ones before it, and the next round gets it right, so the end result is the
-sequential one. Vehicles report every few seconds, so what happened in a slice
-is soon forgotten by the next ones, and a few rounds do.
+Here the time line is cut into slices, and all slices are replayed at once.
+What a slice has to know of earlier ones is little: which of the vehicles that
+were free before it began, and of the requests that waited then, have been used
+or served meanwhile. The first round assumes that none has; slices for which
+that turns out otherwise are replayed, until nothing changes. The first slice
+that a round gets wrong has only right ones before it, and the next round gets
+it right, so the end result is the sequential one. Slices are so long that
+every vehicle reports several times in each, so what happened in a slice is
+soon forgotten by the next ones, and a few rounds do. Where it isn't, each
+round replays runs of slices twice as long as the one before, so the number of
+rounds grows with the logarithm of that of the slices at most. A task streams
+through its events and holds the free vehicles and waiting requests only.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Sequence
+from collections import deque
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,8 +39,8 @@ from cabstream.session import hadoop_path, ship_package, work_folder
 from cabstream.sources.zones import CITY_ZONES, Zone
 
 TIMEOUT_S = 5
-#: Events that one task replays in a row; it should exceed the number of vehicles by far.
-ROWS_PER_SLICE = 50_000
+#: Events of a slice: at least so many, and so many for each vehicle.
+ROWS_PER_SLICE, REPORTS_PER_SLICE = 50_000, 8
 SLICE = "slice"
 WAITING, POOL, SEEN, ASKED = range(4)
 
@@ -60,9 +64,11 @@ def reach(zones: Sequence[Zone]) -> tuple[dict[int, list[int]], dict[int, set[in
     return paths, {z: set(path) for z, path in paths.items()}
 
 
-def numbered_events(requests: DataFrame, pings: DataFrame, slices: int) -> DataFrame:
+def numbered_events(requests: DataFrame, pings: DataFrame, slices: int, pieces: int = 1) -> DataFrame:
     """All events with their number ``at`` in the order of time, cut into ``slices`` of about one size.
 
+    Each slice is put in order in so many ``pieces``, to be no task's alone.
+
     Of one second vehicles come before requests, then ``seq`` and id decide.
 
     ``requests``: trip_id, origin_zone, requested_at (epoch seconds); ``pings``: taxi_id, zone_id, epoch_s, lat, lon,
@@ -84,8 +90,8 @@ def numbered_events(requests: DataFrame, pings: DataFrame, slices: int) -> DataF
     seen = seen.dropDuplicates(["t", "seq", "id", "zone"])
     events = seen.unionByName(asked, allowMissingColumns=True).where("t is not null and id != '' and zone > 0")
     order = ["t", "kind", "seq", "id", "zone"]
-    return _stored(events.repartitionByRange(slices, *order).sortWithinPartitions(*order).withColumns(
-        {"at": F.monotonically_increasing_id(), SLICE: F.spark_partition_id()}), "arrival-events")
+    return _stored(events.repartitionByRange(slices * pieces, *order).sortWithinPartitions(*order).withColumns(
+        {"at": F.monotonically_increasing_id(), SLICE: F.floor(F.spark_partition_id() / pieces).cast("int")}), "arrival-events")
 
 
 def _slices(events: DataFrame, timeout_s: int) -> DataFrame:
@@ -112,67 +118,111 @@ def _slices(events: DataFrame, timeout_s: int) -> DataFrame:
 
 
 class Replay:
-    """The state of a city while the events of a slice go by."""
+    """The state of a city while the events of consecutive slices go by."""
 
     def __init__(self, paths: dict[int, list[int]], serves: dict[int, set[int]], timeout_s: int) -> None:
         self.paths, self.serves, self.timeout_s = paths, serves, timeout_s
         self.idle: dict[int, list[tuple[int, str, int]]] = {}
         self.free: dict[str, int] = {}
-        self.waiting: dict[int, tuple[int, int]] = {}
-        self.served: list[tuple[int, int, int, int]] = []
+        self.queued, self.open, self.slice = 0, 0, 0
+        #: Waiting requests by origin, the oldest first.
+        self.waiting: dict[int, deque[tuple[int, int]]] = {}
+        self.served: list[tuple[int, int, int, int, int]] = []
 
     def appears(self, car: str, zone: int, t: int, at: int) -> None:
         self.free[car] = at
         heapq.heappush(self.idle.setdefault(zone, []), (t, car, at))
+        self.queued += 1
+        if self.queued > 2 * len(self.free) + 1000:
+            self.forget()
+
+    def forget(self) -> None:
+        """Take out of the queues what vehicles have reported since."""
+        for zone, queue in self.idle.items():
+            self.idle[zone] = [entry for entry in queue if self.free.get(entry[1]) == entry[2]]
+            heapq.heapify(self.idle[zone])
+        self.queued = sum(map(len, self.idle.values()))
+
+    def waits(self, q: int, origin: int, t: int) -> None:
+        self.waiting.setdefault(origin, deque()).append((q, t))
+        self.open += 1
 
     def take(self, zone: int) -> int | None:
         """The longest idle vehicle of a zone leaves it."""
         queue = self.idle.get(zone, ())
         while queue:
             _t, car, at = heapq.heappop(queue)
+            self.queued -= 1
             if self.free.get(car) == at:
                 del self.free[car]
                 return at
         return None
 
+    def oldest(self, zone: int, t: int) -> deque[tuple[int, int]] | None:
+        """The queue with the oldest request that a vehicle of the zone serves; requests that have given up leave theirs."""
+        found = None
+        for origin in self.serves.get(zone, (zone,)):
+            queue = self.waiting.get(origin, ())
+            while queue and queue[0][1] + self.timeout_s < t:
+                queue.popleft()
+                self.open -= 1
+            if queue and (found is None or queue[0] < found[0]):
+                found = queue
+        return found
+
     def seen(self, car: str, zone: int, t: int, at: int, available: bool) -> None:
         self.free.pop(car, None)
         if available:
             self.appears(car, zone, t, at)
-        for q, (since, origin) in list(self.waiting.items()):
-            if since + self.timeout_s < t:
-                del self.waiting[q]
-            elif origin in self.serves.get(zone, (zone,)):
-                token = self.take(zone)
-                if token is None:
-                    break
-                del self.waiting[q]
-                self.served.append((q, at, token, zone))
+        while self.open and (queue := self.oldest(zone, t)) is not None and (token := self.take(zone)) is not None:
+            self.open -= 1
+            self.served.append((self.slice, queue.popleft()[0], token, zone, t))
 
     def asked(self, q: int, origin: int, t: int) -> None:
         for zone in self.paths.get(origin, (origin,)):
             token = self.take(zone)
             if token is not None:
-                self.served.append((q, q, token, zone))
+                self.served.append((self.slice, q, token, zone, t))
                 return
-        self.waiting[q] = (t, origin)
+        self.waits(q, origin, t)
 
-
-def replay_slice(rows: pd.DataFrame, gone: set[tuple[int, int]], replay: Replay) -> pd.DataFrame:
-    """The requests that one slice serves: (q, moment, token, matched_zone); ``gone`` has (step, at) of what isn't there any more."""
-    carried = rows["step"] <= POOL
-    ordered = pd.concat([rows[carried].sort_values("at"), rows[~carried].sort_values("at")])
-    for step, at, t, name, zone, available in zip(*(ordered[c] for c in ("step", "at", "t", "id", "zone", "available")), strict=True):
+    def event(self, step: int, at: int, t: int, name: str, zone: int, available: bool) -> None:
         if step == ASKED:
-            replay.asked(at, zone, t)
+            self.asked(at, zone, t)
         elif step == SEEN:
-            replay.seen(name, zone, t, at, available)
-        elif (step, at) not in gone:
-            if step == POOL:
-                replay.appears(name, zone, t, at)
-            else:
-                replay.waiting[at] = (t, zone)
-    return pd.DataFrame(replay.served, columns=["q", "moment", "token", "matched_zone"], dtype="int64")
+            self.seen(name, zone, t, at, available)
+        elif step == POOL:
+            self.appears(name, zone, t, at)
+        else:
+            self.waits(at, zone, t)
+
+
+def _replayed(due: DataFrame, runs: int, zones: Sequence[Zone], timeout_s: int) -> DataFrame:
+    """The requests that runs of slices serve: (slice, q, token, matched_zone, matched_at).
+
+    ``due`` has the number of the ``run`` with each row; each run is streamed through one task, what is there when
+    it begins first.
+    """
+    paths, serves = reach(zones)
+    names = [SLICE, "q", "token", "matched_zone", "matched_at"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        city, last = Replay(paths, serves, timeout_s), None
+        for batch in batches:
+            served = []
+            values = (c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns)
+            for run, city_slice, step, at, t, name, zone, available in zip(*values, strict=True):
+                if run != last:
+                    city, last = Replay(paths, serves, timeout_s), run
+                city.slice, city.served = city_slice, served
+                city.event(step, at, t, name, zone, available)
+            columns = list(zip(*served, strict=True)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    lined = due.select("run", SLICE, "step", "at", "t", "id", "zone", F.coalesce("available", F.lit(False))).repartitionById(
+        runs, F.col("run")).sortWithinPartitions("run", F.col("step") > POOL, "at")
+    return lined.mapInArrow(streamed, f"{SLICE} int, q bigint, token bigint, matched_zone int, matched_at bigint")
 
 
 def _gone(slices: DataFrame, claims: DataFrame) -> DataFrame:
@@ -185,7 +235,7 @@ def _gone(slices: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def match_in_order(requests: DataFrame, pings: DataFrame, zones: Sequence[Zone] = CITY_ZONES, timeout_s: int = TIMEOUT_S,
-                   rows_per_slice: int = ROWS_PER_SLICE, eta_target: str = "destination") -> DataFrame:
+                   rows_per_slice: int | None = None, eta_target: str = "destination") -> DataFrame:
     """One row per request with the vehicle it got, if any, as a replay of all events one by one gives it.
 
     See ``numbered_events`` for the inputs and the order of events. A vehicle is free in the zone of its last event
@@ -193,41 +243,47 @@ def match_in_order(requests: DataFrame, pings: DataFrame, zones: Sequence[Zone]
     second ``requested_at + timeout_s`` still serves a waiting request. Ties between vehicles that were last seen in
     one second go by id. Rows that are no events have no row.
 
+    ``rows_per_slice`` is by default so large that every vehicle reports several times in a slice.
+
     Adds ``taxi_id`` ('' without), ``matched``, ``matched_zone``, ``search_order`` (place of that zone on the search
     path, -1 without), ``matched_at``, ``vehicle_s`` and ``vehicle_seq`` (of the event that showed the vehicle free),
     ``eta_seconds``.
     """
-    spark = requests.sparkSession
-    ship_package(spark)
-    rows = requests.select(F.lit(1)).unionAll(pings.select(F.lit(1))).count()
-    events = numbered_events(requests, pings, max(1, math.ceil(rows / rows_per_slice)))
+    ship_package(requests.sparkSession)
+    rows, vehicles = pings.agg(F.count(F.lit(1)), F.approx_count_distinct("taxi_id")).first()
+    rows += requests.count()
+    many = rows_per_slice or max(ROWS_PER_SLICE, REPORTS_PER_SLICE * vehicles)
+    number = max(1, math.ceil(rows / many))
+    events = numbered_events(requests, pings, number, max(1, many // ROWS_PER_SLICE))
     slices = _slices(events, timeout_s)
-    paths, serves = reach(zones)
-    kinds = f"{SLICE} int, q bigint, moment bigint, token bigint, matched_zone int"
 
-    def replayed(rows: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
-        left = set(zip(gone["step"].tolist(), gone["at"].tolist(), strict=True))
-        found = replay_slice(rows, left, Replay(paths, serves, timeout_s))
-        found.insert(0, SLICE, rows[SLICE].iloc[0] if len(rows) else 0)
-        return found
-
-    def marks(gone: DataFrame, name: str) -> DataFrame:
-        return gone.groupBy(SLICE).agg(F.struct(F.bit_xor(F.xxhash64("step", "at")), F.count(F.lit(1))).alias(name))
-
-    gone, changed, claims = spark.createDataFrame([], f"{SLICE} int, step int, at bigint"), None, None
-    while changed is None or not changed.isEmpty():
-        due, told = slices, gone
-        if claims is not None:
-            due, told = (df.join(changed, SLICE, "left_semi") for df in (slices, gone))
-        fresh = due.groupBy(SLICE).cogroup(told.groupBy(SLICE)).applyInPandas(replayed, kinds)
+    def marks(gone: DataFrame) -> dict[int, tuple]:
+        rows = gone.groupBy(SLICE).agg(F.bit_xor(F.xxhash64("step", "at")), F.count(F.lit(1))).collect()
+        return {r[0]: tuple(r[1:]) for r in rows}
+
+    gone, claims, then, changed, width = None, None, {}, list(range(number)), 1
+    while changed:
+        # By slice the first one of its run and the number of the run; a run ends with its block of ``width`` slices.
+        starts, runs = [-1] * number, [-1] * number
+        for i, (block, start) in enumerate({s // width: s for s in reversed(changed)}.items()):
+            for s in range(start, min((block + 1) * width, number)):
+                starts[s], runs[s] = start, i
+        start = F.get(F.lit(starts), F.col(SLICE))
+        due = slices.where((start == F.col(SLICE)) | (start >= 0) & (F.col("step") > POOL))
+        if gone is not None:
+            due = due.join(gone, [SLICE, "step", "at"], "left_anti")
+        fresh = _replayed(due.withColumn("run", F.get(F.lit(runs), F.col(SLICE))), max(runs) + 1, zones, timeout_s)
         if claims is not None:
-            fresh = fresh.unionByName(claims.join(changed, SLICE, "left_anti"))
-        before = [df for df in (claims, changed, gone if claims is not None else None) if df is not None]
+            fresh = fresh.unionByName(claims.where(start < 0))
+        before = [df for df in (claims, gone) if df is not None]
         claims = _stored(fresh, "arrival-claims")
-        now = _stored(_gone(slices, claims), "arrival-gone")
-        moved = marks(now, "_now").join(marks(gone, "_then"), SLICE, "full").where(~F.col("_now").eqNullSafe(F.col("_then")))
-        changed = _stored(moved.select(SLICE), "arrival-changed")
-        gone = now
+        if number == 1:
+            break
+        gone = _stored(_gone(slices, claims), "arrival-gone")
+        now = marks(gone)
+        # A run's later slices were replayed from what its first one left, whatever was known of them before.
+        changed = [s for s in range(number) if now.get(s) != then.get(s) and starts[s] in (-1, s)]
+        then, width = now, 2 * width
         _discard(*before)
 
     asked = events.where(F.col("kind") == ASKED).select(
@@ -235,8 +291,7 @@ def match_in_order(requests: DataFrame, pings: DataFrame, zones: Sequence[Zone]
     cars = events.where(F.col("kind") == SEEN).select(
         F.col("at").alias("token"), F.col("id").alias("taxi_id"), F.col("t").alias("vehicle_s"),
         F.col("seq").alias("vehicle_seq"), "lat", "lon")
-    when = events.select(F.col("at").alias("_event"), F.col("t").alias("matched_at"))
-    used = claims.select("q", "token", "matched_zone", F.col("moment").alias("_event")).join(cars, "token").join(when, "_event")
+    used = claims.drop(SLICE).join(cars, "token")
     rows = asked.join(used, "q", "left").withColumnRenamed("destination_zone", "dest_zone")
     lookup = F.expr("map(" + ", ".join(
         f"{z.zone_id}, array({', '.join(map(str, dict.fromkeys((z.zone_id, *z.adjacency))))})" for z in zones) + ")")
@@ -246,4 +301,4 @@ def match_in_order(requests: DataFrame, pings: DataFrame, zones: Sequence[Zone]
         "search_order": F.when(F.col("matched_zone") == F.col("origin_zone"), 0).otherwise(
             F.coalesce(order, F.lit(-1))).cast("int"),
         "matched_zone": F.coalesce("matched_zone", F.lit(0)), "taxi_id": F.coalesce("taxi_id", F.lit(""))})
-    return with_eta(out, zones, eta_target).drop("q", "token", "_event", "lat", "lon")
+    return with_eta(out, zones, eta_target).drop("q", "token", "lat", "lon")

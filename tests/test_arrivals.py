@@ -142,3 +142,23 @@ def test_rows_that_are_no_events_repeated_rows_and_empty_tables(spark):
     assert arrivals.match_in_order(requests.limit(0), seen.limit(0), ZONES).count() == 0
     alone = arrivals.match_in_order(requests, seen.limit(0), CITY_ZONES)
     assert rows(alone.select("matched").distinct()) == [(False,)]
+
+
+def test_rounds_grow_with_the_logarithm_of_slices_that_all_depend_on_the_first(spark, monkeypatch):
+    """No vehicle reports again, so every slice needs to know what all before it have used."""
+    pings = [(f"T{i:02d}", 1, 0, i, True) for i in range(16)]
+    asked = [(f"r{i:02d}", 1, 10 + i, i) for i in range(24)]
+    rounds, known = [], arrivals._gone
+    monkeypatch.setattr(arrivals, "_gone", lambda *a: rounds.append(1) or known(*a))
+    got, _ = result(arrivals.match_in_order(*tables(spark, pings, asked), ZONES[:1], rows_per_slice=3))
+    assert got == {(trip, t): v for (trip, t, _s), v in simulated(pings, asked, ZONES[:1], 5).items()}
+    assert len(rounds) <= 6  # of 14 slices
+
+
+def test_a_slice_holds_no_more_than_the_vehicles(spark):
+    city = arrivals.Replay(*arrivals.reach(ZONES), 5)
+    for t in range(50_000):
+        city.event(arrivals.SEEN, t, t, f"T{t % 20}", 1 + t % 4, True)
+    assert len(city.free) == 20 and sum(map(len, city.idle.values())) <= 1100
+    city.event(arrivals.ASKED, 50_000, 50_000, "r", 1, False)
+    assert [s[2:] for s in city.served] == [(49_980, 1, 50_000)]
