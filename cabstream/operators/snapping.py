@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstream.functions import geo
@@ -17,21 +17,31 @@ KM_PER_DEGREE = 111.0
 MARGIN = 1.01
 
 
-def _bands(lat: Column, max_km: float) -> Column:
-    """Number of the latitude band, each at least ``max_km`` high."""
-    return F.floor((lat + 90) * KM_PER_DEGREE / (max_km * MARGIN)).cast("int")
+def _per_level(values: list[float]) -> Column:
+    """The value of a row's level (column level), the widest level's first."""
+    return F.get(F.lit(values), F.col("level"))
 
 
-def _columns(band: Column, max_km: float) -> Column:
-    """Cells around the globe in a band, each at least as wide as ``max_km`` in it and the bands beside it.
+def _widths(max_km: float, levels: int) -> list[float]:
+    """Least width in km of the cells of each level, with the margin; each level halves it."""
+    return [max_km / 2 ** level * MARGIN for level in range(levels)]
+
+
+def _band(widths: list[float]) -> Column:
+    """Number of the latitude band of a place (columns lat, level), each at least as high as the level's cells are wide."""
+    return F.floor((F.col("lat") + 90) * KM_PER_DEGREE / _per_level(widths)).cast("int")
+
+
+def _columns(band: str, widths: list[float]) -> Column:
+    """Cells around the globe in a band, each at least as wide as the level's width in it and the bands beside it.
 
     Two places of latitude up to p within a distance d differ in longitude by
     at most 2 asin(sin(d / 2R) / cos p); at the poles by anything, so there is
     one cell.
     """
-    height = max_km * MARGIN / KM_PER_DEGREE
-    furthest = F.least(F.greatest(F.abs((band - 1) * height - 90), F.abs((band + 2) * height - 90)), F.lit(90.0))
-    share = F.lit(math.sin(max_km * MARGIN / (2 * geo.EARTH_RADIUS_KM))) / F.cos(F.radians(furthest))
+    height = _per_level([km / KM_PER_DEGREE for km in widths])
+    furthest = F.least(F.greatest(F.abs((F.col(band) - 1) * height - 90), F.abs((F.col(band) + 2) * height - 90)), F.lit(90.0))
+    share = _per_level([math.sin(km / (2 * geo.EARTH_RADIUS_KM)) for km in widths]) / F.cos(F.radians(furthest))
     width = F.degrees(F.asin(F.least(share, F.lit(1.0)))) * 2
     return F.greatest(F.floor(F.lit(360.0) / (width * MARGIN)), F.lit(1)).cast("int")
 
@@ -41,33 +51,35 @@ def _cell(lon: Column, columns: Column) -> Column:
     return F.pmod(F.floor((lon + 180) / 360 * columns), columns.cast("bigint")).cast("int")
 
 
-def _around(max_km: float) -> Column:
-    """The cell of a place (columns lat, lon) and those around it, each once."""
-    band = _bands(F.col("lat"), max_km)
+def _at_levels(places: DataFrame, levels: int) -> DataFrame:
+    """Each row once a level."""
+    return places.select("*", F.explode(F.lit(list(range(levels)))).alias("level"))
+
+
+def _in_cell(places: DataFrame, widths: list[float]) -> DataFrame:
+    """Add the cell (cell_lat, cell_lon) that a place is in at its level. Plain columns, for generated code."""
+    return places.withColumn("cell_lat", _band(widths)).withColumn("_columns", _columns("cell_lat", widths)).withColumn(
+        "cell_lon", _cell(F.col("lon"), F.col("_columns"))).drop("_columns")
 
-    def beside(of_band: Column) -> Column:
-        columns = _columns(of_band, max_km)
-        own = _cell(F.col("lon"), columns)
-        return F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.struct(
-            of_band.alias("cell_lat"), F.pmod(own + d, columns).alias("cell_lon"))))
 
-    return F.concat(*[beside(band + d) for d in (-1, 0, 1)])
+def _around(places: DataFrame, widths: list[float]) -> DataFrame:
+    """The rows once for each of the cells around a place at its level, its own among them."""
+    bands = places.withColumn("_band", _band(widths))
+    rows = bands.select("*", F.explode(F.array(*[F.col("_band") + d for d in (-1, 0, 1)])).alias("cell_lat"))
+    rows = rows.withColumn("_columns", _columns("cell_lat", widths)).withColumn("_own", _cell(F.col("lon"), F.col("_columns")))
+    near = F.array_distinct(F.array(*[F.pmod(F.col("_own") + d, F.col("_columns")) for d in (-1, 0, 1)]))
+    return rows.select("*", F.explode(near).alias("cell_lon")).drop("_band", "_columns", "_own")
 
 
-def _own_cells(max_km: float, levels: int) -> Column:
-    """The cell of a place at every level: array of (level, cell_lat, cell_lon), the widest first."""
-    cells = []
-    for level in range(levels):
-        band = _bands(F.col("lat"), max_km / 2 ** level)
-        cells.append(F.struct(F.lit(level).alias("level"), band.alias("cell_lat"),
-                              _cell(F.col("lon"), _columns(band, max_km / 2 ** level)).alias("cell_lon")))
-    return F.array(*cells)
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def cell_levels(refs: DataFrame, max_km: float, refs_per_cell: int = REFS_PER_CELL) -> int:
     """Levels of cells needed until none has more than ``refs_per_cell`` references; each halves the cells' width."""
     most = max(1, math.floor(math.log2(max_km / LEAST_KM)) + 1)
-    counts = refs.select(F.inline(_own_cells(max_km, most))).groupBy("level", "cell_lat", "cell_lon").count()
+    placed = _in_cell(_at_levels(refs.select("lat", "lon"), most), _widths(max_km, most))
+    counts = placed.groupBy("level", "cell_lat", "cell_lon").count()
     crowded = counts.filter(F.col("count") > refs_per_cell).agg(F.max("level")).first()[0]
     return 1 if crowded is None else min(crowded + 2, most)
 
@@ -79,16 +91,14 @@ def reference_index(refs: DataFrame, ref_id: str, max_km: float, levels: int) ->
     that a place finds every reference within a cell's width in the one cell it is in.
     Of references at one place only that with the smallest id can be the answer.
     """
-    spots = refs.groupBy("lat", "lon").agg(F.min(ref_id).alias("ref"))
-    def at_level(level: int) -> Column:
-        return F.transform(_around(max_km / 2 ** level), lambda c: F.struct(
-            F.lit(level).alias("level"), c["cell_lat"].alias("cell_lat"), c["cell_lon"].alias("cell_lon")))
-
-    near = F.concat(*[at_level(level) for level in range(levels)])
-    spread = spots.select("ref", F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"), F.inline(near))
-    path = work_folder(refs.sparkSession, "reference-index")
+    spark = refs.sparkSession
+    # Few bytes become many rows, so the spots are dealt anew.
+    spots = refs.groupBy("lat", "lon").agg(F.min(ref_id).alias("ref")).repartition(_tasks(spark), "ref")
+    spread = _around(_at_levels(spots, levels), _widths(max_km, levels)).select(
+        "level", "cell_lat", "cell_lon", "ref", F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"))
+    path = work_folder(spark, "reference-index")
     spread.write.parquet(path)
-    return refs.sparkSession.read.schema(spread.schema).parquet(path)
+    return spark.read.schema(spread.schema).parquet(path)
 
 
 def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id: str,
@@ -115,17 +125,18 @@ def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id:
     index = reference_index(known, ref_id, max_km, levels)
     cell = ["level", "cell_lat", "cell_lon"]
     km = geo.haversine_km("lat", "lon", "ref_lat", "ref_lon")
-    own = _own_cells(max_km, levels)
+    widths = _widths(max_km, levels)
 
     places = points.select(F.col(point_id).alias("_id"), "lat", "lon").dropna(subset=["lat", "lon"])
-    tried = places.select("_id", "lat", "lon", F.inline(own)).join(index.select(*cell).distinct(), cell)
-    first = tried.groupBy("_id", "lat", "lon").agg(F.max("level").alias("_level"))
-    met = first.select("_id", "lat", "lon", F.inline(F.array(F.get(own, F.col("_level"))))).join(index, cell)
+    tried = _in_cell(_at_levels(places, levels), widths).join(index.select(*cell).distinct(), cell)
+    # Few bytes a place, but many references to compare it with: dealt anew, or adaptive execution makes one task of them.
+    first = tried.groupBy("_id", "lat", "lon").agg(F.max("level").alias("level")).repartition(
+        _tasks(points.sparkSession), "_id")
+    met = _in_cell(first, widths).join(index, cell)
     bound = met.groupBy("_id", "lat", "lon").agg(F.least(F.min(km), F.lit(float(max_km))).alias("_km"), F.first("level").alias("_level"))
     wide = F.when(F.col("_km") > 0, F.floor(F.log2(F.lit(float(max_km)) / F.col("_km")))).otherwise(F.col("_level"))
-    again = bound.withColumn(
-        "_level", F.greatest(F.lit(0), F.least(F.col("_level"), wide)).cast("int"))
-    near = again.select("_id", "lat", "lon", "_km", F.inline(F.array(F.get(own, F.col("_level"))))).join(index, cell) \
+    again = bound.withColumn("level", F.greatest(F.lit(0), F.least(F.col("_level"), wide)).cast("int")).drop("_level")
+    near = _in_cell(again, widths).join(index, cell) \
         .withColumn("km", km).filter(F.col("km") <= F.col("_km"))
     best = near.groupBy("_id").agg(F.min(F.struct("km", "ref", "ref_lat", "ref_lon")).alias("_best"))
     return points.join(best, points[point_id] == best["_id"], "left").select(

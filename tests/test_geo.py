@@ -116,6 +116,22 @@ def test_a_reference_near_by_hides_none_that_is_nearer(spark):
             assert got[pid] == (ref if km <= 0.5 else None)
 
 
+def test_a_look_computes_the_cell_of_one_level_a_row(spark):
+    p = spark.createDataFrame([(1, 33.5, -7.6)], "pid INT, lat DOUBLE, lon DOUBLE")
+    r = spark.createDataFrame([(1, 33.5, -7.6)], "rid INT, lat DOUBLE, lon DOUBLE")
+
+    def angles(levels):
+        snapped = snapping.snap_to_reference(p, r, "pid", "rid", 0.5, levels=levels)
+        return snapped._jdf.queryExecution().optimizedPlan().toString().upper().count("ASIN(")
+
+    assert angles(2) == angles(9)
+
+
+def test_the_reference_index_is_made_by_several_tasks(spark):
+    r = spark.range(2000).selectExpr("id rid", "33.5 + id * 1e-5 lat", "-7.6 + id * 1e-5 lon")
+    assert len(snapping.reference_index(r, "rid", 0.5, 3).inputFiles()) > 1
+
+
 def test_points_meet_few_references_however_dense_they_are(spark):
     import random
 
