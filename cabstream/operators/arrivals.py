@@ -34,7 +34,6 @@ from pyspark.sql.window import Window
 
 from cabstream.functions.labels import is_available
 from cabstream.operators.matching import with_eta
-from cabstream.operators.ordered import next_row, time_chunk
 from cabstream.session import hadoop_path, ship_package, work_folder
 from cabstream.sources.zones import CITY_ZONES, Zone
 
@@ -99,10 +98,12 @@ def _slices(events: DataFrame, timeout_s: int) -> DataFrame:
     line = events.select(SLICE, "at", F.col("kind").alias("step"), "t", "id", "zone", "available")
     ends = line.groupBy(SLICE).agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
     last = ends.agg(F.max(SLICE)).first()[0]
-    seen = line.where(F.col("step") == SEEN)
-    free = next_row(seen, ["id"], ["at"], time_chunk("t"), [SLICE], "next").where("available")
-    until = F.coalesce(f"next.{SLICE}", F.lit(last))
-    pool = free.where(until > F.col(SLICE)).withColumn(SLICE, F.explode(F.sequence(F.col(SLICE) + 1, until))).drop("next")
+    # Only a vehicle's last event in a slice can leave it free for later ones: one row per vehicle and slice.
+    seen = line.where(F.col("step") == SEEN).groupBy(SLICE, "id").agg(
+        F.max_by(F.struct("at", "step", "t", "zone", "available"), "at").alias("event"))
+    until = F.coalesce(F.lead(SLICE).over(Window.partitionBy("id").orderBy(SLICE)), F.lit(last))
+    pool = seen.withColumn("_until", until).where(F.col("event.available") & (F.col("_until") > F.col(SLICE))).select(
+        F.explode(F.sequence(F.col(SLICE) + 1, F.col("_until"))).alias(SLICE), "id", "event.*")
     # The last slice that begins before a slice's requests have given up; one row per slice is put in order here.
     marks = ends.select("first_t", F.col(SLICE).alias("_begun"), F.lit(None).cast("int").alias(SLICE)).unionAll(
         ends.select(F.col("last_t") + timeout_s, F.lit(None).cast("int"), SLICE))
@@ -113,8 +114,9 @@ def _slices(events: DataFrame, timeout_s: int) -> DataFrame:
     begun = ends.select(F.col(SLICE).alias("_later"), F.col("first_t").alias("_first_t"))
     waiting = line.where(F.col("step") == ASKED).join(near.join(begun, "_later"), SLICE).where(
         F.col("_first_t") <= F.col("t") + timeout_s).withColumn(SLICE, F.col("_later"))
-    return _stored(line.unionByName(pool.withColumn("step", F.lit(POOL)).select(*line.columns)).unionByName(
-        waiting.withColumn("step", F.lit(WAITING)).select(*line.columns)), "arrival-slices")
+    carried = pool.withColumn("step", F.lit(POOL)).select(*line.columns).unionByName(
+        waiting.withColumn("step", F.lit(WAITING)).select(*line.columns))
+    return line.unionByName(_stored(carried, "arrival-carried"))
 
 
 class Replay:
@@ -174,7 +176,7 @@ class Replay:
         self.free.pop(car, None)
         if available:
             self.appears(car, zone, t, at)
-        while self.open and (queue := self.oldest(zone, t)) is not None and (token := self.take(zone)) is not None:
+        while self.open and self.idle.get(zone) and (queue := self.oldest(zone, t)) is not None and (token := self.take(zone)) is not None:
             self.open -= 1
             self.served.append((self.slice, queue.popleft()[0], token, zone, t))
 
@@ -187,10 +189,10 @@ class Replay:
         self.waits(q, origin, t)
 
     def event(self, step: int, at: int, t: int, name: str, zone: int, available: bool) -> None:
-        if step == ASKED:
-            self.asked(at, zone, t)
-        elif step == SEEN:
+        if step == SEEN:
             self.seen(name, zone, t, at, available)
+        elif step == ASKED:
+            self.asked(at, zone, t)
         elif step == POOL:
             self.appears(name, zone, t, at)
         else:
@@ -212,15 +214,19 @@ def _replayed(due: DataFrame, runs: int, zones: Sequence[Zone], timeout_s: int)
         for batch in batches:
             served = []
             values = (c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns)
+            city.served = served
             for run, city_slice, step, at, t, name, zone, available in zip(*values, strict=True):
                 if run != last:
                     city, last = Replay(paths, serves, timeout_s), run
-                city.slice, city.served = city_slice, served
+                    city.served = served
+                city.slice = city_slice
                 city.event(step, at, t, name, zone, available)
             columns = list(zip(*served, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    lined = due.select("run", SLICE, "step", "at", "t", "id", "zone", F.coalesce("available", F.lit(False))).repartitionById(
+    # Of requests the place in the line is enough.
+    name = F.when(F.col("step").isin(POOL, SEEN), F.col("id"))
+    lined = due.select("run", SLICE, "step", "at", "t", name, "zone", F.coalesce("available", F.lit(False))).repartitionById(
         runs, F.col("run")).sortWithinPartitions("run", F.col("step") > POOL, "at")
     return lined.mapInArrow(streamed, f"{SLICE} int, q bigint, token bigint, matched_zone int, matched_at bigint")
 

@@ -42,6 +42,8 @@ def configure_streaming(spark: SparkSession, state_partitions: int) -> SparkSess
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    # A batch goes to two folders, timely and late rows: no sort to write one after the other.
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "4")
     return spark
 
 

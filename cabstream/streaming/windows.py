@@ -69,9 +69,12 @@ class StagedWindows:
         """Per source its event clock and the wall time at which a row of it last came."""
         ids = self._numbers("clocks", "=")
         if not ids:
-            return self.spark.createDataFrame([], CLOCKS)
+            return self._no_clocks()
         return self.spark.read.schema(CLOCKS).parquet(batch_folder(f"{self.folder}/clocks", max(ids)))
 
+    def _no_clocks(self) -> DataFrame:
+        return self.spark.range(0).select(F.lit("").alias("source"), F.lit(0).cast("bigint").alias("clock"), F.lit(0.0).alias("seen_s"))
+
     def clock(self) -> int | None:
         """The event clock: the smallest of the sources that aren't idle, the largest of all if every one is."""
         alive = F.col("seen_s") > self.now() - self.idle_s
@@ -153,7 +156,7 @@ class StagedWindows:
         found = [rows.where(F.col("batch_id") == batch_id).select(name.alias("source"), F.col(self.time).cast("bigint").alias("clock"))
                  for rows in (self._rows("false"), self._rows("true")) if rows is not None]
         ids = [n for n in self._numbers("clocks", "=") if n < batch_id]
-        before = self.spark.createDataFrame([], CLOCKS) if not ids else self.spark.read.schema(CLOCKS).parquet(
+        before = self._no_clocks() if not ids else self.spark.read.schema(CLOCKS).parquet(
             batch_folder(f"{self.folder}/clocks", max(ids)))
         for rows in found:
             before = before.unionByName(rows.withColumn("seen_s", F.lit(float(self.now()))))

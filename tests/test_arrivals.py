@@ -113,6 +113,24 @@ def test_one_zone_with_all_events_is_many_slices(spark):
     assert got == {(trip, t): v for (trip, t, _s), v in simulated(pings, asked, ZONES[:1], 5).items()}
 
 
+def test_only_what_is_carried_is_stored_beside_the_events(spark, monkeypatch):
+    """The free vehicles carried are those whose last event in a slice shows them free, up to the slice of their next one."""
+    pings, asked = made(11, 15, 300, 600)
+    events = arrivals.numbered_events(*tables(spark, pings, asked), 8)
+    stored, store = [], arrivals._stored
+    monkeypatch.setattr(arrivals, "_stored", lambda df, purpose: stored.append(store(df, purpose)) or stored[-1])
+    slices = arrivals._slices(events, 5)
+    assert sum(df.count() for df in stored) == slices.where(F.col("step") <= arrivals.POOL).count() < events.count()
+    line, later = {}, set()
+    for r in events.where(F.col("kind") == arrivals.SEEN).orderBy("at").collect():
+        line.setdefault(r["id"], []).append((r["slice"], r["at"], r["available"]))
+    for car, seen in line.items():
+        for (own, at, free), (until, *_) in zip(seen, [*seen[1:], (7,)], strict=True):
+            later |= {(car, at, s) for s in range(own + 1, until + 1) if free}
+    pool = slices.where(F.col("step") == arrivals.POOL).select("id", "at", "slice").collect()
+    assert {tuple(r) for r in pool} == later and len(pool) == len(later) > 0
+
+
 def test_few_rounds_do_where_vehicles_report_often(spark, monkeypatch):
     """Scarce vehicles, contested between zones all the time."""
     draw, pings, asked = random.Random(3), [], []
