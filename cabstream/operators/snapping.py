@@ -136,7 +136,9 @@ def snap_to_reference(points: DataFrame, refs: DataFrame, point_id: str, ref_id:
     bound = met.groupBy("_id", "lat", "lon").agg(F.least(F.min(km), F.lit(float(max_km))).alias("_km"), F.first("level").alias("_level"))
     wide = F.when(F.col("_km") > 0, F.floor(F.log2(F.lit(float(max_km)) / F.col("_km")))).otherwise(F.col("_level"))
     again = bound.withColumn("level", F.greatest(F.lit(0), F.least(F.col("_level"), wide)).cast("int")).drop("_level")
-    near = _in_cell(again, widths).join(index, cell) \
+    # Latitudes alone rule most references out, without a sine.
+    band = F.abs(F.col("lat") - F.col("ref_lat")) * KM_PER_DEGREE <= F.col("_km") * MARGIN + 1e-9
+    near = _in_cell(again, widths).join(index, cell).filter(band) \
         .withColumn("km", km).filter(F.col("km") <= F.col("_km"))
     best = near.groupBy("_id").agg(F.min(F.struct("km", "ref", "ref_lat", "ref_lon")).alias("_best"))
     return points.join(best, points[point_id] == best["_id"], "left").select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cabstream.functions import geo
 from cabstream.operators import clean, enrich, features, forecast, kpi, snapping, trajectory
 from cabstream.operators.quality import reconcile_kpis
+from cabstream.session import work_folder
 from cabstream.sources.sinks import write_partitioned
 from cabstream.sources.zones import CITY_ZONES, Zone, zones_df
 
@@ -90,6 +91,10 @@ def snap_trajectories(raw: DataFrame, refs: DataFrame, zones: Zones = CITY_ZONES
     points = trajectory.explode_points(mapped).select(
         key, "pos", F.struct(F.round(F.get("pt", F.lit(1)), 6).alias("lat"),
                              F.round(F.get("pt", F.lit(0)), 6).alias("lon")).alias("spot"))
+    # Read for the spots, for those without a reference and for regrouping: the texts are parsed for one of them only.
+    path = work_folder(raw.sparkSession, "trajectory-points")
+    points.write.parquet(path)
+    points = raw.sparkSession.read.schema(points.schema).parquet(path)
     spots = points.select("spot").distinct().select("spot", "spot.lat", "spot.lon")
     snapped = snapping.snap_to_reference(spots, refs, "spot", "ref_id", max_km) \
         .select("spot", F.col("snapped_lat").alias("lat"), F.col("snapped_lon").alias("lon"))

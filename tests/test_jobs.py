@@ -134,3 +134,15 @@ def test_forecast_vs_actual(spark):
     got = forecast.forecast_vs_actual(actual, made)
     assert rows(got, "window_start", "error") == [(10, 1.5), (20, None)]
     assert rows(forecast.forecast_errors(got)) == [(1, 1, 1.5, 1.5)]
+
+
+def test_points_of_trajectories_are_unfolded_once(spark):
+    """Spots, spots without a reference and regrouping read them; the answer stays that of the nearest reference."""
+    from cabstream.plans import etl
+
+    raw = spark.createDataFrame([("a", "[[-8.62, 41.145], [-8.60, 41.15]]"), ("b", "[[-8.62, 41.145]]")], "TRIP_ID string, POLYLINE string")
+    refs = spark.createDataFrame([(1, 33.5, -7.6), (2, 10.0, 10.0)], "ref_id long, lat double, lon double")
+    out = etl.snap_trajectories(raw, refs, max_km=100.0)
+    assert "posexplode" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["TRIP_ID"]: r["POLYLINE"] for r in out.collect()}
+    assert got == {"a": "[[-7.6,33.5],[-7.6,33.5]]", "b": "[[-7.6,33.5]]"}
