@@ -68,6 +68,15 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.where(F.col("n") >= min_count)
 
 
+def _matched(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join by shuffles, never by a broadcast.
+
+    Spark sizes a stored table by its compressed files and what it explodes into as no more rows, so
+    that a few MB on disk may be millions of rows, all of which a broadcast gathers in the driver.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def spelled(words: DataFrame) -> DataFrame:
     """Each word forward and backward: (word, n, len, way, s, start).
 
@@ -185,7 +194,7 @@ def near_words(words: DataFrame, depth: int = DEPTH) -> DataFrame:
     edges = edge_table(nodes)
     links = edges.where(F.col("to").bitwiseAND(F.lit(1)) == DELETE)
     bigger = F.expr("substring(v, at + 1, 1) > substring(w, at + 1, 1)")
-    met = _unpacked(_first_states(short).join(edges, "key")).withColumns({"w": _spelled("word"), "v": _spelled("low.word")})
+    met = _unpacked(_matched(_first_states(short), edges, "key")).withColumns({"w": _spelled("word"), "v": _spelled("low.word")})
     # Of a pair of words of one length only the first walks; at the replaced letter all words below a node agree.
     step = stored(met.where((F.col("op") == DELETE) | bigger).drop("w", "v"), "trie-states")
     found, used = [_arrived(step)], [step]
@@ -198,7 +207,7 @@ def near_words(words: DataFrame, depth: int = DEPTH) -> DataFrame:
         child = F.concat(F.expr("substring(node, 1, depth)"), F.substring("s", seen, F.lit(1)))
         edit = F.col("at") * 4 + F.col("way") * 2 + F.col("op")
         wanted = going.select("word", "n", edit.alias("edit"), _edge(F.col("way"), size, child).alias("key"))
-        step = stored(_unpacked(wanted.join(links, "key")), "trie-states")
+        step = stored(_unpacked(_matched(wanted, links, "key")), "trie-states")
         found.append(_arrived(step))
         used.append(step)
     pairs = found[0]
@@ -229,11 +238,11 @@ def long_pairs(words: DataFrame, depth: int = DEPTH) -> DataFrame:
         hashed, "id long, kind int, len long, at long, h1 long, h2 long"), "long-word-hashes")
     key = ["len", "at", "h1", "h2"]
     other = rows.withColumnRenamed("id", "other")
-    replaced = rows.where(F.col("kind") == REPLACE).join(other.where(F.col("kind") == REPLACE), key).where("id < other")
-    deleted = rows.where(F.col("kind") == DELETE).join(other.where("kind = 2"), key)
+    replaced = _matched(rows.where(F.col("kind") == REPLACE), other.where(F.col("kind") == REPLACE), key).where("id < other")
+    deleted = _matched(rows.where(F.col("kind") == DELETE), other.where("kind = 2"), key)
     ids = replaced.select("id", "other").unionAll(deleted.select("id", "other"))
     ends = large.select(F.col("id").alias("other"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return ids.join(large, "id").join(ends, "other").select("word", "n", "near", "near_n")
+    return _matched(_matched(ids, large, "id"), ends, "other").select("word", "n", "near", "near_n")
 
 
 def signatures(number: int, word: str, depth: int, rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
@@ -282,7 +291,7 @@ def variants(words: DataFrame, ratio: int = 10, depth: int = DEPTH) -> DataFrame
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     often = -F.col("best.less")
     chosen = F.coalesce(often >= F.col("n") * ratio, F.lit(False))
-    forms = stored(words.join(best, "word", "left").select(
+    forms = stored(_matched(words, best, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(chosen, F.col("best.near")).alias("form"), F.when(chosen, often).alias("form_n")), "forms")
     roots = forms.where("form is not null").select("word", F.col("form").alias("root"))
@@ -291,6 +300,6 @@ def variants(words: DataFrame, ratio: int = 10, depth: int = DEPTH) -> DataFrame
     for _ in range(math.ceil(math.log2(max(steps, 1)))):  # each round doubles the steps followed
         roots = stored(roots, "roots")
         further = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        roots = roots.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
-    return forms.join(roots, "word", "left").select(
+        roots = _matched(roots, further, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
+    return _matched(forms, roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -105,6 +105,29 @@ def test_word_counts_equal_direct_counts(spark, make_docs, awkward, monkeypatch)
         assert twice == direct_counts(rows * 2, garble)
 
 
+def test_no_join_broadcasts(spark, monkeypatch):
+    """A few MB on disk may be millions of rows once exploded, too many for the driver."""
+    plans, store = [], spelling.stored
+
+    def ran(df):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(spelling, "stored", lambda df, purpose: store(ran(df), purpose))
+    counts = crowd(5, "ab", 120, 7, 12) | {"aaaaaaa": 2, "aaaaaab": 20, "aaaaabb": 200, "aaaabbb": 2000}
+    words = spark.createDataFrame(sorted(counts.items()), "word string, n long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    try:
+        got = ran(spelling.variants(words, depth=9)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(tuple(r) for r in got) == direct(counts)
+    assert all("isFinalPlan=true" in p for p in plans if "Join" in p) and sum("SortMergeJoin" in p for p in plans) > 4
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_empty_tables(spark, make_docs):
     docs = make_docs(["a b", None])
     assert spelling.variants(spelling.word_counts(docs)).count() == 0
